@@ -46,9 +46,11 @@ def _ranged(df: DataFrame, order: Sequence[Column], n_parts: int | None) -> Data
 
 
 def _exclusive_offsets(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exclusive running sums over the n-row per-partition totals."""
+    """Exclusive running sums, and grand totals, over the n-row per-partition totals."""
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(PID, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    everything = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return totals.select(PID, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in cols],
+                         *[F.sum(c).over(everything).alias(f"_all_{c}") for c in cols])
 
 
 def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "pos",
@@ -62,7 +64,7 @@ def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "po
     totals = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _exclusive_offsets(totals, ["_n"])
     out = ranged.join(F.broadcast(offsets), PID).withColumn(name, F.col("_off__n") + F.col(LOC))
-    return out.drop(PID, LOC, "_off__n")
+    return out.drop(PID, LOC, "_off__n", "_all__n")
 
 
 def with_prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
@@ -70,7 +72,8 @@ def with_prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str
     """Running (inclusive) sums along a global order.
 
     ``sums`` maps an input column to the output column holding its running total up to and
-    including the row. ``order`` should be unique per row (aggregate ties first).
+    including the row; ``{output}_total`` holds the grand total. ``order`` should be unique
+    per row (aggregate ties first).
     """
     ranged = _ranged(df, order, n_parts)
     # Inside a partition the running sum is an ordinary window keyed by the partition id;
@@ -82,8 +85,10 @@ def with_prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str
     offsets = _exclusive_offsets(totals, ["_n", *[f"_t_{src}" for src in sums]])
     out = local.join(F.broadcast(offsets), PID)
     for src, dst in sums.items():
-        out = out.withColumn(dst, F.col(f"_off__t_{src}") + F.col(f"_run_{src}"))
+        out = (out.withColumn(dst, F.col(f"_off__t_{src}") + F.col(f"_run_{src}"))
+               .withColumn(f"{dst}_total", F.col(f"_all__t_{src}")))
     if position:
         out = out.withColumn(position, F.col("_off__n") + F.col(LOC))
-    drop = [PID, LOC, "_off__n"] + [f"_off__t_{s}" for s in sums] + [f"_run_{s}" for s in sums]
+    drop = ([PID, LOC, "_off__n", "_all__n"] + [f"_off__t_{s}" for s in sums]
+            + [f"_all__t_{s}" for s in sums] + [f"_run_{s}" for s in sums])
     return out.drop(*drop)
