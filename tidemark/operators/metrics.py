@@ -22,19 +22,40 @@ from tidemark.functions.exprs import argmax_class, class_score
 from tidemark.operators.ranking import with_prefix_sums
 
 
-def score_table(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row per distinct score: p (positives), n (negatives)."""
+def _keys(by):
+    return [] if by is None else ([by] if isinstance(by, str) else list(by))
+
+
+def score_table(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
+    """One row per (group, distinct score): p (positives), n (negatives)."""
+    keys = _keys(by)
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("score"))
+            .groupBy(*keys, F.col(score).cast("double").alias("score"))
             .agg(F.sum((F.col(label) == 1).cast("long")).alias("p"),
                  F.sum((F.col(label) != 1).cast("long")).alias("n")))
 
 
-def curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row per threshold (distinct score, descending): threshold, tp, fp (cumulative),
-    p, n (at this score), and tp_prev/fp_prev (cumulative before it)."""
-    cum = with_prefix_sums(score_table(df, score, label), [F.col("score").desc()],
-                           {"p": "tp", "n": "fp"}, position="rank")
+def curve(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
+    """One row per (group, threshold) with thresholds the distinct scores, descending:
+    tp, fp (cumulative inside the group), p, n (at this score), tp_prev, fp_prev
+    (cumulative before it), tp_total, fp_total (the group's positives and negatives).
+
+    Groups are contiguous in the (group, score desc) order, so one distributed prefix
+    pass serves all groups; each group's running totals are the global ones minus the
+    total reached before the group's first row.
+    """
+    keys = _keys(by)
+    order = [F.col(k).asc() for k in keys] + [F.col("score").desc()]
+    cum = with_prefix_sums(score_table(df, score, label, by), order, {"p": "tp", "n": "fp"},
+                           position=None)
+    if keys:
+        cum = cum.drop("tp_total", "fp_total")
+        base = cum.groupBy(*keys).agg(
+            F.min(F.col("tp") - F.col("p")).alias("_btp"), F.min(F.col("fp") - F.col("n")).alias("_bfp"),
+            F.sum("p").alias("tp_total"), F.sum("n").alias("fp_total"))
+        cum = (cum.join(base, keys)
+               .withColumn("tp", F.col("tp") - F.col("_btp"))
+               .withColumn("fp", F.col("fp") - F.col("_bfp")).drop("_btp", "_bfp"))
     return (cum.withColumnRenamed("score", "threshold")
             .withColumn("tp_prev", F.col("tp") - F.col("p"))
             .withColumn("fp_prev", F.col("fp") - F.col("n")))
@@ -44,56 +65,63 @@ def _precision(tp, fp):
     return F.coalesce(F.try_divide(tp.cast("double"), (tp + fp).cast("double")), F.lit(0.0))
 
 
-def curve_points(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """threshold, precision, recall, fpr, tpr at each distinct score."""
-    c = curve(df, score, label)
+def curve_points(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
+    """threshold, precision, recall, fpr, tpr at each distinct score (per group)."""
+    c = curve(df, score, label, by)
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     all_pos, all_neg = F.col("tp_total").cast("double"), F.col("fp_total").cast("double")
-    return c.select("threshold", _precision(F.col("tp"), F.col("fp")).alias("precision"),
+    return c.select(*_keys(by), "threshold", _precision(F.col("tp"), F.col("fp")).alias("precision"),
                     F.try_divide(tp, all_pos).alias("recall"), F.try_divide(fp, all_neg).alias("fpr"),
                     F.try_divide(tp, all_pos).alias("tpr"))
 
 
-def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row: roc_auc, pr_auc, positives, negatives."""
-    c = curve(df, score, label)
+def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
+    """One row (per group): roc_auc, pr_auc, positives, negatives."""
+    keys = _keys(by)
+    c = curve(df, score, label, by)
     tp, fp, tpp, fpp = (F.col(x).cast("double") for x in ("tp", "fp", "tp_prev", "fp_prev"))
     prec = _precision(tp, fp)
     prev_prec = F.when((F.col("tp_prev") + F.col("fp_prev")) == 0, F.lit(1.0)).otherwise(_precision(tpp, fpp))
-    parts = c.agg(
+    parts = c.groupBy(*keys).agg(
         F.sum(F.col("n").cast("double") * (tp + tpp) / 2.0).alias("_roc"),
         F.sum(F.col("p").cast("double") * (prec + prev_prec) / 2.0).alias("_pr"),
         F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     P, N = F.col("positives").cast("double"), F.col("negatives").cast("double")
     return parts.select(
+        *keys,
         F.when((P > 0) & (N > 0), F.col("_roc") / (P * N)).alias("roc_auc"),
         F.when(P > 0, F.col("_pr") / P).alias("pr_auc"),
         F.coalesce("positives", F.lit(0)).cast("bigint").alias("positives"),
         F.coalesce("negatives", F.lit(0)).cast("bigint").alias("negatives"))
 
 
-def threshold_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """One row: accuracy, precision, recall, f1 (binary, positive class 1; 0 when undefined)."""
+def threshold_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label",
+                      by=None) -> DataFrame:
+    """One row (per group): accuracy, precision, recall, f1 (binary, positive class 1;
+    0 when undefined)."""
+    keys = _keys(by)
     pr, lb = F.col(prediction) == 1, F.col(label) == 1
-    s = df.agg(F.count_if(pr & lb).alias("tp"), F.count_if(pr & ~lb).alias("fp"),
-               F.count_if(~pr & lb).alias("fn"), F.count_if(~pr & ~lb).alias("tn"))
+    s = df.groupBy(*keys).agg(F.count_if(pr & lb).alias("tp"), F.count_if(pr & ~lb).alias("fp"),
+                              F.count_if(~pr & lb).alias("fn"), F.count_if(~pr & ~lb).alias("tn"))
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     precision = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
     recall = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2.0 * tp, 2.0 * tp + fp + fn), F.lit(0.0))
-    return s.select(F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
+    return s.select(*keys, F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
                     precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
 
 
-def metric_bundle(scored: DataFrame, scores: str = "scores", label: str = "label") -> DataFrame:
-    """Six metrics as rows (metric, value) from a two-class score array and a label:
-    prediction = argmax (ties -> class 0), ranking score = the class-1 entry."""
-    df = scored.select(argmax_class(scores).alias("prediction"),
+def metric_bundle(scored: DataFrame, scores: str = "scores", label: str = "label", by=None) -> DataFrame:
+    """Six metrics as rows (group..., metric, value) from a two-class score array and a
+    label: prediction = argmax (ties -> class 0), ranking score = the class-1 entry."""
+    keys = _keys(by)
+    df = scored.select(*keys, argmax_class(scores).alias("prediction"),
                        class_score(scores, 1).alias("score"), F.col(label).alias("label"))
-    th = threshold_metrics(df).selectExpr(
+    th = threshold_metrics(df, by=by).select(*keys, F.expr(
         "stack(4, 'accuracy', accuracy, 'f1', f1, 'precision', precision, 'recall', recall) "
-        "as (metric, value)")
-    rk = ranking_metrics(df).selectExpr("stack(2, 'roc_auc', roc_auc, 'pr_auc', pr_auc) as (metric, value)")
+        "as (metric, value)"))
+    rk = ranking_metrics(df, by=by).select(
+        *keys, F.expr("stack(2, 'roc_auc', roc_auc, 'pr_auc', pr_auc) as (metric, value)"))
     return th.unionByName(rk)
 
 
