@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FIXTURE_CONFIG, CohortConfig
 from tidemark.functions.exprs import argmax_class, class_score, upper_in, whole_days
-from tidemark.operators import aggregate, codes, labs, metrics, samples, splits, visits
+from tidemark.operators import aggregate, codes, labs, metrics, samples, splits, text, visits
 from tidemark.sources.views import event_inputs, read_driver, star_schema_inputs
 
 R = 6  # decimals kept for doubles in query output
@@ -91,6 +91,11 @@ class Fixture:
         return (aggregate.with_sentence(self.rows_split.where(F.col("split").isin("train", "val")))
                 .withColumn("labels", F.col("is_ckd").cast("int")))
 
+    @cached_property
+    def training(self) -> DataFrame:
+        """patient_id, scope ('cv' | 'test'), text, labels."""
+        return text.training_rows(aggregate.with_sentence(self.rows_split))
+
     @cached_property
     def folds(self) -> DataFrame:
         return splits.kfold(self.cv_rows.select("patient_id"), self.cfg.k_folds, "patient_id", self.cfg.seed)
@@ -371,6 +376,15 @@ def q_metrics_report(spark, d):
     return metrics.metrics_report(lines).select("metric", "text")
 
 
+def q_encode_fixed_length(spark, d):
+    """Vocabulary from the cross-validation pool's sentences; every row encoded to 512 ids."""
+    tr = _fx(spark, d).training
+    vocab = text.build_vocabulary(tr.where(F.col("scope") == "cv"))
+    enc = text.encode_fixed_length(tr, vocab)
+    return enc.select("patient_id", "scope", "labels", F.array_join("input_ids", ",").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
+
+
 def q_event_samples(spark, d):
     """The same sequence operator on the click stream: user = entity, event = episode,
     target = a purchase as the next event."""

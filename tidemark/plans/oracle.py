@@ -275,6 +275,21 @@ UNION ALL SELECT 'std_' || metric, concat('std_' || metric, ': ', printf('%.4f',
 UNION ALL SELECT 'best_roc_auc', concat('best_roc_auc: ', printf('%.4f', value)) FROM best""",
 }
 
+Q["encode_fixed_length"] = """
+tr AS (SELECT patient_id, CASE WHEN split = 'test' THEN 'test' ELSE 'cv' END AS scope, is_ckd AS labels,
+              list_filter(regexp_split_to_array(formatted_history, '\\s+'), lambda x: x <> '') AS toks FROM sentence),
+vocab AS (SELECT tok, CAST(row_number() OVER (ORDER BY count(*) DESC, tok) + 1 AS INTEGER) AS id
+          FROM (SELECT unnest(toks) AS tok FROM tr WHERE scope = 'cv') GROUP BY tok),
+pieces AS (SELECT patient_id, unnest(toks) AS tok, unnest(range(0, len(toks))) AS pos FROM tr),
+ided AS (SELECT p.patient_id, p.pos, coalesce(v.id, 1) AS id FROM pieces p LEFT JOIN vocab v ON v.tok = p.tok
+         WHERE p.pos < 512),
+per AS (SELECT patient_id, list(id ORDER BY pos) AS ids FROM ided GROUP BY patient_id)
+SELECT t.patient_id, t.scope, t.labels,
+       array_to_string(list_concat(coalesce(p.ids, CAST([] AS INTEGER[])),
+                       list_transform(range(0, 512 - len(coalesce(p.ids, CAST([] AS INTEGER[])))), lambda x: 0)), ',') AS input_ids,
+       CAST(len(coalesce(p.ids, CAST([] AS INTEGER[]))) AS INTEGER) AS n_tokens
+FROM tr t LEFT JOIN per p USING (patient_id)"""
+
 Q["class_weights"] = """
 held AS (SELECT f.fold, c.labels AS label, count(*) AS held FROM cv_rows c JOIN folds f USING (patient_id)
          GROUP BY f.fold, c.labels),

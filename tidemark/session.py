@@ -25,7 +25,7 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemark",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, driver_memory: str = "8g") -> SparkSession:
     """A session for tests, benchmarks and local runs.
 
     On a cluster, submit with your own settings instead; the library only reads them.
@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.driver.memory"] = driver_memory  # local mode: the driver JVM is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
