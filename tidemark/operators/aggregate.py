@@ -51,6 +51,8 @@ def _finish(counts: DataFrame, lists: DataFrame, key: str) -> DataFrame:
 def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
     """One row per patient with at least one kept sample.
 
+    ``tl`` holds the history visits with their lists (``samples.attach_details``).
+
     Columns: patient_id, age, gender, is_ckd, diagnoses, abnormal_labs, num_visits
     (flattened rows, K(K+1)/2), num_samples (K), num_distinct_visits; plus ``split``
     when a (patient_id, split) table is given.

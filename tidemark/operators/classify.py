@@ -66,9 +66,10 @@ def score(model: PipelineModel, df: DataFrame, keep: tuple[str, ...] = ()) -> Da
                       F.col("prediction").cast("int").alias("prediction"))
 
 
-def cross_validate(pool: DataFrame, folds: DataFrame, key: str, params: ClassifierParams = ClassifierParams(),
-                   text: str = "text", label: str = "labels"):
-    """Fit on each fold's complement, score the fold.
+def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
+                   params: ClassifierParams = ClassifierParams(), text: str = "text", label: str = "labels"):
+    """Fit on each fold's complement, score the fold. ``folds`` (key, fold) is joined to
+    the pool; pass None when the pool already has a ``fold`` column.
 
     Returns (fold_metrics (fold, metric, value), models {fold: PipelineModel}). All folds'
     scores are evaluated in one grouped metric pass.
@@ -77,7 +78,7 @@ def cross_validate(pool: DataFrame, folds: DataFrame, key: str, params: Classifi
     # to the shared folder, so no fit recomputes the upstream plan and a lost executor
     # does not either.
     ensure_checkpoint_dir(pool.sparkSession)
-    data = pool.join(folds, key).checkpoint(eager=True)
+    data = (pool if folds is None else pool.join(folds, key)).checkpoint(eager=True)
     k = data.agg(F.max("fold")).first()[0] + 1
     models, scored = {}, None
     for f in range(k):

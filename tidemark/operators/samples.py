@@ -120,6 +120,12 @@ def timeline(visits: DataFrame, patients: DataFrame, n_parts: int | None = None)
             .drop("next_label", "first_has_target"))
 
 
+def attach_details(tl: DataFrame, details: DataFrame) -> DataFrame:
+    """The history visits of a narrow timeline with their per-visit record
+    (``visits.visit_details``), joined on the unique visit id."""
+    return tl.where("in_history").join(details, "hadm_id")
+
+
 def samples(tl: DataFrame) -> DataFrame:
     """One row per kept sample: patient_id, sample visit, history length, label, demographics."""
     return tl.where("kept").select(

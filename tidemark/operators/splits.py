@@ -33,9 +33,13 @@ def hash_split(ids: DataFrame, id_col: str = "patient_id", seed: int = 42, train
     return ids.withColumn("split", split)
 
 
-def _ordered_ids(ids: DataFrame, id_col: str, seed: int) -> DataFrame:
-    distinct = ids.where(F.col(id_col).isNotNull()).select(id_col).distinct()
-    keyed = distinct.withColumn("_key", seeded_order_key(id_col, seed))
+def _ordered_ids(ids: DataFrame, id_col: str, seed: int, keep_columns: bool = False) -> DataFrame:
+    """Rank entities by the seeded hash. With ``keep_columns`` the input must hold one row
+    per id and its columns ride along (no second pass over the input to re-attach them)."""
+    base = ids.where(F.col(id_col).isNotNull())
+    if not keep_columns:
+        base = base.select(id_col).distinct()
+    keyed = base.withColumn("_key", seeded_order_key(id_col, seed))
     return with_global_position(keyed, [F.col("_key").asc(), F.col(id_col).asc()], "_rank").drop("_key")
 
 
@@ -46,15 +50,17 @@ def exact_split_sizes(n: int, test_frac: float = 0.3, second_test_frac: float =
     return n - n_temp, n_temp - n_test, n_test
 
 
-def exact_split(ids: DataFrame, id_col: str = "patient_id", seed: int = 42) -> DataFrame:
+def exact_split(ids: DataFrame, id_col: str = "patient_id", seed: int = 42,
+                keep_columns: bool = False) -> DataFrame:
     """One row per distinct id with ``split``; sizes follow ``exact_split_sizes``."""
-    ordered = _ordered_ids(ids, id_col, seed)
+    ordered = _ordered_ids(ids, id_col, seed, keep_columns)
     n = ordered.count()  # a single scalar; the ids themselves never leave the executors
     n_train, n_val, _ = exact_split_sizes(n)
     r = F.col("_rank")
     split = (F.when(r < n_train, F.lit("train")).when(r < n_train + n_val, F.lit("val"))
              .otherwise(F.lit("test")))
-    return ordered.select(id_col, split.alias("split"))
+    cols = [c for c in ordered.columns if c != "_rank"] if keep_columns else [id_col]
+    return ordered.select(*cols, split.alias("split"))
 
 
 def fold_sizes(n: int, k: int) -> list[int]:
@@ -62,17 +68,20 @@ def fold_sizes(n: int, k: int) -> list[int]:
     return [q + 1 if f < r else q for f in range(k)]
 
 
-def kfold(ids: DataFrame, k: int = 3, id_col: str = "patient_id", seed: int = 42) -> DataFrame:
+def kfold(ids: DataFrame, k: int = 3, id_col: str = "patient_id", seed: int = 42,
+          keep_columns: bool = False) -> DataFrame:
     """One row per distinct id with ``fold`` in [0, k): shuffled by the seeded hash, then
-    cut into k contiguous blocks, the first n mod k one larger."""
-    ordered = _ordered_ids(ids, id_col, seed)
+    cut into k contiguous blocks, the first n mod k one larger. With ``keep_columns`` the
+    input (one row per id) keeps its columns."""
+    ordered = _ordered_ids(ids, id_col, seed, keep_columns)
     n = ordered.count()
     q, rem = divmod(n, k)
     r = F.col("_rank")
     big = rem * (q + 1)
     fold = F.when(r < big, (r / F.lit(q + 1)).cast("long")).otherwise(
         F.lit(rem) + ((r - F.lit(big)) / F.lit(max(q, 1))).cast("long"))
-    return ordered.select(id_col, fold.cast("int").alias("fold"))
+    cols = [c for c in ordered.columns if c != "_rank"] if keep_columns else [id_col]
+    return ordered.select(*cols, fold.cast("int").alias("fold"))
 
 
 def split_stats(samples: DataFrame, id_col: str = "patient_id", label: str = "next_ckd") -> DataFrame:

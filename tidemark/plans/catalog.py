@@ -44,16 +44,19 @@ class Fixture:
         return labs.relevant_labs(self.inputs.labevents, self.inputs.d_labitems,
                                   self.cfg.relevant_labs, self.cfg.abnormal_flags)
 
+    @cached_property
+    def visit_codes(self) -> DataFrame:
+        """hadm_id, has_target, diagnoses (one aggregation serves flag and titles)."""
+        return visits.visit_codes(self.mapped, self.cfg.target_code)
+
     @cached_property
     def visit_flags(self) -> DataFrame:
-        """All admissions with has_target (lists not attached)."""
-        flags = visits.visit_target_flag(self.mapped, self.cfg.target_code)
-        return (self.inputs.admissions.join(flags, "hadm_id", "left")
-                .withColumn("has_target", F.coalesce("has_target", F.lit(0))))
+        """All admissions, narrow: subject_id, hadm_id, admittime, has_target."""
+        return visits.visit_flags(self.inputs.admissions, self.visit_codes)
 
     @cached_property
-    def visits(self) -> DataFrame:
-        return visits.visit_facts(self.inputs.admissions, self.mapped, self.labs, self.cfg.target_code)
+    def details(self) -> DataFrame:
+        return visits.visit_details(self.inputs.admissions, self.visit_codes, self.labs)
 
     @cached_property
     def ordered(self) -> DataFrame:
@@ -65,7 +68,13 @@ class Fixture:
 
     @cached_property
     def timeline(self) -> DataFrame:
-        return samples.timeline(self.visits, self.inputs.patients)
+        """Narrow timeline of cohort entities (ordering work never carries the lists)."""
+        return samples.timeline(self.visit_flags, self.inputs.patients)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """History visits with their lists and length of stay."""
+        return samples.attach_details(self.timeline, self.details)
 
     @cached_property
     def samples(self) -> DataFrame:
@@ -73,7 +82,7 @@ class Fixture:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return aggregate.patient_rows(self.timeline)
+        return aggregate.patient_rows(self.history)
 
     @cached_property
     def split(self) -> DataFrame:
@@ -83,7 +92,15 @@ class Fixture:
 
     @cached_property
     def rows_split(self) -> DataFrame:
-        return self.rows.join(self.split, "patient_id")
+        """Patient rows with their split: the hash split is a function of the id alone,
+        so it is a column expression here, not a join."""
+        return splits.hash_split(self.rows, "patient_id", self.cfg.seed, self.cfg.train_pct,
+                                 self.cfg.train_val_pct)
+
+    @cached_property
+    def training(self) -> DataFrame:
+        """patient_id, scope ('cv' | 'test'), text, labels."""
+        return text.training_rows(aggregate.with_sentence(self.rows_split))
 
     @cached_property
     def cv_rows(self) -> DataFrame:
@@ -92,13 +109,14 @@ class Fixture:
                 .withColumn("labels", F.col("is_ckd").cast("int")))
 
     @cached_property
-    def training(self) -> DataFrame:
-        """patient_id, scope ('cv' | 'test'), text, labels."""
-        return text.training_rows(aggregate.with_sentence(self.rows_split))
+    def cv_rows_folded(self) -> DataFrame:
+        """The pool with its fold; the rows ride through the ranking checkpoint, so the
+        pipeline above runs once."""
+        return splits.kfold(self.cv_rows, self.cfg.k_folds, "patient_id", self.cfg.seed, keep_columns=True)
 
     @cached_property
     def folds(self) -> DataFrame:
-        return splits.kfold(self.cv_rows.select("patient_id"), self.cfg.k_folds, "patient_id", self.cfg.seed)
+        return self.cv_rows_folded.select("patient_id", "fold")
 
 
 def _fx(spark, sf_dir) -> Fixture:
@@ -230,7 +248,7 @@ def q_next_event_samples(spark, d):
 
 
 def q_flatten_history(spark, d):
-    fc = aggregate.flatten_counts(_fx(spark, d).timeline)
+    fc = aggregate.flatten_counts(_fx(spark, d).history)
     return fc.select("patient_id", "hadm_id", "visit_index", F.round("length_of_stay", R).alias("length_of_stay"),
                      "days_since_first", "copies")
 
@@ -263,7 +281,8 @@ def q_group_split_exact(spark, d):
 
 def q_split_stats(spark, d):
     f = _fx(spark, d)
-    return splits.split_stats(f.samples.join(f.split, "patient_id"))
+    return splits.split_stats(splits.hash_split(f.samples, "patient_id", f.cfg.seed, f.cfg.train_pct,
+                                                f.cfg.train_val_pct))
 
 
 def q_class_distribution(spark, d):
@@ -302,7 +321,7 @@ def q_class_weights(spark, d):
     pool minus the fold, so its class counts are the pool's minus the fold's: one small
     (fold, label) count table serves all folds, and no row is copied."""
     f = _fx(spark, d)
-    labelled = f.cv_rows.select("patient_id", "labels").join(f.folds, "patient_id")
+    labelled = f.cv_rows_folded
     held = labelled.groupBy("fold", F.col("labels").alias("label")).agg(F.count(F.lit(1)).alias("_held"))
     totals = held.groupBy("label").agg(F.sum("_held").alias("_all"))
     # every (fold, label) pair, so a class absent from one fold still counts in its training part
@@ -378,7 +397,8 @@ def q_metrics_report(spark, d):
 
 def q_encode_fixed_length(spark, d):
     """Vocabulary from the cross-validation pool's sentences; every row encoded to 512 ids."""
-    tr = _fx(spark, d).training
+    # the training rows feed both the vocabulary and the encoding: materialise them once
+    tr = _fx(spark, d).training.checkpoint(eager=True)
     vocab = text.build_vocabulary(tr.where(F.col("scope") == "cv"))
     enc = text.encode_fixed_length(tr, vocab)
     return enc.select("patient_id", "scope", "labels", F.array_join("input_ids", ",").alias("input_ids"),

@@ -28,48 +28,57 @@ from tidemark.operators.metrics import metrics_report
 from tidemark.sources import store
 from tidemark.sources.tables import read_clinical
 
-TIMELINE_COLS = ("subject_id", "hadm_id", "pos", "visit_index", "diagnoses", "abnormal_labs",
-                 "length_of_stay", "days_since_first", "next_hadm_id", "next_ckd", "kept", "in_history",
-                 "age", "gender")
+HISTORY_COLS = ("subject_id", "hadm_id", "pos", "visit_index", "diagnoses", "abnormal_labs",
+                "length_of_stay", "days_since_first", "next_hadm_id", "next_ckd", "kept", "in_history",
+                "age", "gender")
 
 
 def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortConfig(),
             fmt: str = "csv", tables: dict[str, DataFrame] | None = None, nested: bool = False) -> dict:
     """Build the history samples and write them by split.
 
-    ``tables`` may supply the input DataFrames directly (same names as the files). Writes
-    ``out/prepared/timeline`` (history visits), ``out/prepared/samples`` and, with
-    ``nested``, ``out/prepared/nested_samples`` (one history array per sample).
-    Returns the logged statistics.
+    ``tables`` may supply the input DataFrames directly (same names as the files). Writes,
+    under ``out/prepared``: ``timeline`` (every visit of every cohort entity, narrow, with
+    the sample and censoring columns), ``history`` (the visits inside a kept sample's
+    history, with their lists), ``samples`` and, with ``nested``, ``nested_samples`` (one
+    history array per sample). Returns the logged statistics.
     """
     t = tables or read_clinical(spark, src, fmt)
     mapped = codes.mapped_diagnoses(t["diagnoses_icd"], t["d_icd_diagnoses"], t["icd9_to_icd10"],
                                     t["icd10_to_ccsr"], cfg.title_join_on_version)
     lab = labs.relevant_labs(t["labevents"], t["d_labitems"], cfg.relevant_labs, cfg.abnormal_flags)
-    vf = visits.visit_facts(t["admissions"], mapped, lab, cfg.target_code)
-    tl = samples.timeline(vf, t["patients"])
-    ids = tl.where("kept").select(F.col("subject_id").alias("patient_id")).distinct()
-    split = splits.hash_split(ids, "patient_id", cfg.seed, cfg.train_pct, cfg.train_val_pct)
-    tl_split = (tl.where("in_history").join(split.withColumnRenamed("patient_id", "subject_id"), "subject_id")
-                .select(*TIMELINE_COLS, "split"))
+    per_visit = visits.visit_codes(mapped, cfg.target_code)
+    flags = visits.visit_flags(t["admissions"], per_visit)
+    details = visits.visit_details(t["admissions"], per_visit, lab)
+
+    def by_split(df: DataFrame, col: str) -> DataFrame:
+        return splits.hash_split(df, col, cfg.seed, cfg.train_pct, cfg.train_val_pct)
 
     base = os.path.join(out, "prepared")
-    store.write_by_split(tl_split, os.path.join(base, "timeline"))
-    written = store.read_dataset(spark, os.path.join(base, "timeline"))
-    smp = written.where("kept").select(F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
-                                        (F.col("visit_index") + 1).alias("history_len"), "age", "gender",
-                                        "next_hadm_id", "next_ckd", "split")
+    # 1. the ordered timeline, written once; everything below reads the written table
+    tl = samples.timeline(flags, t["patients"]).drop("first_pos", "first_time", "first_positive_pos",
+                                                     "last_sample_pos", "next_time", "is_sample")
+    store.write_by_split(by_split(tl, "subject_id"), os.path.join(base, "timeline"))
+    tl = store.read_dataset(spark, os.path.join(base, "timeline"))
+    # 2. history visits with their lists
+    hist = samples.attach_details(tl.drop("split"), details).select(*HISTORY_COLS)
+    store.write_by_split(by_split(hist, "subject_id"), os.path.join(base, "history"))
+    # 3. samples
+    smp = tl.where("kept").select(F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
+                                  (F.col("visit_index") + 1).alias("history_len"), "age", "gender",
+                                  "next_hadm_id", "next_ckd", "split")
     store.write_by_split(smp, os.path.join(base, "samples"))
     if nested:
-        ns = samples.nested_samples(written.drop("split")).join(
-            split, "patient_id")
+        written = store.read_dataset(spark, os.path.join(base, "history"))
+        ns = by_split(samples.nested_samples(written.drop("split")), "patient_id")
         store.write_by_split(ns, os.path.join(base, "nested_samples"))
 
     stats = {}
     stats.update(codes.mapping_stats(mapped).first().asDict())
     stats.update(labs.lab_stats(lab).first().asDict())
-    stats.update(samples.cohort_attrition(
-        samples.entity_facts(samples.with_successor(samples.ordered_visits(vf))), t["patients"]).first().asDict())
+    ids = t["patients"].where(F.col("subject_id").isNotNull()).select("subject_id").distinct()
+    stats["all_patients"] = ids.count()
+    stats["valid_patients"] = tl.select("subject_id").distinct().count()
     split_rows = splits.split_stats(store.read_dataset(spark, os.path.join(base, "samples")))
     stats["splits"] = [r.asDict() for r in split_rows.collect()]  # four rows
     store.write_small_json(spark, split_rows, os.path.join(base, "split_stats"))
@@ -78,9 +87,10 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
 
 def aggregate_job(spark: SparkSession, prepared: str, out: str) -> dict:
     """One row per patient and split, with text renderings; summary per split."""
-    tl = store.read_dataset(spark, os.path.join(prepared, "timeline"))
-    ids = tl.select(F.col("subject_id").alias("patient_id"), "split").distinct()
-    rows = aggregate.with_text(aggregate.patient_rows(tl.drop("split"), ids))
+    hist = store.read_dataset(spark, os.path.join(prepared, "history"))
+    # the split is a function of the id, so it is recomputed as a column, not joined
+    rows = splits.hash_split(aggregate.patient_rows(hist.drop("split")), "patient_id")
+    rows = aggregate.with_text(rows)
     dest = os.path.join(out, "aggregated")
     store.write_by_split(rows, os.path.join(dest, "patients"))
     written = store.read_dataset(spark, os.path.join(dest, "patients"))

@@ -26,17 +26,19 @@ def q_train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-fold metrics of the patient classifier (k = 3, seed 42)."""
-    fx, pool, _ = _patient_pool(spark, sf_dir)
-    fm, _ = classify.cross_validate(pool, fx.folds, "patient_id")
+    fx = Fixture(spark, sf_dir)
+    fm, _ = classify.cross_validate(fx.cv_rows_folded, None, "patient_id", text="formatted_history")
     return fm
 
 
 def q_evaluate_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best fold's model saved, reloaded and scored on the test split: six metrics, plus the
     cross-validation averages and spreads, as report lines."""
-    fx, pool, test = _patient_pool(spark, sf_dir)
+    fx = Fixture(spark, sf_dir)
+    test = fx.training.where(F.col("scope") == "test").withColumnRenamed("text", "formatted_history")
     path = classify.model_path(spark)
-    fm, summary, best, tm = classify.train_and_evaluate(pool, fx.folds, test, "patient_id", path)
+    fm, summary, best, tm = classify.train_and_evaluate(fx.cv_rows_folded, None, test, "patient_id", path,
+                                                        text="formatted_history")
     lines = (summary.select(F.concat(F.lit("avg_"), "metric").alias("metric"), F.col("mean").alias("value"))
              .unionByName(summary.select(F.concat(F.lit("std_"), "metric").alias("metric"),
                                          F.col("std").alias("value")))
