@@ -100,6 +100,6 @@ def test_stream_matches_batch(spark, tmp_out):
 
 def test_nested_history_matches_prefix(spark):
     fx = Fixture(spark, SF0001)
-    nested = samples.nested_samples(fx.timeline)
+    nested = samples.nested_samples(fx.history)
     assert nested.count() == 495
     assert nested.select(F.max(F.size("history"))).first()[0] == 13

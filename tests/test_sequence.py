@@ -2,8 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
+from tidemark.plans.catalog import Fixture
+
 from tidemark.operators import samples
 from tidemark.operators.ranking import with_global_position, with_prefix_sums
 
@@ -20,13 +24,17 @@ def _patients(spark, ids):
                                  "subject_id long, gender string, anchor_age int")
 
 
-def test_tied_and_null_times(spark):
+PATHS = ["window", "position", None]
+
+
+@pytest.mark.parametrize("force", PATHS)
+def test_tied_and_null_times(spark, force):
     v = _visits(spark, [
         (1, 10, T(2020, 1, 1), 0), (1, 11, T(2020, 1, 6), 0), (1, 12, T(2020, 1, 6), 0),
         (1, 13, T(2020, 1, 10), 0), (1, 15, None, 0)])
-    nxt = {r["hadm_id"]: r["next_hadm_id"] for r in samples.with_successor(samples.ordered_visits(v)).collect()}
+    nxt = {r["hadm_id"]: r["next_hadm_id"] for r in samples.sequence(v, force=force).collect()}
     assert nxt == {10: 11, 11: 13, 12: 13, 13: None, 15: None}
-    tl = samples.timeline(v, _patients(spark, [1]))
+    tl = samples.timeline(v, _patients(spark, [1]), force=force)
     rows = {r["hadm_id"]: r for r in tl.collect()}
     assert rows[15]["visit_index"] == 4 and rows[15]["n_visits"] == 5
     assert not rows[15]["is_sample"] and not rows[13]["is_sample"]
@@ -36,7 +44,8 @@ def test_tied_and_null_times(spark):
     assert sorted((r["hadm_id"], r["visit_index"] + 1) for r in tl.where("kept").collect()) == [(10, 1), (11, 2), (12, 3)]
 
 
-def test_cohort_rule_and_censoring(spark):
+@pytest.mark.parametrize("force", PATHS)
+def test_cohort_rule_and_censoring(spark, force):
     v = _visits(spark, [
         # entity 1: target in visit 3 -> samples 1, 2 kept (2 is positive), 3.. dropped
         (1, 1, T(2020, 1, 1), 0), (1, 2, T(2020, 2, 1), 0), (1, 3, T(2020, 3, 1), 1),
@@ -47,7 +56,7 @@ def test_cohort_rule_and_censoring(spark):
         (3, 8, T(2020, 1, 1), 0),
         # entity 4: not in patients -> excluded
         (4, 9, T(2020, 1, 1), 0), (4, 10, T(2020, 2, 1), 0)])
-    tl = samples.timeline(v, _patients(spark, [1, 2, 3]))
+    tl = samples.timeline(v, _patients(spark, [1, 2, 3]), force=force)
     s = samples.samples(tl).collect()
     assert sorted((r["hadm_id"], r["next_ckd"]) for r in s) == [(1, 0), (2, 1)]
     assert {r["patient_id"] for r in s} == {1}
@@ -80,9 +89,24 @@ def test_hot_entity_is_split_across_partitions(spark):
     assert per_part >= 8
     pos = {r["hadm_id"]: r["pos"] for r in o.where("subject_id = 1").collect()}
     assert all(pos[i] == i for i in range(3000))
-    nxt = samples.with_successor(o).where("subject_id = 1")
+    seq = samples.sequence(v, threshold=1000, n_parts=16)  # entity 1 is hot, the rest are not
+    nxt = seq.where("subject_id = 1")
     assert nxt.where(F.col("next_hadm_id") != F.col("hadm_id") + 1).count() == 0
     assert nxt.where(F.col("next_hadm_id").isNull()).count() == 1  # the last visit
+    assert seq.count() == 3000 + 198 and seq.where("visit_index = 0").count() == 199
+
+
+def test_paths_agree_on_fixture(spark):
+    """Window path, position path and the mixed routing give identical timelines."""
+    fx = Fixture(spark, SF001)
+    cols = ["subject_id", "hadm_id", "visit_index", "n_visits", "next_hadm_id", "next_ckd", "kept",
+            "in_history", "days_since_first", "age", "gender"]
+    win = samples.timeline(fx.visit_flags, fx.inputs.patients, force="window").select(*cols)
+    pos = samples.timeline(fx.visit_flags, fx.inputs.patients, force="position").select(*cols)
+    mixed = samples.timeline(fx.visit_flags, fx.inputs.patients, threshold=12).select(*cols)
+    assert win.count() == pos.count() == mixed.count()
+    assert win.exceptAll(pos).count() == 0 and pos.exceptAll(win).count() == 0
+    assert win.exceptAll(mixed).count() == 0
 
 
 def test_positions_independent_of_partition_count(spark):

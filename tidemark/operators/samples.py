@@ -1,22 +1,24 @@
 """Per-entity sequences: order, cohort rule, next-event label, censoring, history samples.
 
 The clinical loop ("for each patient, for each visit in time order, find the next strictly
-later visit, emit a sample, stop after the first positive") becomes a set-based plan:
-
-* every visit gets its position ``pos`` in the global order (entity, time nulls last,
-  visit id) from ``ranking.with_global_position``; an entity's visits are the contiguous
-  block ``[first_pos, first_pos + n_visits)``;
-* visits sharing a time form a tie group; the successor of every visit in a group is the
-  row just after the group's last position, provided it is the same entity and has a
-  time. That is an equi-join on a unique position, so it cannot skew;
-* per-entity facts (first position, visit count, the first visit's target flag, the first
-  positive sample, the last sample) are one ``groupBy`` with map-side partial aggregation;
-* those facts go back to the visits with one join on the entity id. A hot entity makes
-  this join skewed; AQE's skew-join handling splits the large side's partition and
-  replicates the one-row-per-entity side.
-
-No step holds an entity's whole sequence in one task, so an entity with a third of all
-visits is split across tasks like any other range of the order.
+later visit, emit a sample, stop after the first positive") becomes a set-based plan,
+``sequence``, with two physical paths chosen per entity:
+
+* **window path** (every entity with at most ``hot_threshold`` visits): one hash shuffle on
+  the entity id, then windows over that partitioning. ``row_number`` gives the order;
+  ``lead`` gives the successor of the last visit of each tie group (visits sharing a
+  time), and a window over (entity, time) hands it to the whole group; entity-wide
+  facts (visit count, first time, first visit's flag, first positive sample, last sample)
+  are whole-partition window aggregates. Every window reuses the one shuffle.
+* **position path** (hot entities only): rows get their position in the global order
+  (entity, time nulls last, visit id) from ``ranking.with_global_position``, which
+  range-partitions, so one entity's visits are spread over many tasks. The successor of
+  a tie group is the row just after the group's last position (an equi-join on a unique
+  position); entity facts are a ``groupBy`` with partial aggregation, joined back.
+
+Hot entities are found with one partially aggregated count per entity; their number is
+at most (visits / hot_threshold), and it is counted before the id list is broadcast.
+Both paths return the same columns and are tested against each other.
 
 Visit order: time ascending with null times last, then visit id (nulls last). A visit with
 a null time is never "later" than another, so it neither has nor is a successor.
@@ -30,12 +32,24 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import whole_days
 from tidemark.operators.ranking import with_global_position
 
+# An entity with more visits than this is routed to the position path, so no window
+# partition (one task) ever holds more than this many rows.
+HOT_THRESHOLD = 1_000_000
+# Hot ids are broadcast when there are at most this many (8 bytes each); beyond it they
+# are joined by shuffle. There can be at most visits / HOT_THRESHOLD of them.
+MAX_BROADCAST_KEYS = 2_000_000
+
+SEQUENCE_COLS = ("visit_index", "n_visits", "first_time", "first_has_target", "next_time",
+                 "next_hadm_id", "next_label", "first_positive_index", "last_sample_index")
+
 
 def visit_order():
     return (F.col("subject_id").asc(), F.col("admittime").asc_nulls_last(),
             F.col("hadm_id").asc_nulls_last())
 
 
+# --- position path -----------------------------------------------------------------------
+
 def ordered_visits(visits: DataFrame, n_parts: int | None = None) -> DataFrame:
     """Add ``pos``: 0-based position in (entity, time nulls last, visit id) order."""
     return with_global_position(visits.where(F.col("subject_id").isNotNull()), visit_order(), "pos",
@@ -71,6 +85,91 @@ def entity_facts(with_next: DataFrame) -> DataFrame:
     )
 
 
+def _sequence_by_position(visits: DataFrame, n_parts: int | None = None) -> DataFrame:
+    with_next = with_successor(ordered_visits(visits, n_parts))
+    facts = entity_facts(with_next)
+    rel = lambda c: (F.col(c) - F.col("first_pos")).cast("int")
+    return (with_next.join(facts, "subject_id")
+            .withColumn("visit_index", rel("pos"))
+            .withColumn("first_positive_index", rel("first_positive_pos"))
+            .withColumn("last_sample_index", rel("last_sample_pos"))
+            .drop("pos", "first_pos", "first_positive_pos", "last_sample_pos"))
+
+
+# --- window path -------------------------------------------------------------------------
+
+def _sequence_by_window(visits: DataFrame) -> DataFrame:
+    order = Window.partitionBy("subject_id").orderBy(F.col("admittime").asc_nulls_last(),
+                                                     F.col("hadm_id").asc_nulls_last())
+    tie_group = Window.partitionBy("subject_id", "admittime")
+    whole = Window.partitionBy("subject_id")
+    nxt = F.lead(F.struct(F.col("admittime").alias("t"), F.col("hadm_id").alias("h"),
+                          F.col("has_target").alias("y"))).over(order)
+    step1 = visits.where(F.col("subject_id").isNotNull()).select(
+        "*", (F.row_number().over(order) - 1).cast("int").alias("visit_index"), nxt.alias("_lead"))
+    # only the last visit of a tie group sees a strictly later time in its lead; the
+    # window over (entity, time) gives that successor to every visit of the group
+    own = F.when(F.col("admittime").isNotNull() & (F.col("_lead.t") > F.col("admittime")), F.col("_lead"))
+    step2 = step1.withColumn("_succ", F.max(own).over(tie_group)).drop("_lead")
+    is_sample = F.col("_succ").isNotNull()
+    step3 = step2.select(
+        "*",
+        F.count(F.lit(1)).over(whole).alias("n_visits"),
+        F.min("admittime").over(whole).alias("first_time"),
+        F.max(F.when(F.col("visit_index") == 0, F.col("has_target"))).over(whole).alias("first_has_target"),
+        F.min(F.when(is_sample & (F.col("_succ.y") == 1), F.col("visit_index"))).over(whole)
+         .alias("first_positive_index"),
+        F.max(F.when(is_sample, F.col("visit_index"))).over(whole).alias("last_sample_index"))
+    return (step3.withColumn("next_time", F.col("_succ.t")).withColumn("next_hadm_id", F.col("_succ.h"))
+            .withColumn("next_label", F.col("_succ.y")).drop("_succ"))
+
+
+# --- routing -----------------------------------------------------------------------------
+
+def hot_entities(visits: DataFrame, threshold: int = HOT_THRESHOLD) -> DataFrame:
+    """Entity ids with more than ``threshold`` visits (partial aggregation: each task
+    ships one count per entity it saw)."""
+    return (visits.where(F.col("subject_id").isNotNull()).groupBy("subject_id")
+            .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select("subject_id"))
+
+
+def _routed(visits: DataFrame, threshold: int, force: str | None):
+    """(normal visits, hot visits or None, hot ids or None)."""
+    if force == "window":
+        return visits, None, None
+    if force == "position":
+        return None, visits, None
+    hot = hot_entities(visits.select("subject_id"), threshold)
+    n_hot = hot.count()  # proves the size of what is broadcast below
+    if n_hot == 0:
+        return visits, None, None
+    keys = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
+    return visits.join(keys, "subject_id", "left_anti"), visits.join(keys, "subject_id", "left_semi"), keys
+
+
+def sequence(visits: DataFrame, threshold: int = HOT_THRESHOLD, force: str | None = None,
+             n_parts: int | None = None) -> DataFrame:
+    """Every visit with its order and successor, and its entity's facts.
+
+    ``visits`` needs subject_id, hadm_id, admittime, has_target (other columns ride along).
+    Adds: visit_index, n_visits, first_time, first_has_target, next_time, next_hadm_id,
+    next_label, first_positive_index, last_sample_index. ``force`` ('window' | 'position')
+    bypasses the routing (tests).
+    """
+    normal, hot, _ = _routed(visits, threshold, force)
+    parts = []
+    if normal is not None:
+        parts.append(_sequence_by_window(normal))
+    if hot is not None:
+        parts.append(_sequence_by_position(hot, n_parts))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- cohort, timeline, samples -------------------------------------------------------------
+
 def demographics(patients: DataFrame) -> DataFrame:
     """One row per entity. With duplicated rows the smallest (age, gender) is taken,
     a deterministic stand-in for "first row of the file"."""
@@ -80,44 +179,62 @@ def demographics(patients: DataFrame) -> DataFrame:
             .select("subject_id", F.col("_d.anchor_age").alias("age"), F.col("_d.gender").alias("gender")))
 
 
-def cohort(facts: DataFrame, patients: DataFrame) -> DataFrame:
-    """Entities listed in ``patients`` with at least two visits and no target code in the
-    first visit, with their demographics."""
-    keep = (F.col("n_visits") >= 2) & (F.col("first_has_target") == 0)
-    return facts.where(keep).join(demographics(patients), "subject_id")
+def in_cohort() -> F.Column:
+    """At least two visits and no target code in the first one."""
+    return (F.col("n_visits") >= 2) & (F.col("first_has_target") == 0)
+
+
+def cohort(seq: DataFrame, patients: DataFrame) -> DataFrame:
+    """Entities listed in ``patients`` that pass the rule, with n_visits and demographics."""
+    first = seq.where((F.col("visit_index") == 0) & in_cohort()).select("subject_id", "n_visits")
+    return first.join(demographics(patients), "subject_id")
 
 
-def cohort_attrition(facts: DataFrame, patients: DataFrame) -> DataFrame:
+def cohort_attrition(seq: DataFrame, patients: DataFrame) -> DataFrame:
     """all_patients (distinct ids in ``patients``) and valid_patients (the cohort)."""
     ids = patients.where(F.col("subject_id").isNotNull()).select("subject_id").distinct()
-    flagged = ids.join(facts, "subject_id", "left").select(
-        ((F.col("n_visits") >= 2) & (F.col("first_has_target") == 0)).alias("_ok"))
+    firsts = seq.where(F.col("visit_index") == 0).select("subject_id", in_cohort().alias("_ok"))
+    flagged = ids.join(firsts, "subject_id", "left")
     return flagged.agg(F.count(F.lit(1)).alias("all_patients"),
                        F.count_if(F.coalesce("_ok", F.lit(False))).alias("valid_patients"))
 
 
-def timeline(visits: DataFrame, patients: DataFrame, n_parts: int | None = None) -> DataFrame:
-    """All visits of cohort entities, in order, with sample and censoring columns.
-
-    ``visits`` needs subject_id, hadm_id, admittime and has_target (plus any visit
-    attributes, carried along). Output adds: pos, visit_index (0-based within the entity),
-    days_since_first, next_hadm_id, next_ckd, is_sample, kept (a sample that survives
-    censoring), in_history (inside the history of the entity's last kept sample), age,
-    gender, n_visits.
-    """
-    with_next = with_successor(ordered_visits(visits, n_parts))
-    facts = cohort(entity_facts(with_next), patients)
-    cut = F.coalesce(F.col("first_positive_pos"), F.col("last_sample_pos"))
-    joined = with_next.join(facts, "subject_id")
+def _finish(seq: DataFrame, demo: DataFrame) -> DataFrame:
+    cut = F.coalesce(F.col("first_positive_index"), F.col("last_sample_index"))
     is_sample = F.col("next_hadm_id").isNotNull()
-    return (joined
-            .withColumn("visit_index", (F.col("pos") - F.col("first_pos")).cast("int"))
+    return (seq.where(in_cohort()).join(demo, "subject_id")
             .withColumn("days_since_first", whole_days("first_time", "admittime"))
             .withColumn("next_ckd", F.col("next_label").cast("int"))
             .withColumn("is_sample", is_sample)
-            .withColumn("kept", is_sample & (F.col("pos") <= cut))
-            .withColumn("in_history", F.coalesce(F.col("pos") <= cut, F.lit(False)))
-            .drop("next_label", "first_has_target"))
+            .withColumn("kept", is_sample & (F.col("visit_index") <= cut))
+            .withColumn("in_history", F.coalesce(F.col("visit_index") <= cut, F.lit(False)))
+            .drop("next_label", "first_has_target", "first_positive_index", "last_sample_index"))
+
+
+def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESHOLD,
+             force: str | None = None, n_parts: int | None = None) -> DataFrame:
+    """All visits of cohort entities, in order, with sample and censoring columns.
+
+    Output adds to ``visits``: visit_index, n_visits, first_time, days_since_first,
+    next_time, next_hadm_id, next_ckd, is_sample, kept (a sample that survives censoring),
+    in_history (inside the history of the entity's last kept sample), age, gender.
+
+    Demographics are joined per path: on the window path both sides are already
+    partitioned by the entity id, and on the position path the hot entities' demographics
+    are at most the (counted) hot-id list.
+    """
+    normal, hot, keys = _routed(visits, threshold, force)
+    demo = demographics(patients)
+    parts = []
+    if normal is not None:
+        parts.append(_finish(_sequence_by_window(normal), demo))
+    if hot is not None:
+        hot_demo = demo.join(keys, "subject_id", "left_semi") if keys is not None else demo
+        parts.append(_finish(_sequence_by_position(hot, n_parts), hot_demo))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def attach_details(tl: DataFrame, details: DataFrame) -> DataFrame:
@@ -129,24 +246,24 @@ def attach_details(tl: DataFrame, details: DataFrame) -> DataFrame:
 def samples(tl: DataFrame) -> DataFrame:
     """One row per kept sample: patient_id, sample visit, history length, label, demographics."""
     return tl.where("kept").select(
-        F.col("subject_id").alias("patient_id"), "hadm_id", "pos", "visit_index",
+        F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
         (F.col("visit_index") + 1).alias("history_len"), "age", "gender", "next_hadm_id", "next_ckd")
 
 
 VISIT_STRUCT = ("diagnoses", "abnormal_labs", "length_of_stay", "days_since_first")
 
 
-def nested_samples(tl: DataFrame) -> DataFrame:
+def nested_samples(history: DataFrame) -> DataFrame:
     """The reference's sample record: ``history`` is the array of every visit up to and
     including the sample's visit.
 
     The output is quadratic in visits per entity by definition (each sample repeats its
     prefix); the running ``collect_list`` runs in a window keyed by entity. Downstream
     aggregation does not need this form (see ``aggregate.patient_rows``); use it only when
-    the nested record itself is the product.
+    the nested record itself is the product. ``history`` is ``attach_details`` output.
     """
-    w = Window.partitionBy("subject_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("subject_id").orderBy("visit_index").rowsBetween(Window.unboundedPreceding, 0)
     visit = F.struct(*[F.col(c) for c in VISIT_STRUCT])
-    hist = tl.where("in_history").withColumn("history", F.collect_list(visit).over(w))
+    hist = history.where("in_history").withColumn("history", F.collect_list(visit).over(w))
     return hist.where("kept").select(
-        F.col("subject_id").alias("patient_id"), "pos", "history", "age", "gender", "next_ckd")
+        F.col("subject_id").alias("patient_id"), "visit_index", "history", "age", "gender", "next_ckd")

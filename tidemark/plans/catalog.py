@@ -59,12 +59,9 @@ class Fixture:
         return visits.visit_details(self.inputs.admissions, self.visit_codes, self.labs)
 
     @cached_property
-    def ordered(self) -> DataFrame:
-        return samples.ordered_visits(self.visit_flags)
-
-    @cached_property
-    def with_next(self) -> DataFrame:
-        return samples.with_successor(self.ordered)
+    def sequence(self) -> DataFrame:
+        """Every admission with its order, successor and entity facts."""
+        return samples.sequence(self.visit_flags)
 
     @cached_property
     def timeline(self) -> DataFrame:
@@ -197,10 +194,7 @@ def q_visit_target_flag(spark, d):
 
 
 def q_visit_sequence(spark, d):
-    o = _fx(spark, d).ordered
-    first = o.groupBy("subject_id").agg(F.min("pos").alias("_first"))
-    return o.join(first, "subject_id").select(
-        "subject_id", "hadm_id", (F.col("pos") - F.col("_first")).cast("int").alias("visit_index"))
+    return _fx(spark, d).sequence.select("subject_id", "hadm_id", "visit_index")
 
 
 def q_first_visit(spark, d):
@@ -220,21 +214,20 @@ def q_days_since_first(spark, d):
 
 def q_cohort(spark, d):
     f = _fx(spark, d)
-    c = samples.cohort(samples.entity_facts(f.with_next), f.inputs.patients)
-    return c.select("subject_id", "n_visits", "age", "gender")
+    return samples.cohort(f.sequence, f.inputs.patients).select("subject_id", "n_visits", "age", "gender")
 
 
 def q_cohort_attrition(spark, d):
     f = _fx(spark, d)
-    return samples.cohort_attrition(samples.entity_facts(f.with_next), f.inputs.patients)
+    return samples.cohort_attrition(f.sequence, f.inputs.patients)
 
 
 def q_next_visit(spark, d):
-    return _fx(spark, d).with_next.where(F.col("next_hadm_id").isNotNull()).select("hadm_id", "next_hadm_id")
+    return _fx(spark, d).sequence.where(F.col("next_hadm_id").isNotNull()).select("hadm_id", "next_hadm_id")
 
 
 def q_next_label(spark, d):
-    w = _fx(spark, d).with_next.where(F.col("next_hadm_id").isNotNull())
+    w = _fx(spark, d).sequence.where(F.col("next_hadm_id").isNotNull())
     return w.select("subject_id", "hadm_id", "next_hadm_id", F.col("next_label").cast("int").alias("next_ckd"))
 
 

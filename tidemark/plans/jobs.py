@@ -28,7 +28,7 @@ from tidemark.operators.metrics import metrics_report
 from tidemark.sources import store
 from tidemark.sources.tables import read_clinical
 
-HISTORY_COLS = ("subject_id", "hadm_id", "pos", "visit_index", "diagnoses", "abnormal_labs",
+HISTORY_COLS = ("subject_id", "hadm_id", "visit_index", "diagnoses", "abnormal_labs",
                 "length_of_stay", "days_since_first", "next_hadm_id", "next_ckd", "kept", "in_history",
                 "age", "gender")
 
@@ -56,8 +56,7 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
 
     base = os.path.join(out, "prepared")
     # 1. the ordered timeline, written once; everything below reads the written table
-    tl = samples.timeline(flags, t["patients"]).drop("first_pos", "first_time", "first_positive_pos",
-                                                     "last_sample_pos", "next_time", "is_sample")
+    tl = samples.timeline(flags, t["patients"]).drop("first_time", "next_time", "is_sample")
     store.write_by_split(by_split(tl, "subject_id"), os.path.join(base, "timeline"))
     tl = store.read_dataset(spark, os.path.join(base, "timeline"))
     # 2. history visits with their lists
