@@ -34,6 +34,19 @@ class ClassifierParams:
     seed: int = 42
 
 
+# Logistic regression makes dozens of passes over its input, so each pass should run few,
+# well-filled tasks: training tables are cut to about this many rows per partition.
+ROWS_PER_TASK = 200_000
+
+
+def sized_for_passes(df: DataFrame) -> DataFrame:
+    """Coalesce a materialised table (no shuffle) so that its partitions hold about
+    ``ROWS_PER_TASK`` rows; a large table keeps all its partitions."""
+    n_rows = df.count()
+    target = max(1, -(-n_rows // ROWS_PER_TASK))
+    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+
+
 def pipeline(params: ClassifierParams = ClassifierParams(), text: str = "text", label: str = "labels",
              weight_col: str | None = None) -> Pipeline:
     tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+", toLowercase=True)
@@ -78,7 +91,7 @@ def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
     # to the shared folder, so no fit recomputes the upstream plan and a lost executor
     # does not either.
     ensure_checkpoint_dir(pool.sparkSession)
-    data = (pool if folds is None else pool.join(folds, key)).checkpoint(eager=True)
+    data = sized_for_passes((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
     k = data.agg(F.max("fold")).first()[0] + 1
     models, scored = {}, None
     for f in range(k):

@@ -54,8 +54,9 @@ def _exclusive_offsets(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "pos",
-                         n_parts: int | None = None) -> DataFrame:
-    """Add ``name``: the row's 0-based position in ``order``.
+                         n_parts: int | None = None, total: str | None = None) -> DataFrame:
+    """Add ``name``: the row's 0-based position in ``order`` (and, with ``total``, the
+    number of rows, taken from the offsets table instead of a separate count).
 
     ``order`` must be a total order (end it with a unique column), or positions of tied rows
     are arbitrary but still distinct and gap-free.
@@ -64,6 +65,8 @@ def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "po
     totals = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _exclusive_offsets(totals, ["_n"])
     out = ranged.join(F.broadcast(offsets), PID).withColumn(name, F.col("_off__n") + F.col(LOC))
+    if total:
+        out = out.withColumn(total, F.col("_all__n"))
     return out.drop(PID, LOC, "_off__n", "_all__n")
 
 

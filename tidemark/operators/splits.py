@@ -34,13 +34,15 @@ def hash_split(ids: DataFrame, id_col: str = "patient_id", seed: int = 42, train
 
 
 def _ordered_ids(ids: DataFrame, id_col: str, seed: int, keep_columns: bool = False) -> DataFrame:
-    """Rank entities by the seeded hash. With ``keep_columns`` the input must hold one row
-    per id and its columns ride along (no second pass over the input to re-attach them)."""
+    """Rank entities by the seeded hash: adds ``_rank`` and ``_n`` (number of entities).
+    With ``keep_columns`` the input must hold one row per id and its columns ride along
+    (no second pass over the input to re-attach them)."""
     base = ids.where(F.col(id_col).isNotNull())
     if not keep_columns:
         base = base.select(id_col).distinct()
     keyed = base.withColumn("_key", seeded_order_key(id_col, seed))
-    return with_global_position(keyed, [F.col("_key").asc(), F.col(id_col).asc()], "_rank").drop("_key")
+    return with_global_position(keyed, [F.col("_key").asc(), F.col(id_col).asc()], "_rank",
+                                total="_n").drop("_key")
 
 
 def exact_split_sizes(n: int, test_frac: float = 0.3, second_test_frac: float = 0.5) -> tuple[int, int, int]:
@@ -50,17 +52,22 @@ def exact_split_sizes(n: int, test_frac: float = 0.3, second_test_frac: float =
     return n - n_temp, n_temp - n_test, n_test
 
 
+def _out_cols(ordered: DataFrame, id_col: str, keep_columns: bool) -> list[str]:
+    return [c for c in ordered.columns if c not in ("_rank", "_n")] if keep_columns else [id_col]
+
+
 def exact_split(ids: DataFrame, id_col: str = "patient_id", seed: int = 42,
-                keep_columns: bool = False) -> DataFrame:
-    """One row per distinct id with ``split``; sizes follow ``exact_split_sizes``."""
+                keep_columns: bool = False, test_frac: float = 0.3, second_test_frac: float = 0.5) -> DataFrame:
+    """One row per distinct id with ``split``; sizes follow ``exact_split_sizes``, computed
+    as column arithmetic on the entity count (double products, as in ``math.ceil``)."""
     ordered = _ordered_ids(ids, id_col, seed, keep_columns)
-    n = ordered.count()  # a single scalar; the ids themselves never leave the executors
-    n_train, n_val, _ = exact_split_sizes(n)
+    n = F.col("_n")
+    n_temp = F.ceil(F.lit(test_frac) * n.cast("double"))
+    n_test = F.ceil(F.lit(second_test_frac) * n_temp.cast("double"))
     r = F.col("_rank")
-    split = (F.when(r < n_train, F.lit("train")).when(r < n_train + n_val, F.lit("val"))
+    split = (F.when(r < n - n_temp, F.lit("train")).when(r < n - n_test, F.lit("val"))
              .otherwise(F.lit("test")))
-    cols = [c for c in ordered.columns if c != "_rank"] if keep_columns else [id_col]
-    return ordered.select(*cols, split.alias("split"))
+    return ordered.select(*_out_cols(ordered, id_col, keep_columns), split.alias("split"))
 
 
 def fold_sizes(n: int, k: int) -> list[int]:
@@ -74,14 +81,13 @@ def kfold(ids: DataFrame, k: int = 3, id_col: str = "patient_id", seed: int = 42
     cut into k contiguous blocks, the first n mod k one larger. With ``keep_columns`` the
     input (one row per id) keeps its columns."""
     ordered = _ordered_ids(ids, id_col, seed, keep_columns)
-    n = ordered.count()
-    q, rem = divmod(n, k)
-    r = F.col("_rank")
+    n, r = F.col("_n"), F.col("_rank")
+    q = (n / F.lit(k)).cast("long")
+    rem = n - q * F.lit(k)
     big = rem * (q + 1)
-    fold = F.when(r < big, (r / F.lit(q + 1)).cast("long")).otherwise(
-        F.lit(rem) + ((r - F.lit(big)) / F.lit(max(q, 1))).cast("long"))
-    cols = [c for c in ordered.columns if c != "_rank"] if keep_columns else [id_col]
-    return ordered.select(*cols, fold.cast("int").alias("fold"))
+    fold = F.when(r < big, (r / (q + 1)).cast("long")).otherwise(
+        rem + ((r - big) / F.greatest(q, F.lit(1))).cast("long"))
+    return ordered.select(*_out_cols(ordered, id_col, keep_columns), fold.cast("int").alias("fold"))
 
 
 def split_stats(samples: DataFrame, id_col: str = "patient_id", label: str = "next_ckd") -> DataFrame:

@@ -19,7 +19,7 @@ def _patient_pool(spark: SparkSession, sf_dir: str):
 def q_train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on the whole cross-validation pool, score the test patients."""
     _, pool, test = _patient_pool(spark, sf_dir)
-    model = classify.fit(pool.checkpoint(eager=True))
+    model = classify.fit(classify.sized_for_passes(pool.checkpoint(eager=True)))
     return classify.score(model, test, keep=("patient_id", "labels")).select(
         "patient_id", "labels", "prediction", F.element_at("scores", 2).alias("score"))
 
