@@ -48,6 +48,16 @@ def _finish(counts: DataFrame, lists: DataFrame, key: str) -> DataFrame:
             .withColumn("abnormal_labs", F.coalesce("abnormal_labs", _empty())))
 
 
+_VISIT = "v"  # marker element: one per history visit, carries the visit's sample facts
+
+
+def _tagged(arr: str, kind: str) -> F.Column:
+    """The list's non-null items as (kind, item) structs; a null list is empty."""
+    items = F.transform(F.coalesce(F.col(arr), _empty()),
+                        lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("item")))
+    return F.filter(items, lambda s: s["item"].isNotNull())
+
+
 def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
     """One row per patient with at least one kept sample.
 
@@ -56,16 +66,34 @@ def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
     Columns: patient_id, age, gender, is_ckd, diagnoses, abnormal_labs, num_visits
     (flattened rows, K(K+1)/2), num_samples (K), num_distinct_visits; plus ``split``
     when a (patient_id, split) table is given.
+
+    One pass over ``tl``: each history visit becomes a marker element plus one element per
+    list item, exploded once. A first aggregation on (patient, kind, item) keeps distinct
+    items and sums the markers' facts; a second one on the patient builds the sorted
+    lists. Both aggregate partially before their shuffle, so a patient with very many
+    visits ships one partial row per task and item, never its raw rows.
     """
-    per = tl.where("in_history").withColumnRenamed("subject_id", "patient_id")
-    k = F.count_if(F.col("kept"))
-    counts = (per.groupBy("patient_id")
-              .agg(F.min("age").alias("age"), F.min("gender").alias("gender"),
-                   F.max(F.when(F.col("kept"), F.col("next_ckd"))).cast("int").alias("is_ckd"),
-                   k.alias("num_samples"), F.count(F.lit(1)).alias("num_distinct_visits"))
-              .where(F.col("num_samples") > 0)
-              .withColumn("num_visits", (F.col("num_samples") * (F.col("num_samples") + 1) / 2).cast("bigint")))
-    out = _finish(counts, _item_lists(_explode_items(per, "patient_id"), "patient_id"), "patient_id")
+    marker = F.array(F.struct(F.lit(_VISIT).alias("kind"), F.lit(None).cast("string").alias("item")))
+    elements = F.concat(marker, _tagged("diagnoses", "dx"), _tagged("abnormal_labs", "lab"))
+    long = tl.where("in_history").select(
+        F.col("subject_id").alias("patient_id"), "age", "gender", "kept", "next_ckd",
+        F.explode(elements).alias("_e"))
+    is_marker = F.col("_e.kind") == _VISIT
+    pairs = long.groupBy("patient_id", F.col("_e.kind").alias("kind"), F.col("_e.item").alias("item")).agg(
+        F.min("age").alias("age"), F.min("gender").alias("gender"),
+        F.count_if(is_marker & F.col("kept")).alias("_k"),
+        F.max(F.when(is_marker & F.col("kept"), F.col("next_ckd"))).alias("_y"),
+        F.count_if(is_marker).alias("_v"))
+    marker_only = F.col("kind") == _VISIT
+    per = pairs.groupBy("patient_id").agg(
+        F.min("age").alias("age"), F.min("gender").alias("gender"),
+        F.max(F.when(marker_only, F.col("_y"))).cast("int").alias("is_ckd"),
+        F.sum(F.when(marker_only, F.col("_k"))).alias("num_samples"),
+        F.sum(F.when(marker_only, F.col("_v"))).alias("num_distinct_visits"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "dx", F.col("item")))).alias("diagnoses"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "lab", F.col("item")))).alias("abnormal_labs"))
+    out = (per.where(F.col("num_samples") > 0)
+           .withColumn("num_visits", (F.col("num_samples") * (F.col("num_samples") + 1) / 2).cast("bigint")))
     if split is not None:
         out = out.join(split, "patient_id")
     return out
@@ -82,10 +110,10 @@ def flatten_history(nested: DataFrame) -> DataFrame:
 
 def flatten_counts(tl: DataFrame) -> DataFrame:
     """Run-length form of the flattened table: one row per history visit with
-    ``copies``, the number of samples whose history contains it (K - visit_index)."""
-    facts = tl.groupBy("subject_id").agg(F.count_if(F.col("kept")).alias("_k"))
-    return (tl.where("in_history").join(facts, "subject_id")
-            .withColumn("copies", (F.col("_k") - F.col("visit_index")).cast("bigint"))
+    ``copies``, the number of samples whose history contains it (K - visit_index, with
+    K = ``n_kept``, a per-row column of the timeline: no aggregation or join needed)."""
+    return (tl.where("in_history")
+            .withColumn("copies", (F.col("n_kept") - F.col("visit_index")).cast("bigint"))
             .select(F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
                     "length_of_stay", "days_since_first", "copies"))
 

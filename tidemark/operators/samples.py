@@ -202,12 +202,16 @@ def cohort_attrition(seq: DataFrame, patients: DataFrame) -> DataFrame:
 def _finish(seq: DataFrame, demo: DataFrame) -> DataFrame:
     cut = F.coalesce(F.col("first_positive_index"), F.col("last_sample_index"))
     is_sample = F.col("next_hadm_id").isNotNull()
+    # Samples are a prefix of the visit order (a visit before a sample has a time no later
+    # than the sample's, so it has a strictly later visit too), and censoring cuts that
+    # prefix at ``cut``: the entity keeps cut + 1 samples, and as many history visits.
     return (seq.where(in_cohort()).join(demo, "subject_id")
             .withColumn("days_since_first", whole_days("first_time", "admittime"))
             .withColumn("next_ckd", F.col("next_label").cast("int"))
             .withColumn("is_sample", is_sample)
             .withColumn("kept", is_sample & (F.col("visit_index") <= cut))
             .withColumn("in_history", F.coalesce(F.col("visit_index") <= cut, F.lit(False)))
+            .withColumn("n_kept", F.coalesce(cut + 1, F.lit(0)))
             .drop("next_label", "first_has_target", "first_positive_index", "last_sample_index"))
 
 
@@ -217,7 +221,8 @@ def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESH
 
     Output adds to ``visits``: visit_index, n_visits, first_time, days_since_first,
     next_time, next_hadm_id, next_ckd, is_sample, kept (a sample that survives censoring),
-    in_history (inside the history of the entity's last kept sample), age, gender.
+    in_history (inside the history of the entity's last kept sample), n_kept (the
+    entity's number of kept samples, equal to its number of history visits), age, gender.
 
     Demographics are joined per path: on the window path both sides are already
     partitioned by the entity id, and on the position path the hot entities' demographics

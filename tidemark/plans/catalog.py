@@ -45,18 +45,20 @@ class Fixture:
                                   self.cfg.relevant_labs, self.cfg.abnormal_flags)
 
     @cached_property
-    def visit_codes(self) -> DataFrame:
-        """hadm_id, has_target, diagnoses (one aggregation serves flag and titles)."""
-        return visits.visit_codes(self.mapped, self.cfg.target_code)
+    def target_flags(self) -> DataFrame:
+        """hadm_id, has_target: from the crosswalk alone (a title join cannot change "any")."""
+        i = self.inputs
+        crosswalked = codes.map_codes(i.diagnoses_icd, i.icd9_to_icd10, i.icd10_to_ccsr)
+        return visits.visit_target_flag(crosswalked, self.cfg.target_code)
 
     @cached_property
     def visit_flags(self) -> DataFrame:
         """All admissions, narrow: subject_id, hadm_id, admittime, has_target."""
-        return visits.visit_flags(self.inputs.admissions, self.visit_codes)
+        return visits.visit_flags(self.inputs.admissions, self.target_flags)
 
     @cached_property
     def details(self) -> DataFrame:
-        return visits.visit_details(self.inputs.admissions, self.visit_codes, self.labs)
+        return visits.visit_details(self.inputs.admissions, visits.visit_diagnoses(self.mapped), self.labs)
 
     @cached_property
     def sequence(self) -> DataFrame:

@@ -30,7 +30,7 @@ from tidemark.sources.tables import read_clinical
 
 HISTORY_COLS = ("subject_id", "hadm_id", "visit_index", "diagnoses", "abnormal_labs",
                 "length_of_stay", "days_since_first", "next_hadm_id", "next_ckd", "kept", "in_history",
-                "age", "gender")
+                "n_kept", "age", "gender")
 
 
 def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortConfig(),
@@ -47,9 +47,10 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     mapped = codes.mapped_diagnoses(t["diagnoses_icd"], t["d_icd_diagnoses"], t["icd9_to_icd10"],
                                     t["icd10_to_ccsr"], cfg.title_join_on_version)
     lab = labs.relevant_labs(t["labevents"], t["d_labitems"], cfg.relevant_labs, cfg.abnormal_flags)
-    per_visit = visits.visit_codes(mapped, cfg.target_code)
-    flags = visits.visit_flags(t["admissions"], per_visit)
-    details = visits.visit_details(t["admissions"], per_visit, lab)
+    # the flag needs the crosswalk only; the title lists feed the history details
+    crosswalked = codes.map_codes(t["diagnoses_icd"], t["icd9_to_icd10"], t["icd10_to_ccsr"])
+    flags = visits.visit_flags(t["admissions"], visits.visit_target_flag(crosswalked, cfg.target_code))
+    details = visits.visit_details(t["admissions"], visits.visit_diagnoses(mapped), lab)
 
     def by_split(df: DataFrame, col: str) -> DataFrame:
         return splits.hash_split(df, col, cfg.seed, cfg.train_pct, cfg.train_val_pct)
