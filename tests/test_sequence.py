@@ -100,7 +100,7 @@ def test_paths_agree_on_fixture(spark):
     """Window path, position path and the mixed routing give identical timelines."""
     fx = Fixture(spark, SF001)
     cols = ["subject_id", "hadm_id", "visit_index", "n_visits", "next_hadm_id", "next_ckd", "kept",
-            "in_history", "days_since_first", "age", "gender"]
+            "in_history", "n_kept", "days_since_first", "age", "gender"]
     win = samples.timeline(fx.visit_flags, fx.inputs.patients, force="window").select(*cols)
     pos = samples.timeline(fx.visit_flags, fx.inputs.patients, force="position").select(*cols)
     mixed = samples.timeline(fx.visit_flags, fx.inputs.patients, threshold=12).select(*cols)
