@@ -77,7 +77,8 @@ def test_jobs_end_to_end(spark, tmp_out):
 
     res = jobs.train_job(spark, os.path.join(tmp_out, "aggregated"), tmp_out, FIXTURE_CONFIG,
                          classify.ClassifierParams(num_features=1 << 12, max_iter=10))
-    report = open(os.path.join(tmp_out, "model", "training_results.txt")).read()
+    report = store.read_text_report(spark, os.path.join(tmp_out, "model", "training_results"))
+    assert report.splitlines()[0] == "=== CROSS-VALIDATION RESULTS ==="
     assert "=== TEST RESULTS ===" in report and "avg_roc_auc:" in report
     model = classify.load_model(os.path.join(tmp_out, "model", "best_model"))
     assert len(model.stages) == 4 and 0 <= res["best_fold"] < 3

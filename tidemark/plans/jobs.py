@@ -119,7 +119,7 @@ def train_job(spark: SparkSession, aggregated: str, out: str, cfg: CohortConfig
     report = (["=== CROSS-VALIDATION RESULTS ==="] + cv_text
               + ["", f"Best ROC AUC: {best['value']:.4f}", f"Best model path: {model_dir}", "",
                  "=== TEST RESULTS ==="] + test_text)
-    store.write_text_report(report, os.path.join(dest, "training_results.txt"))
+    store.write_text_report(spark, report, os.path.join(dest, "training_results"))
     return {"best_fold": int(best["fold"]), "best_roc_auc": float(best["value"]), "report": report}
 
 

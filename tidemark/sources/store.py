@@ -7,7 +7,6 @@ One folder per dataset, ``split=train|val|test`` sub-folders; a reader that filt
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,13 +40,19 @@ def write_small_json(spark: SparkSession, rows: DataFrame, path: str) -> str:
     return path
 
 
-def write_text_report(lines: list[str], path: str) -> str:
-    """A human-readable report next to the data (driver-side file; a few lines)."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w") as fh:
-        fh.write("\n".join(lines) + "\n")
+def write_text_report(spark: SparkSession, lines: list[str], path: str) -> str:
+    """A human-readable report next to the data: a text folder with one part file, written
+    by Spark, so it lands on the job's (shared) output storage and not on the driver's
+    disk. ``lines`` is a few report lines; their order is kept (one partition)."""
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, value string")
+    df.coalesce(1).sortWithinPartitions("i").select("value").write.mode("overwrite").text(path)
     return path
 
 
+def read_text_report(spark: SparkSession, path: str) -> str:
+    """The report written by ``write_text_report``, as one string."""
+    return "\n".join(r["value"] for r in spark.read.text(path).collect()) + "\n"
+
+
 def to_json_line(d: dict) -> str:
     return json.dumps(d, default=str, sort_keys=True)
