@@ -39,6 +39,34 @@ def build_vocabulary(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return ranked.select("token", (F.col("_rank") + FIRST_ID).cast("int").alias("id"), "count")
 
 
+# The most frequent tokens are the hot keys of the token -> id join (a template word occurs
+# in every row). Up to HOT_TOKENS of them are resolved map-side from a broadcast whose byte
+# size is measured first and must stay under HOT_BYTES.
+HOT_TOKENS = 10_000
+HOT_BYTES = 16 * 1024 * 1024
+
+
+def lookup_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Left join of (..., token) rows to the vocabulary: adds ``id`` (null when unknown).
+
+    Ids are frequency ranks, so the tokens with ``id < FIRST_ID + HOT_TOKENS`` are the
+    most frequent ones. They are looked up in a broadcast table of at most HOT_TOKENS rows
+    (its size is checked); the remaining tokens each have at most the frequency of the last
+    hot one and go through an ordinary shuffle join. If the hot table is too large in
+    bytes, everything takes the shuffle join, where AQE splits skewed partitions.
+    """
+    limit = FIRST_ID + HOT_TOKENS
+    hot = vocab.where(F.col("id") < limit).select("token", F.col("id").alias("_hot_id"))
+    hot_bytes = hot.agg(F.sum(F.octet_length("token") + F.lit(16))).first()[0] or 0
+    if hot_bytes > HOT_BYTES:
+        return pieces.join(vocab.select("token", "id"), "token", "left")
+    tagged = pieces.join(F.broadcast(hot), "token", "left")
+    resolved = tagged.where(F.col("_hot_id").isNotNull()).withColumnRenamed("_hot_id", "id")
+    cold = vocab.where(F.col("id") >= limit).select("token", "id")
+    rest = tagged.where(F.col("_hot_id").isNull()).drop("_hot_id").join(cold, "token", "left")
+    return resolved.unionByName(rest)
+
+
 def encode_fixed_length(rows: DataFrame, vocab: DataFrame, key: str = "patient_id",
                         text_col: str = "text", max_length: int = 512) -> DataFrame:
     """Add input_ids and attention_mask (both ``max_length`` long) to each row.
@@ -48,8 +76,7 @@ def encode_fixed_length(rows: DataFrame, vocab: DataFrame, key: str = "patient_i
     """
     pieces = (rows.select(key, F.posexplode(tokens(text_col)).alias("pos", "token"))
               .where(F.col("pos") < max_length))
-    looked = pieces.join(vocab.select("token", "id"), "token", "left") \
-        .withColumn("id", F.coalesce("id", F.lit(UNKNOWN_ID)))
+    looked = lookup_ids(pieces, vocab).withColumn("id", F.coalesce("id", F.lit(UNKNOWN_ID)))
     per_row = looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_pi"))
     ids = F.transform(F.coalesce(F.col("_pi"), F.array().cast("array<struct<pos:int,id:int>>")),
                       lambda x: x["id"])
