@@ -125,3 +125,15 @@ def test_global_position_empty_and_single(spark):
     assert with_global_position(empty, [F.col("k")], "pos", 4).count() == 0
     one = spark.createDataFrame([(5,)], "k long")
     assert with_global_position(one, [F.col("k")], "pos", 4).first()["pos"] == 0
+
+
+def test_huge_tie_group_spans_buckets(spark):
+    """A tie group larger than the bucket size still hands every visit the same successor."""
+    tied = [(1, i, T(2020, 1, 1), 0) for i in range(250)]
+    tail = [(1, 1000, T(2020, 1, 2), 1), (1, 1001, None, 0)]
+    o = samples.ordered_visits(_visits(spark, tied + tail), n_parts=4)
+    got = samples.with_successor(o, bucket_rows=16)
+    nxt = {r["hadm_id"]: (r["next_hadm_id"], r["next_label"]) for r in got.collect()}
+    assert all(nxt[i] == (1000, 1) for i in range(250))
+    assert nxt[1000] == (None, None) and nxt[1001] == (None, None)
+    assert got.count() == 252

@@ -14,7 +14,9 @@ later visit, emit a sample, stop after the first positive") becomes a set-based
   (entity, time nulls last, visit id) from ``ranking.with_global_position``, which
   range-partitions, so one entity's visits are spread over many tasks. The successor of
   a tie group is the row just after the group's last position (an equi-join on a unique
-  position); entity facts are a ``groupBy`` with partial aggregation, joined back.
+  position, once per group), handed to the group's visits through keys of bounded size;
+  entity facts are a ``groupBy`` with partial aggregation, broadcast back when the
+  counted number of hot entities allows it.
 
 Hot entities are found with one partially aggregated count per entity; their number is
 at most (visits / hot_threshold), and it is counted before the id list is broadcast.
@@ -38,6 +40,13 @@ HOT_THRESHOLD = 1_000_000
 # Hot ids are broadcast when there are at most this many (8 bytes each); beyond it they
 # are joined by shuffle. There can be at most visits / HOT_THRESHOLD of them.
 MAX_BROADCAST_KEYS = 2_000_000
+# Per-entity tables of the hot entities (facts, demographics: a few dozen bytes a row) are
+# broadcast back to the hot entities' rows when there are at most this many hot ids;
+# otherwise they are joined by shuffle and AQE splits the skewed partitions.
+MAX_BROADCAST_ENTITIES = 200_000
+# On the position path a tie group (visits of one entity sharing a time) hands its
+# successor to its visits through a key that holds at most this many visits.
+TIE_BUCKET_ROWS = 100_000
 
 SEQUENCE_COLS = ("visit_index", "n_visits", "first_time", "first_has_target", "next_time",
                  "next_hadm_id", "next_label", "first_positive_index", "last_sample_index")
@@ -56,40 +65,81 @@ def ordered_visits(visits: DataFrame, n_parts: int | None = None) -> DataFrame:
                                 n_parts)
 
 
-def with_successor(ordered: DataFrame) -> DataFrame:
-    """Add ``next_hadm_id``, ``next_label`` (the successor's ``has_target``) and
-    ``next_time``: the first visit with a strictly later time, ties broken by visit id."""
-    ties = (ordered.where(F.col("admittime").isNotNull())
-            .groupBy("subject_id", "admittime").agg(F.max("pos").alias("_tie_last")))
+def tie_group_successors(ordered: DataFrame) -> DataFrame:
+    """One row per tie group (visits of an entity sharing a non-null time): subject_id,
+    admittime, _tie_first, _tie_last (its positions) and its successor next_time,
+    next_hadm_id, next_label.
+
+    A tie group occupies the positions [first, last]; its successor is the visit at
+    last + 1 when that visit belongs to the same entity (it then has a later time, or a
+    null one, which is no successor). Keys are unique on both sides of the join.
+    """
+    groups = (ordered.where(F.col("admittime").isNotNull())
+              .groupBy("subject_id", "admittime")
+              .agg(F.min("pos").alias("_tie_first"), F.max("pos").alias("_tie_last")))
     succ = ordered.select(
         F.col("pos").alias("_succ_pos"), F.col("subject_id").alias("_succ_subject"),
         F.col("admittime").alias("next_time"), F.col("hadm_id").alias("next_hadm_id"),
         F.col("has_target").alias("next_label"))
-    joined = ordered.join(ties, ["subject_id", "admittime"], "left")
     cond = ((F.col("_succ_pos") == F.col("_tie_last") + 1)
             & (F.col("_succ_subject") == F.col("subject_id")) & F.col("next_time").isNotNull())
-    return joined.join(succ, cond, "left").drop("_tie_last", "_succ_pos", "_succ_subject")
+    return groups.join(succ, cond, "left").drop("_succ_pos", "_succ_subject")
+
 
+def with_successor(ordered: DataFrame, groups: DataFrame | None = None,
+                   bucket_rows: int = TIE_BUCKET_ROWS) -> DataFrame:
+    """Add ``next_hadm_id``, ``next_label`` (the successor's ``has_target``) and
+    ``next_time``: the first visit with a strictly later time, ties broken by visit id.
+
+    Each tie group's successor (``tie_group_successors``) is handed to the group's visits
+    on (entity, time, pos div ``bucket_rows``): the group's row is repeated once per
+    bucket it spans, so no join key holds more than ``bucket_rows`` visits, however large
+    the tie group.
+    """
+    b = F.lit(bucket_rows)
+    groups = tie_group_successors(ordered) if groups is None else groups
+    per_bucket = groups.select(
+        "subject_id", "admittime", "next_time", "next_hadm_id", "next_label",
+        F.explode(F.sequence(F.floor(F.col("_tie_first") / b), F.floor(F.col("_tie_last") / b))).alias("_bucket"))
+    keyed = ordered.withColumn("_bucket", F.floor(F.col("pos") / b))
+    return keyed.join(per_bucket, ["subject_id", "admittime", "_bucket"], "left").drop("_bucket")
 
-def entity_facts(with_next: DataFrame) -> DataFrame:
+
+def entity_facts(ordered: DataFrame, groups: DataFrame) -> DataFrame:
     """One row per entity: first_pos, n_visits, first_time, first_has_target,
-    first_positive_pos (first sample whose next visit has the target) and last_sample_pos."""
-    is_sample = F.col("next_hadm_id").isNotNull()
-    return with_next.groupBy("subject_id").agg(
+    first_positive_pos (first sample whose next visit has the target) and last_sample_pos.
+
+    Visits of a tie group share their successor, so the first positive sample is the first
+    position of the first tie group whose successor has the target, and the last sample is
+    the last position of the last tie group with a successor: both come from the
+    one-row-per-group table. Both aggregations are partial before their shuffle.
+    """
+    visits = ordered.groupBy("subject_id").agg(
         F.min("pos").alias("first_pos"),
         F.count(F.lit(1)).alias("n_visits"),
         F.min("admittime").alias("first_time"),
-        F.min_by("has_target", "pos").alias("first_has_target"),
-        F.min(F.when(is_sample & (F.col("next_label") == 1), F.col("pos"))).alias("first_positive_pos"),
-        F.max(F.when(is_sample, F.col("pos"))).alias("last_sample_pos"),
-    )
-
-
-def _sequence_by_position(visits: DataFrame, n_parts: int | None = None) -> DataFrame:
-    with_next = with_successor(ordered_visits(visits, n_parts))
-    facts = entity_facts(with_next)
+        F.min_by("has_target", "pos").alias("first_has_target"))
+    has_next = F.col("next_hadm_id").isNotNull()
+    samples_ = groups.where(has_next).groupBy("subject_id").agg(
+        F.min(F.when(F.col("next_label") == 1, F.col("_tie_first"))).alias("first_positive_pos"),
+        F.max("_tie_last").alias("last_sample_pos"))
+    return visits.join(samples_, "subject_id", "left")
+
+
+def _small(df: DataFrame, n_entities: int | None) -> DataFrame:
+    """Mark a per-entity table of the hot entities for broadcast when their counted number
+    is within MAX_BROADCAST_ENTITIES (an entity's rows all share one key there)."""
+    return F.broadcast(df) if n_entities is not None and n_entities <= MAX_BROADCAST_ENTITIES else df
+
+
+def _sequence_by_position(visits: DataFrame, n_parts: int | None = None,
+                          n_entities: int | None = None) -> DataFrame:
+    ordered = ordered_visits(visits, n_parts)
+    groups = tie_group_successors(ordered)
+    with_next = with_successor(ordered, groups)
+    facts = entity_facts(ordered, groups)
     rel = lambda c: (F.col(c) - F.col("first_pos")).cast("int")
-    return (with_next.join(facts, "subject_id")
+    return (with_next.join(_small(facts, n_entities), "subject_id")
             .withColumn("visit_index", rel("pos"))
             .withColumn("first_positive_index", rel("first_positive_pos"))
             .withColumn("last_sample_index", rel("last_sample_pos"))
@@ -134,17 +184,18 @@ def hot_entities(visits: DataFrame, threshold: int = HOT_THRESHOLD) -> DataFrame
 
 
 def _routed(visits: DataFrame, threshold: int, force: str | None):
-    """(normal visits, hot visits or None, hot ids or None)."""
+    """(normal visits, hot visits or None, hot ids or None, number of hot ids or None)."""
     if force == "window":
-        return visits, None, None
+        return visits, None, None, None
     if force == "position":
-        return None, visits, None
+        return None, visits, None, None
     hot = hot_entities(visits.select("subject_id"), threshold)
     n_hot = hot.count()  # proves the size of what is broadcast below
     if n_hot == 0:
-        return visits, None, None
+        return visits, None, None, 0
     keys = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
-    return visits.join(keys, "subject_id", "left_anti"), visits.join(keys, "subject_id", "left_semi"), keys
+    return (visits.join(keys, "subject_id", "left_anti"), visits.join(keys, "subject_id", "left_semi"),
+            keys, n_hot)
 
 
 def sequence(visits: DataFrame, threshold: int = HOT_THRESHOLD, force: str | None = None,
@@ -156,12 +207,12 @@ def sequence(visits: DataFrame, threshold: int = HOT_THRESHOLD, force: str | Non
     next_label, first_positive_index, last_sample_index. ``force`` ('window' | 'position')
     bypasses the routing (tests).
     """
-    normal, hot, _ = _routed(visits, threshold, force)
+    normal, hot, _, n_hot = _routed(visits, threshold, force)
     parts = []
     if normal is not None:
         parts.append(_sequence_by_window(normal))
     if hot is not None:
-        parts.append(_sequence_by_position(hot, n_parts))
+        parts.append(_sequence_by_position(hot, n_parts, n_hot))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -228,14 +279,14 @@ def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESH
     partitioned by the entity id, and on the position path the hot entities' demographics
     are at most the (counted) hot-id list.
     """
-    normal, hot, keys = _routed(visits, threshold, force)
+    normal, hot, keys, n_hot = _routed(visits, threshold, force)
     demo = demographics(patients)
     parts = []
     if normal is not None:
         parts.append(_finish(_sequence_by_window(normal), demo))
     if hot is not None:
-        hot_demo = demo.join(keys, "subject_id", "left_semi") if keys is not None else demo
-        parts.append(_finish(_sequence_by_position(hot, n_parts), hot_demo))
+        hot_demo = _small(demo.join(keys, "subject_id", "left_semi"), n_hot) if keys is not None else demo
+        parts.append(_finish(_sequence_by_position(hot, n_parts, n_hot), hot_demo))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
