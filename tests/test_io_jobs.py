@@ -104,3 +104,9 @@ def test_nested_history_matches_prefix(spark):
     nested = samples.nested_samples(fx.history)
     assert nested.count() == 495
     assert nested.select(F.max(F.size("history"))).first()[0] == 13
+
+
+def test_nested_history_refuses_unbounded_entities(spark):
+    fx = Fixture(spark, SF0001)
+    with pytest.raises(ValueError, match="history visits"):
+        samples.nested_samples(fx.history, max_history=5)

@@ -309,15 +309,32 @@ def samples(tl: DataFrame) -> DataFrame:
 VISIT_STRUCT = ("diagnoses", "abnormal_labs", "length_of_stay", "days_since_first")
 
 
-def nested_samples(history: DataFrame) -> DataFrame:
+# The nested record of an entity with K kept samples holds K(K+1)/2 visit structs and is
+# built in one window task: it is refused above this many history visits per entity.
+MAX_NESTED_HISTORY = 10_000
+
+
+def nested_samples(history: DataFrame, max_history: int = MAX_NESTED_HISTORY) -> DataFrame:
     """The reference's sample record: ``history`` is the array of every visit up to and
     including the sample's visit.
 
     The output is quadratic in visits per entity by definition (each sample repeats its
     prefix); the running ``collect_list`` runs in a window keyed by entity. Downstream
     aggregation does not need this form (see ``aggregate.patient_rows``); use it only when
-    the nested record itself is the product. ``history`` is ``attach_details`` output.
+    the nested record itself is the product. ``history`` is ``attach_details`` output and
+    carries ``n_kept``.
+
+    The longest history is measured first (one partially aggregated max); above
+    ``max_history`` visits this raises instead of building one unbounded task. The
+    run-length history table (``aggregate.flatten_counts``) holds the same information
+    in linear size.
     """
+    longest = history.agg(F.max("n_kept")).first()[0] or 0
+    if longest > max_history:
+        raise ValueError(
+            f"an entity has {longest} history visits; its nested record would hold "
+            f"{longest * (longest + 1) // 2} visit structs. Use the history table "
+            f"(run-length form) instead, or raise max_history.")
     w = Window.partitionBy("subject_id").orderBy("visit_index").rowsBetween(Window.unboundedPreceding, 0)
     visit = F.struct(*[F.col(c) for c in VISIT_STRUCT])
     hist = history.where("in_history").withColumn("history", F.collect_list(visit).over(w))
