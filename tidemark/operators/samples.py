@@ -293,10 +293,18 @@ def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESH
     return out
 
 
-def attach_details(tl: DataFrame, details: DataFrame) -> DataFrame:
-    """The history visits of a narrow timeline with their per-visit record
-    (``visits.visit_details``), joined on the unique visit id."""
-    return tl.where("in_history").join(details, "hadm_id")
+def attach_details(tl: DataFrame, diagnoses: DataFrame, abnormal_labs: DataFrame) -> DataFrame:
+    """The history visits of a narrow timeline with their lists: ``diagnoses`` (hadm_id,
+    diagnoses) and ``abnormal_labs`` (hadm_id, abnormal_labs) are one row per visit, joined
+    on the unique visit id; a visit missing from a list table gets an empty list. Both
+    list tables are already partitioned by the visit id (they are its aggregates), so only
+    the history visits are shuffled for these joins."""
+    empty = F.array().cast("array<string>")
+    return (tl.where("in_history")
+            .join(diagnoses.select("hadm_id", "diagnoses"), "hadm_id", "left")
+            .join(abnormal_labs.select("hadm_id", "abnormal_labs"), "hadm_id", "left")
+            .withColumn("diagnoses", F.coalesce("diagnoses", empty))
+            .withColumn("abnormal_labs", F.coalesce("abnormal_labs", empty)))
 
 
 def samples(tl: DataFrame) -> DataFrame:

@@ -59,8 +59,10 @@ def _empty():
 
 def visit_flags(admissions: DataFrame, codes_per_visit: DataFrame) -> DataFrame:
     """The narrow visit table that drives ordering: subject_id, hadm_id, admittime,
-    has_target (0 for a visit without diagnoses)."""
-    return (admissions.select("subject_id", "hadm_id", "admittime")
+    length_of_stay, has_target (0 for a visit without diagnoses). The length of stay is
+    one number per visit, so it rides along here rather than costing another scan and
+    shuffle of the admissions when the history is assembled."""
+    return (with_length_of_stay(admissions).select("subject_id", "hadm_id", "admittime", "length_of_stay")
             .join(codes_per_visit.select("hadm_id", "has_target"), "hadm_id", "left")
             .withColumn("has_target", F.coalesce("has_target", F.lit(0))))
 
@@ -79,4 +81,5 @@ def visit_facts(admissions: DataFrame, mapped: DataFrame, labs: DataFrame, targe
     """One row per admission with its flag, lists and length of stay; a visit without
     diagnoses or abnormal labs gets empty lists and flag 0."""
     per_visit = visit_codes(mapped, target)
-    return visit_flags(admissions, per_visit).join(visit_details(admissions, per_visit, labs), "hadm_id")
+    return visit_flags(admissions, per_visit).join(
+        visit_details(admissions, per_visit, labs).drop("length_of_stay"), "hadm_id")

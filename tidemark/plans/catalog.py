@@ -57,8 +57,12 @@ class Fixture:
         return visits.visit_flags(self.inputs.admissions, self.target_flags)
 
     @cached_property
-    def details(self) -> DataFrame:
-        return visits.visit_details(self.inputs.admissions, visits.visit_diagnoses(self.mapped), self.labs)
+    def diagnosis_lists(self) -> DataFrame:
+        return visits.visit_diagnoses(self.mapped)
+
+    @cached_property
+    def abnormal_lists(self) -> DataFrame:
+        return visits.visit_abnormal_labs(self.labs)
 
     @cached_property
     def sequence(self) -> DataFrame:
@@ -73,7 +77,7 @@ class Fixture:
     @cached_property
     def history(self) -> DataFrame:
         """History visits with their lists and length of stay."""
-        return samples.attach_details(self.timeline, self.details)
+        return samples.attach_details(self.timeline, self.diagnosis_lists, self.abnormal_lists)
 
     @cached_property
     def samples(self) -> DataFrame:

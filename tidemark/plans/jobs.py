@@ -50,7 +50,7 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     # the flag needs the crosswalk only; the title lists feed the history details
     crosswalked = codes.map_codes(t["diagnoses_icd"], t["icd9_to_icd10"], t["icd10_to_ccsr"])
     flags = visits.visit_flags(t["admissions"], visits.visit_target_flag(crosswalked, cfg.target_code))
-    details = visits.visit_details(t["admissions"], visits.visit_diagnoses(mapped), lab)
+    dx_lists, lab_lists = visits.visit_diagnoses(mapped), visits.visit_abnormal_labs(lab)
 
     def by_split(df: DataFrame, col: str) -> DataFrame:
         return splits.hash_split(df, col, cfg.seed, cfg.train_pct, cfg.train_val_pct)
@@ -61,7 +61,7 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     store.write_by_split(by_split(tl, "subject_id"), os.path.join(base, "timeline"))
     tl = store.read_dataset(spark, os.path.join(base, "timeline"))
     # 2. history visits with their lists
-    hist = samples.attach_details(tl.drop("split"), details).select(*HISTORY_COLS)
+    hist = samples.attach_details(tl.drop("split"), dx_lists, lab_lists).select(*HISTORY_COLS)
     store.write_by_split(by_split(hist, "subject_id"), os.path.join(base, "history"))
     # 3. samples
     smp = tl.where("kept").select(F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
