@@ -3,7 +3,8 @@
 The model is a Spark ML pipeline (whitespace tokens -> hashed term frequencies -> IDF ->
 logistic regression with an L2 penalty standing in for weight decay). Every fit and every
 scoring pass is distributed; the only driver loop is over the k folds, as in any k-fold
-procedure. Scores are the raw margins (the class-1 entry of ``rawPrediction``), which is
+procedure. When a fold's training table is too small to fill the cluster, the k fits are
+submitted concurrently from driver threads (``fold_parallelism``). Scores are the raw margins (the class-1 entry of ``rawPrediction``), which is
 what the metrics rank; the predicted class is their argmax.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -42,9 +44,25 @@ ROWS_PER_TASK = 200_000
 def sized_for_passes(df: DataFrame) -> DataFrame:
     """Coalesce a materialised table (no shuffle) so that its partitions hold about
     ``ROWS_PER_TASK`` rows; a large table keeps all its partitions."""
+    return _sized(df)[0]
+
+
+def _sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """(the coalesced table, its number of partitions)."""
     n_rows = df.count()
     target = max(1, -(-n_rows // ROWS_PER_TASK))
-    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+    current = df.rdd.getNumPartitions()
+    return (df.coalesce(target), target) if target < current else (df, current)
+
+
+def fold_parallelism(spark, k: int, partitions: int) -> int:
+    """How many folds to fit at once. Each fit's passes run one task per partition; when
+    k fits together still need no more tasks than the cluster runs at once, they are
+    submitted concurrently (as Spark ML's CrossValidator does with ``parallelism``).
+    A table that fills the cluster is fitted one fold at a time, so only one fold's
+    training copy is ever cached."""
+    slots = spark.sparkContext.defaultParallelism
+    return k if partitions * k <= slots else 1
 
 
 def pipeline(params: ClassifierParams = ClassifierParams(), text: str = "text", label: str = "labels",
@@ -90,12 +108,18 @@ def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
     # Every fold fits three stages (IDF, LR and scoring) over this table: checkpoint it once
     # to the shared folder, so no fit recomputes the upstream plan and a lost executor
     # does not either.
-    ensure_checkpoint_dir(pool.sparkSession)
-    data = sized_for_passes((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
+    spark = pool.sparkSession
+    ensure_checkpoint_dir(spark)
+    data, partitions = _sized((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
     k = data.agg(F.max("fold")).first()[0] + 1
-    models, scored = {}, None
+
+    def fit_fold(f: int) -> tuple[int, PipelineModel]:
+        return f, fit(data.where(F.col("fold") != f), params, text, label)
+
+    with ThreadPoolExecutor(max_workers=fold_parallelism(spark, k, partitions)) as workers:
+        models = dict(workers.map(fit_fold, range(k)))
+    scored = None
     for f in range(k):
-        models[f] = fit(data.where(F.col("fold") != f), params, text, label)
         s = score(models[f], data.where(F.col("fold") == f), keep=("fold", label))
         scored = s if scored is None else scored.unionByName(s)
     fm = metrics.metric_bundle(scored, "scores", label, by="fold")
