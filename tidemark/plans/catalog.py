@@ -212,10 +212,13 @@ def q_first_visit(spark, d):
 
 
 def q_days_since_first(spark, d):
-    a = _fx(spark, d).inputs.admissions.where(F.col("subject_id").isNotNull())
-    first = a.groupBy("subject_id").agg(F.min("admittime").alias("_first_time"))
-    return a.join(first, "subject_id").select(
-        "subject_id", "hadm_id", whole_days("_first_time", "admittime").alias("days_since_first"))
+    """Whole days since the entity's first visit, for every admission. The entity's first
+    time comes from the routed sequence operator (fed by the admissions alone), so an
+    entity with a huge number of visits is never one join key or one window task."""
+    a = _fx(spark, d).inputs.admissions.select("subject_id", "hadm_id", "admittime",
+                                                F.lit(0).alias("has_target"))
+    return samples.sequence(a).select(
+        "subject_id", "hadm_id", whole_days("first_time", "admittime").alias("days_since_first"))
 
 
 def q_cohort(spark, d):
