@@ -66,3 +66,11 @@ def test_no_single_partition_exchange_on_data(spark):
         for line in p.splitlines():
             if "SinglePartition" in line:
                 assert "ENSURE_REQUIREMENTS" in line
+
+
+def test_timeline_is_computed_once(spark):
+    """Plans built on the history compute the ordered timeline once: the ordering window
+    appears a single time (no second branch re-deriving it for counts or facts)."""
+    for name in ["patient_aggregate", "patient_text", "flatten_history", "next_event_samples"]:
+        p = _plan(entry.queries()[name](spark, SF0001))
+        assert p.count("Window [row_number()") == 1, name
