@@ -92,9 +92,10 @@ def test_stream_matches_batch(spark, tmp_out):
     spark.read.parquet(f"{SF0001}/lineitem.parquet").write.mode("overwrite").parquet(os.path.join(src, "batch0"))
     stream = stateless.flagged_labs(stateless.lab_event_stream(spark, os.path.join(src, "batch0"), schema),
                                     fx.inputs.d_labitems, FIXTURE_CONFIG.relevant_labs)
-    q = stateless.run_to_table(stream, "tm_flagged", os.path.join(tmp_out, "ckpt"))
+    sink = os.path.join(tmp_out, "flagged")
+    q = stateless.run_to_parquet(stream, sink, os.path.join(tmp_out, "ckpt"))
     q.awaitTermination(120)
-    got = spark.table("tm_flagged")
+    got = spark.read.parquet(sink)
     assert got.count() == fx.labs.count() == 3087
     assert got.agg(F.sum("abnormal")).first()[0] == 2050
 

@@ -39,10 +39,13 @@ def mapped_codes(dx_stream: DataFrame, icd9_to_icd10: DataFrame, icd10_to_ccsr:
     return map_codes(dx_stream, icd9_to_icd10, icd10_to_ccsr)
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, trigger_once: bool = True):
-    """Append the stream into an in-memory table ``name`` (tests, notebooks); with
-    ``trigger_once`` it processes what is available and stops."""
-    w = df.writeStream.outputMode("append").format("memory").queryName(name).option("checkpointLocation", checkpoint)
+def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
+    """Append the stream to a parquet folder. Both ``path`` and ``checkpoint`` belong on
+    the shared storage the cluster names (the checkpoint holds the source offsets and the
+    sink's commit log, so a restarted query resumes exactly once). With ``trigger_once``
+    it processes what is available and stops."""
+    w = (df.writeStream.outputMode("append").format("parquet")
+         .option("path", path).option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
