@@ -22,6 +22,10 @@ from tidemark.functions.exprs import argmax_class, class_score
 from tidemark.operators.ranking import with_prefix_sums
 
 
+# Per-group offset tables (keys and four numbers a row) are broadcast up to this many groups.
+MAX_BROADCAST_GROUPS = 200_000
+
+
 def _keys(by):
     return [] if by is None else ([by] if isinstance(by, str) else list(by))
 
@@ -53,6 +57,11 @@ def curve(df: DataFrame, score: str = "score", label: str = "label", by=None) ->
         base = cum.groupBy(*keys).agg(
             F.min(F.col("tp") - F.col("p")).alias("_btp"), F.min(F.col("fp") - F.col("n")).alias("_bfp"),
             F.sum("p").alias("tp_total"), F.sum("n").alias("fp_total"))
+        # Few groups (folds) each own many rows, so the group key is a hot join key: the
+        # one-row-per-group table is broadcast when its counted size allows it.
+        n_groups = base.count()
+        if n_groups <= MAX_BROADCAST_GROUPS:
+            base = F.broadcast(base)
         cum = (cum.join(base, keys)
                .withColumn("tp", F.col("tp") - F.col("_btp"))
                .withColumn("fp", F.col("fp") - F.col("_bfp")).drop("_btp", "_bfp"))
