@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Ordered operators checkpoint to the shared folder on every run; delete those files
+    # once their RDD is garbage-collected, so a long-lived session does not fill it.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
