@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, topk
+from tidemark.llm import bpe, exact_dedup, token_store, topk
 
-MODULES = (exact_dedup, topk)
+MODULES = (exact_dedup, topk, bpe, token_store)
 QUERIES = {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
