@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, exact_dedup, language, quality, token_store, topk
+from tidemark.llm import bpe, exact_dedup, language, quality, token_store, topk, toxicity
 
-MODULES = (language, exact_dedup, topk, bpe, token_store, quality)
+MODULES = (language, exact_dedup, topk, bpe, toxicity, token_store, quality)
 QUERIES = {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
