@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import ChunkEncoder, Memory
+from tidemark.llm.chunks import ChunkEncoder, Memory, blocks
 from tidemark.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -129,9 +129,9 @@ class Encoder:
             out.append(b"".join(ids))
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        return self.chunks.encode(text)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return self.chunks.encode(texts)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -156,8 +156,7 @@ def encoded(path: str, pattern: str, keep_ids: bool = False):
         bpe = encoder(path, pattern)
         for texts in batches:
             rows = []
-            for text in texts:
-                ids = bpe.encode(text or "")
+            for ids in (ids for block in blocks(texts) for ids in bpe.encode(block)):
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest())
                 rows.append((*row, ids) if keep_ids else row)
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])

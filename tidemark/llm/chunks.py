@@ -2,18 +2,20 @@
 
 The byte-level patterns cut in front of every run of white space that follows another
 character, so the strings between such places can be encoded alone and joined again. Most
-texts are words separated by one space or line feed: those are split at the spaces, and a
-word that holds line feeds only when it is not known.
+texts are words separated by one space or line feed: those are split there, and a word after
+a line feed keeps it as its first character.
 Texts with other white space are cut less finely or not at all; the result is the same.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 #: Entries of one generation of a memory; a full one becomes the older generation.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
+#: Entries of the small table in front of it: the words of the day, near enough to the processor.
+HOT = 40_000
 RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A letter or digit, then only punctuation to the end of the chunk: the patterns cut between.
 TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.S)
@@ -44,50 +46,79 @@ class ChunkEncoder:
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
         self.encode_many = encode_many
-        self.bare, self.spaced = Memory(), Memory()  # chunks as they are; words after one space
+        self.bare, self.spaced = Memory(), Memory()  # chunks as they are; words after a space or line feed
+        self.hot: dict[str, bytes] = {}
         self.line_feed = encode_many(["\n"])[0]
 
-    def _fetch(self, memory: Memory, keys: list[str], prefix: str) -> dict[str, bytes]:
-        """The encoding of every key, from the memory or made now."""
+    def _known(self, memory: Memory, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
         found, missing = {}, []
-        for key in dict.fromkeys(keys):
-            value = memory.new.get(key)
-            if value is None:
-                value = memory.older(key)
+        for key in keys:
+            value = memory.new.get(key) or memory.older(key)
             if value is None:
                 missing.append(key)
             else:
                 found[key] = value
+        return found, missing
+
+    def _as_they_are(self, chunks: set[str]) -> dict[str, bytes]:
+        found, missing = self._known(self.bare, chunks)
         if missing:
-            cut = {key: m.groups() for key in missing if (m := TAIL.fullmatch(key))}
-            whole = [key for key in missing if key not in cut]
-            made = dict(zip(whole, self.encode_many([prefix + k for k in whole]) if whole else [], strict=True))
-            if cut:
-                stems = self._fetch(memory, [stem for stem, _ in cut.values()], prefix)
-                tails = self._fetch(self.bare, [tail for _, tail in cut.values()], "")
-                made.update((key, stems[stem] + tails[tail]) for key, (stem, tail) in cut.items())
-            for key, value in made.items():
+            for key, value in zip(missing, self.encode_many(missing), strict=True):
+                found[key] = value
                 if len(key) <= 64:
-                    memory.put(key, value)
+                    self.bare.put(key, value)
+        return found
+
+    def _after_space(self, words: set[str], cut: bool = True) -> dict[str, bytes]:
+        """Words that follow a space, or that begin with the line feed they follow."""
+        found, missing = self._known(self.spaced, words)
+        if missing:
+            lines = [w for w in missing if w[0] == "\n"]
+            tails = {w: m.groups() for w in missing if cut and w[0] != "\n" and (m := TAIL.fullmatch(w))}
+            whole = [w for w in missing if w not in tails and w[0] != "\n"]
+            made = dict(zip(whole, self.encode_many([" " + w for w in whole]) if whole else [], strict=True))
+            if lines or tails:
+                bare = self._as_they_are({w[1:] for w in lines} | {tail for _, tail in tails.values()})
+                stems = self._after_space({stem for stem, _ in tails.values()}, cut=False)
+                made.update((w, self.line_feed + bare[w[1:]]) for w in lines)
+                made.update((w, stems[stem] + bare[tail]) for w, (stem, tail) in tails.items())
+            for word, value in made.items():
+                if len(word) <= 64:
+                    self.spaced.put(word, value)
             found.update(made)
         return found
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if text.split() != text.replace("\n", " ").split(" "):  # not just single spaces and line feeds
-            chunks = RUN.findall(text) if OTHER_SPACE.search(text) is None else [text]
-            return b"".join(map(self._fetch(self.bare, chunks, "").__getitem__, chunks))
-        words = text.split(" ")
-        out = list(map(self.spaced.new.get, words))
-        out[0] = None  # no space in front of the first word
-        open_ = [i for i, ids in enumerate(out) if ids is None]
-        parts = {i: words[i].split("\n") for i in open_}
-        bare = [p for i in open_ for p in parts[i][i > 0:]]
-        bare = self._fetch(self.bare, bare, "")
-        spaced = self._fetch(self.spaced, [parts[i][0] for i in open_ if i], " ")
-        for i in open_:
-            first, *rest = parts[i]
-            ids = spaced[first] if i else bare[first]
-            out[i] = self.line_feed.join([ids, *map(bare.__getitem__, rest)]) if rest else ids
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's encoding; words that are new to the worker are encoded in one call."""
+        hot = self.hot
+        if len(hot) > HOT:
+            hot.clear()
+        split: list[list[str] | None] = []
+        for text in texts:
+            plain = text.split() == text.replace("\n", " ").split(" ")  # single spaces and line feeds only
+            split.append(text.replace("\n", " \n").split(" ") if plain else None)
+        unseen = {w for words in split if words for w in words[1:]}.difference(hot)
+        if unseen:
+            hot.update(self._after_space(unseen))
+        firsts = self._as_they_are({words[0] for words in split if words})
+        out = []
+        for text, words in zip(texts, split, strict=True):
+            if words:
+                out.append(b"".join([firsts[words[0]], *map(hot.__getitem__, words[1:])]))
+            else:
+                chunks = RUN.findall(text) if OTHER_SPACE.search(text) is None else [text] * bool(text)
+                out.append(b"".join(map(self._as_they_are(set(chunks)).__getitem__, chunks)))
+        return out
+
+
+def blocks(texts: list, most: int = 1 << 19) -> Iterator[list]:
+    """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

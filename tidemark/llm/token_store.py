@@ -16,7 +16,7 @@ Parquet table (so that it can lie in any store that Spark reaches) and holds
 ``positions`` is the place of the shard in the whole: the ids of all documents before it.
 
 Defined cases: a null text is the empty text, whose ids are the end id alone. Rows that
-repeat a doc_id are told apart by their occurrence number (texts in ascending order); null
+repeat a doc_id are told apart by their occurrence number (in the order of a hash of the text); null
 ids come first. An empty table gives a store without shards. Other columns are ignored.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.chunks import ChunkEncoder
+from tidemark.llm.chunks import ChunkEncoder, blocks
 from tidemark.llm.common import ensure_checkpoint_dir, read, shuffle_partitions
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -212,10 +212,11 @@ def _shards(path: str, shard_ids: int):
         previous, occurrence = object(), 0
         for batch in batches:
             end = end or np.array([END], f"<u{bpe.width}").tobytes()
-            for part, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            encoded = (ids for block in blocks(batch.column(2).to_pylist()) for ids in bpe.encode(block))
+            for part, doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded, strict=True):
                 occurrence = occurrence + 1 if doc_id == previous else 0
                 previous = doc_id
-                ids = bpe.encode(text or "") + end
+                ids += end
                 doc_ids.append(doc_id)
                 occurrences.append(occurrence)
                 lengths.append(len(ids) // bpe.width)
@@ -233,12 +234,13 @@ def _shards(path: str, shard_ids: int):
 def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, shard_ids: int = SHARD_IDS) -> None:
     """Encode ``docs`` and write their shards below ``path``.
 
-    The range partitions follow (doc_id, text), so many rows of one id spread as well.
+    The range partitions follow (doc_id, hash of the text), so many rows of one id spread.
     """
     parts = shuffle_partitions(docs.sparkSession)
+    order = [F.col("doc_id").asc_nulls_first(), F.col("digest")]  # range bounds hold no texts
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-              .repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "text")
-              .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+              .withColumn("digest", F.xxhash64("text"))
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
               .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     shards = ranged.mapInArrow(_shards(vocabulary or public_tokenizers.path(VOCABULARY), shard_ids), SHARD)
     shards.write.option("compression", "zstd").parquet(path)
