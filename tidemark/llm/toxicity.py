@@ -1,10 +1,11 @@
 """Toxicity (operator 5): a learned lexicon matched with Levenshtein automata.
 
 Learning. Labelled training documents are dealt to two halves by a hash of their id. On the
-first half every word gets its number of toxic and of clean documents; words with strong
-evidence form the *lexicon*, and word beginnings that only toxic words share become *stems*
-(families of inflected terms). On the second half the weights of the score are fitted, so
-that they see unseen words the way later texts show them.
+first half (copies, told by their least shingle, count once) every word gets its number of
+toxic and of clean documents. Words whose share of toxic documents is too high for chance,
+given how many words were tried, form the *lexicon*; word beginnings that only toxic words
+share become *stems* (families of inflected terms). On the second half the weights of the
+score are fitted, so that they see unseen words the way later texts show them.
 
 Matching. The lexicon is a trie. A Levenshtein automaton for a token is run along its
 branches (the rows of the edit matrix are its states, one row for each trie node), and a
@@ -15,7 +16,7 @@ are never taken for misspellings.
 
 Context. Each hit is scored by a window around it: hits between quotation marks, or near a
 word that reports speech, count as quoted; the rest count as abuse. A logistic curve over
-abusive, misspelled and quoted hits (number and density) gives the score.
+abusive hits (misspelled ones weigh less), their density and quoted hits gives the score.
 
 Bounds: at most about ``TRAIN_DOCS`` labelled documents (whole texts, chosen by a hash of
 the id), ``TERMS`` terms, ``STEMS`` stems and ``CLEAN`` clean look-alikes. Every row is
@@ -39,14 +40,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fraction_for, hash_share, read, remainder, stored
+from tidemark.llm.near_dedup import shingle_set
 
 TRAIN_DOCS = 16_000
 TERMS, STEMS, CLEAN = 4_000, 1_000, 50_000
-#: Log odds that a term needs, the documents it needs, and the shortest term that is matched with an edit.
-EVIDENCE, SUPPORT, FUZZY_LENGTH = 3.0, 3, 4
+#: Documents that a word needs to be tried, its least share of toxic ones among them, how much rarer
+#: than one in the number of words a chance result must be (log), and the shortest term matched with an edit.
+SUPPORT, PRECISION, MARGIN, FUZZY_LENGTH = 3, 0.7, 1.0, 4
 STEM_SIZES, STEM_WORDS = range(4, 9), 5
 WINDOW, THRESHOLD = 6, 0.7
 EXACT, FUZZY = 1, 2
+#: Weight of a misspelled hit against an exact one.
+MISSPELLED = 0.7
 #: Tokens whose match a worker keeps; the memory starts anew beyond it.
 REMEMBERED = 500_000
 
@@ -166,8 +171,9 @@ def features(matcher: Matcher, text: str | None) -> list[float]:
             abuse += 1
         else:
             fuzzy += 1
-    dense = 100 * (abuse + 0.5 * fuzzy) / len(tokens) if tokens else 0.0
-    return [math.log1p(abuse), math.log1p(fuzzy), math.log1p(cited), float(abuse > 0), math.log1p(dense)]
+    hits = abuse + MISSPELLED * fuzzy  # misspellings are too rare in labels for a weight of their own
+    dense = 100 * hits / len(tokens) if tokens else 0.0
+    return [math.log1p(hits), min(1.0, hits), math.log1p(cited), math.log1p(dense)]
 
 
 # ------------------------------------------------------------------------------ learning
@@ -181,26 +187,37 @@ def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                               pa.array([toxic] * len(words), pa.int32())], names=["word", "toxic"])
 
 
+def _least_shingle(texts: pd.Series) -> pd.Series:
+    """Equal for copies, and for most near copies, of a text."""
+    return pd.Series([int(s[0].view(np.int64)) if len(s := shingle_set(t)) else 0 for t in texts])
+
+
 def learn_lexicon(labelled: DataFrame) -> Lexicon:
     """The lexicon of labelled texts (columns toxic, text)."""
-    toxic, clean = labelled.select(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1))).first()
+    once = labelled.withColumn("least", F.pandas_udf(_least_shingle, "long")("text")).dropDuplicates(["least", "toxic"])
+    once = stored(once.select(F.col("toxic").cast("int").alias("toxic"), "text"), "toxic-once")
+    toxic, clean = once.select(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1))).first()
     if not toxic or not clean:
         return Lexicon([], [], [])
-    words = stored(labelled.select(F.col("toxic").cast("int").alias("toxic"), "text")
-                   .mapInArrow(_document_words, "word string, toxic int")
+    words = stored(once.mapInArrow(_document_words, "word string, toxic int")
                    .groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")),
                    "toxic-words")
 
-    def evidence(bad: str, good: str) -> Column:
-        return F.log((F.col(bad) + 0.5) / (toxic + 1)) - F.log((F.col(good) + 0.5) / (clean + 1))
+    def beyond_chance(df: DataFrame) -> DataFrame:
+        """Rows (bad, good) whose toxic share is no accident among as many rows as there are."""
+        tried = df.where(F.col("bad") + F.col("good") >= SUPPORT)
+        share, usual = F.col("bad") / (F.col("bad") + F.col("good")), toxic / (toxic + clean)
+        surprise = (F.col("bad") * F.log(share / usual)
+                    + F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - usual))).otherwise(0.0))
+        needed = math.log(max(1, tried.count())) + MARGIN
+        return tried.where((F.col("bad") > 0) & (share >= PRECISION) & (surprise >= needed))
 
-    strong = words.where((F.col("bad") >= SUPPORT) & (evidence("bad", "good") >= EVIDENCE))
-    terms = [r.word for r in strong.orderBy(F.desc("bad"), "word").limit(TERMS).collect()]
+    terms = [r.word for r in beyond_chance(words).orderBy(F.desc("bad"), "word").limit(TERMS).collect()]
     starts = F.array(*[F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEM_SIZES])
-    families = (words.select(F.explode(F.array_compact(starts)).alias("stem"), "bad", "good")
-                .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"),
-                                     F.count(F.when(F.col("bad") > 0, 1)).alias("n"))
-                .where((F.col("n") >= STEM_WORDS) & (F.col("good") == 0) & (evidence("bad", "good") >= EVIDENCE)))
+    families = beyond_chance(words.select(F.explode(F.array_compact(starts)).alias("stem"), "bad", "good")
+                             .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"),
+                                                  F.count(F.when(F.col("bad") > 0, 1)).alias("n"))
+                             .where((F.col("n") >= STEM_WORDS) & (F.col("good") == 0)))
     stems: list[str] = []
     for r in families.orderBy(F.length("stem"), F.desc("bad"), "stem").limit(STEMS).collect():
         if not any(r.stem.startswith(s) for s in stems):
