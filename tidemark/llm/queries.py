@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, exact_dedup, language, near_dedup, quality, token_store, topk, toxicity
+from tidemark.llm import bpe, exact_dedup, extraction, language, near_dedup, quality, token_store, topk, toxicity
 
-MODULES = (language, near_dedup, exact_dedup, topk, bpe, toxicity, token_store, quality)
+MODULES = (language, near_dedup, exact_dedup, topk, bpe, toxicity, token_store, extraction, quality)
 QUERIES = {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
