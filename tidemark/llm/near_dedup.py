@@ -6,17 +6,17 @@
    all). Empty buckets borrow the register of another bucket by a fixed random order.
 2. Classes. Texts with the same shingle set (compared by a 128-bit digest of the set) are
    one class, with the smallest doc_id as its representative, so copies cost one row each.
-3. Bands. ``BANDS`` groups of ``BUCKETS / BANDS`` compressed registers are the keys that bring
+3. Bands. ``BANDS`` groups of ``BAND_ROWS`` compressed registers are the keys that bring
    candidates together. At similarity 0.75 a pair misses all bands with probability below
    1e-5.
 4. Links. Within a band key nobody is compared with everybody. First each class meets the
    smallest member of each of its keys. What is connected by then needs no further look. The
-   rest goes on in rounds: of each key that still holds several components a growing share
-   of members (1, 2, 4, ... until all) meets the others of different components. Every pair
-   of a key is thus either inside one component or compared, so no link can be lost, while
+   rest goes on: of each key that still holds several components, about ``LEADERS`` members
+   meet the others of different components, and what is then still apart meets in full. Every
+   pair of a key is thus either inside one component or compared, so no link can be lost, while
    a key with thousands of alike texts costs little more than one comparison for each.
 5. Verification. A pair first passes the size test (exact), then the Jaccard estimate from
-   the registers, corrected for accidental register collisions, six standard deviations
+   the registers, corrected for accidental register collisions, ``SIGMAS`` standard deviations
    below the threshold; the remaining pairs are confirmed on full shingle sets, which are
    made only for classes that have candidates.
 6. Components of the confirmed links by alternating star contractions, checkpointed.
@@ -45,7 +45,8 @@ from tidemark.llm.common import read, stored
 
 SHINGLE = 5
 PERCENT = 75  # link: 100 * |A and B| >= PERCENT * |A or B|
-BUCKETS, BANDS, MANTISSA = 128, 32, 10
+BUCKETS, BANDS, BAND_ROWS, MANTISSA = 256, 32, 4, 10
+LEADERS, SIGMAS = 8, 5
 #: Counted bound under which a list of ids and digests is broadcast (24 bytes each); longer ones are joined.
 BROADCAST_IDS = 500_000
 #: Word hashes that a worker keeps; the memory starts anew beyond it.
@@ -128,11 +129,13 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def estimate_floor(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Estimates below this are hopeless: six standard deviations under the threshold, with no
-    more independent registers than the smaller set has shingles."""
-    share = PERCENT / 100
-    witnesses = np.minimum(BUCKETS, np.minimum(n_a, n_b)) / 2  # borrowed registers are not independent
-    return share - 6 * np.sqrt(share * (1 - share) / np.maximum(witnesses, 1))
+    """Estimates below this are hopeless: ``SIGMAS`` standard deviations under the threshold.
+
+    Small sets leave buckets empty; a borrowed register is no new witness, which the number
+    of independent ones, BUCKETS * n / (n + BUCKETS), allows for.
+    """
+    share, n = PERCENT / 100, np.minimum(n_a, n_b)
+    return share - SIGMAS * np.sqrt(share * (1 - share) * (n + BUCKETS) / (BUCKETS * n))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,12 +163,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, rep, n) for each band of each class."""
-    width = 2 * BUCKETS // BANDS
     for batch in batches:
         if not batch.num_rows:
             continue
-        regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, BANDS, width)
-        keys = regs.copy().view(np.uint64).reshape(batch.num_rows, BANDS)
+        regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(batch.num_rows, BUCKETS)
+        keys = regs[:, :BANDS * BAND_ROWS].copy().view(np.uint64)  # four registers are one 64-bit key
         keys = _mixed(keys ^ _mixed(np.arange(1, BANDS + 1, dtype=np.uint64)))  # one-to-one within a band
         rep, n = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 1))
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(rep), pa.array(n)],
@@ -202,27 +204,25 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) of the nodes of ``edges`` (a, b).
 
     Alternating large-star and small-star contractions; each is two partially aggregated
-    steps on the edge list, which is written after each round.
+    steps on the edge list, which is written after each round. It ends when a round changes
+    nothing: then every edge leads straight to the smallest node.
     """
     def least(df: DataFrame) -> DataFrame:
         return df.groupBy("u").agg(F.min("v").alias("m"))
 
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "star")
-    mark = None
-    while True:
+    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    mark, last = None, ()
+    while mark != last:
+        last = mark
         # large star: larger neighbours of u go to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = least(both).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: smaller neighbours of u, and u itself, go to the least of them
         small = large.join(least(large), "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         now = stored(small.select("e.*").where("u <> v").distinct(), "star")
-        count, check, roots = now.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                                         F.count_distinct("u")).first()
-        if (count, check) == mark and count == roots:
-            break
-        mark = (count, check)
+        mark = tuple(now.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     tops = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
 
@@ -264,27 +264,23 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                .join(sketches.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a")
                .join(sketches.select("rep", F.col("n").alias("n_b")), "rep")
                .select("a", "n_a", F.col("rep").alias("b"), "n_b"))
-    edges = stored(_verified(_pairs_of(partner), sketches, sets), "near-links")
-    share, done = 1, None
-    while True:
-        found = stored(components(edges), "near-components")
+    found = stored(components(_verified(_pairs_of(partner), sketches, sets)), "near-components")
+    for leaders in (LEADERS, None):
         labelled = members.select("key", "size", "rep", "n").join(
             found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         spread = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         open_ = stored(labelled.join(spread.select("key"), "key", "left_semi"), "near-open")
-        if open_.isEmpty() or done:
-            return found
-        # leaders: about ``share`` members of each open key, all of them once share reaches its size
+        if open_.isEmpty():
+            break
         draw = F.pmod(F.xxhash64("rep", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        leader = draw * F.col("size") < F.lit(float(share))
-        leaders = open_.where(leader).select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"),
-                                             F.col("component").alias("c"))
-        met = open_.join(leaders, "key").where(F.col("component") != F.col("c")).select(
+        leading = open_ if leaders is None else open_.where(draw * F.col("size") < F.lit(float(leaders)))
+        leading = leading.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c"))
+        met = open_.join(leading, "key").where(F.col("component") != F.col("c")).select(
             "a", "n_a", F.col("rep").alias("b"), F.col("n").alias("n_b"))
-        largest = open_.agg(F.max("size")).first()[0]
-        edges = stored(edges.unionByName(_verified(_pairs_of(met), sketches, sets)).distinct(), "near-links")
-        done = share >= largest
-        share *= 4
+        new = _verified(_pairs_of(met), sketches, sets)
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = stored(components(known.unionByName(new)), "near-components")
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
