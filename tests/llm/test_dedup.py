@@ -175,9 +175,9 @@ def test_registers_and_estimate():
         s = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
         regs = near_dedup.registers(s)
         for bucket in range(near_dedup.BUCKETS):
-            own = [int(x) for x in s if int(x) >> 57 == bucket]
+            own = [int(x) for x in s if int(x) >> (64 - near_dedup._BITS) == bucket]
             if own:
-                bits = format((min(own) << 7) & (2 ** 64 - 1), "064b")
+                bits = format((min(own) << near_dedup._BITS) & (2 ** 64 - 1), "064b")
                 zeros = min(63, len(bits) - len(bits.lstrip("0")))
                 mantissa = int((bits[zeros + 1:] + "0" * 64)[:near_dedup.MANTISSA], 2)
                 assert regs[bucket] == (zeros << near_dedup.MANTISSA) | mantissa

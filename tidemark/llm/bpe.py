@@ -115,6 +115,7 @@ class Encoder:
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         out, memory = [], self.pieces
+        memory.turn()
         for chunk in chunks:
             ids = []
             for match in self.pattern.findall(chunk):

@@ -14,30 +14,33 @@ from collections.abc import Callable, Iterator
 
 #: Entries of one generation of a memory; a full one becomes the older generation.
 REMEMBERED = 800_000
-#: Entries of the small table in front of it: the words of the day, near enough to the processor.
-HOT = 40_000
 RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A letter or digit, then only punctuation to the end of the chunk: the patterns cut between.
 TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.S)
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: What a text of words between single spaces and line feeds does not hold.
+UNUSUAL = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 
 
 class Memory:
-    """string -> encoded bytes; a full generation replaces the older one, so what is in use
-    stays and the size is bounded by two generations."""
+    """string -> encoded bytes in two generations: a full one replaces the older one, so what is
+    in use stays and the size is bounded."""
 
     def __init__(self, limit: int = REMEMBERED):
         self.limit, self.new, self.old = limit, {}, {}
 
+    def turn(self) -> None:
+        """Between two steps: start a new generation if this one is full."""
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+
     def older(self, key):
         value = self.old.get(key)
         if value is not None:
-            self.put(key, value)
+            self.new[key] = value
         return value
 
     def put(self, key, value) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
         self.new[key] = value
 
 
@@ -47,13 +50,13 @@ class ChunkEncoder:
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
         self.encode_many = encode_many
         self.bare, self.spaced = Memory(), Memory()  # chunks as they are; words after a space or line feed
-        self.hot: dict[str, bytes] = {}
         self.line_feed = encode_many(["\n"])[0]
 
     def _known(self, memory: Memory, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        found, missing = {}, []
-        for key in keys:
-            value = memory.new.get(key) or memory.older(key)
+        found = dict(zip(keys, map(memory.new.get, keys), strict=True))
+        missing = []
+        for key in [k for k, v in found.items() if v is None]:
+            value = memory.older(key)
             if value is None:
                 missing.append(key)
             else:
@@ -90,28 +93,25 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's encoding; words that are new to the worker are encoded in one call."""
-        hot = self.hot
-        if len(hot) > HOT:
-            hot.clear()
+        self.bare.turn()
+        self.spaced.turn()
         split: list[list[str] | None] = []
         for text in texts:
-            plain = text.split() == text.replace("\n", " ").split(" ")  # single spaces and line feeds only
-            split.append(text.replace("\n", " \n").split(" ") if plain else None)
-        unseen = {w for words in split if words for w in words[1:]}.difference(hot)
-        if unseen:
-            hot.update(self._after_space(unseen))
-        firsts = self._as_they_are({words[0] for words in split if words})
+            usual = text and text[0] not in " \n" and text[-1] not in " \n" and not any(map(text.__contains__, UNUSUAL))
+            split.append(text.replace("\n", " \n").split(" ") if usual else None)
+        firsts = self._as_they_are({words[0] for words in split if words})  # nothing stands in front of them
+        known = self._after_space(set().union(*(words[1:] for words in split if words)))
         out = []
         for text, words in zip(texts, split, strict=True):
             if words:
-                out.append(b"".join([firsts[words[0]], *map(hot.__getitem__, words[1:])]))
+                out.append(b"".join([firsts[words[0]], *map(known.__getitem__, words[1:])]))
             else:
                 chunks = RUN.findall(text) if OTHER_SPACE.search(text) is None else [text] * bool(text)
                 out.append(b"".join(map(self._as_they_are(set(chunks)).__getitem__, chunks)))
         return out
 
 
-def blocks(texts: list, most: int = 1 << 19) -> Iterator[list]:
+def blocks(texts: list, most: int = 1 << 20) -> Iterator[list]:
     """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
     held, size = [], 0
     for text in texts:
