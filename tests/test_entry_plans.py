@@ -2,14 +2,16 @@
 
 import duckdb
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF0001
+from tidemark.plans import catalog, oracle
 from tidemark.sources.views import DRIVER_TABLES
 from tools.compare import digest
 
-FAST = ["next_event_samples", "patient_aggregate", "crosswalk", "visit_diagnoses", "roc_auc",
-        "split_stats", "kfold", "event_samples", "clinical_sentence", "cv_summary"]
+KEYS = sorted(set(catalog.QUERIES) & set(oracle.oracle_sql()))
 
 
 def test_entry_smoke(spark):
@@ -26,7 +28,7 @@ def test_every_sql_key_is_a_query():
     assert {"train_classifier", "cross_validate", "evaluate_test"} <= set(q) - set(sql)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", KEYS)
 def test_oracle_agrees_at_sf0001(spark, name):
     con = duckdb.connect()
     for t in DRIVER_TABLES:
@@ -59,18 +61,35 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_no_single_partition_exchange_on_data(spark):
-    for name in ["next_event_samples", "roc_auc", "kfold"]:
-        p = _plan(entry.queries()[name](spark, SF0001))
-        # single-partition exchanges appear only for the n-row per-partition offsets
-        # and final one-row aggregates
-        for line in p.splitlines():
-            if "SinglePartition" in line:
-                assert "ENSURE_REQUIREMENTS" in line
+    """What meets in one partition is a partial aggregate, or the few rows of a per-partition
+    totals table: never data rows."""
+    for name in ["next_event_samples", "roc_auc", "kfold", "metric_bundle", "aggregate_summary", "flatten_history"]:
+        lines = _plan(entry.queries()[name](spark, SF0001)).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = next(x for x in lines[i + 1:] if "Exchange" in x or "HashAggregate" in x or "Scan" in x or "Join" in x)
+                assert "HashAggregate" in below, (name, below)
+
+
+def test_a_plain_global_window_would_be_caught(spark):
+    lines = _plan(spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))).splitlines()
+    at = next(i for i, line in enumerate(lines) if "Exchange SinglePartition" in line)
+    assert "HashAggregate" not in lines[at + 1]
+
+
+def test_metrics_report_reads_its_fold_table_once(spark):
+    p = _plan(entry.queries()["metrics_report"](spark, SF0001))
+    assert p.count("Exchange") < 10 and "parquet" not in p
+
+
+def test_summary_builds_no_lists(spark):
+    p = _plan(entry.queries()["aggregate_summary"](spark, SF0001))
+    assert "collect_list" not in p and "collect_set" not in p and p.count("Scan parquet") <= 5
 
 
 def test_timeline_is_computed_once(spark):
     """Plans built on the history compute the ordered timeline once: the ordering window
     appears a single time (no second branch re-deriving it for counts or facts)."""
-    for name in ["patient_aggregate", "patient_text", "flatten_history", "next_event_samples"]:
+    for name in ["patient_aggregate", "patient_text", "flatten_history", "aggregate_summary", "next_event_samples"]:
         p = _plan(entry.queries()[name](spark, SF0001))
         assert p.count("Window [row_number()") == 1, name

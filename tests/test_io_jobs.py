@@ -1,17 +1,18 @@
 """Typed CSV reads, split-partitioned round trips, the three jobs end to end, streaming."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
 from tidemark.config import FIXTURE_CONFIG
-from tidemark.operators import aggregate, classify, samples
+from tidemark.operators import aggregate, classify, codes, samples, splits
 from tidemark.plans import jobs
 from tidemark.plans.catalog import Fixture
 from tidemark.sources import store
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_clinical, read_table
 from tidemark.streaming import stateless
 
 
@@ -42,13 +43,15 @@ def test_roundtrip_prunes_partitions(spark, tmp_out):
     assert "PartitionFilters: [isnotnull(split" in plan and "val" in plan
 
 
-def _write_clinical_csv(spark, out):
+def _write_clinical_csv(spark, out, absent=()):
     fx = Fixture(spark, SF0001)
     i = fx.inputs
     tables = {"admissions": i.admissions, "patients": i.patients, "diagnoses_icd": i.diagnoses_icd,
               "d_icd_diagnoses": i.d_icd_diagnoses, "d_labitems": i.d_labitems, "labevents": i.labevents,
               "icd9_to_icd10": i.icd9_to_icd10, "icd10_to_ccsr": i.icd10_to_ccsr}
     for name, df in tables.items():
+        if name in absent:
+            continue
         df.coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(out, f"{name}.csv"))
     return tables
 
@@ -107,7 +110,54 @@ def test_nested_history_matches_prefix(spark):
     assert nested.select(F.max(F.size("history"))).first()[0] == 13
 
 
-def test_nested_history_refuses_unbounded_entities(spark):
+def test_flattened_rows_are_the_exploded_records(spark):
     fx = Fixture(spark, SF0001)
-    with pytest.raises(ValueError, match="history visits"):
-        samples.nested_samples(fx.history, max_history=5)
+    flat = samples.flattened(fx.history)
+    by_def = aggregate.flatten_history(samples.nested_samples(fx.history))
+    cols = ["patient_id", "age", "gender", "next_ckd", "length_of_stay", "days_since_first", "diagnoses", "abnormal_labs"]
+    assert flat.count() == 1777
+    assert flat.select(*cols).exceptAll(by_def.select(*cols)).count() == 0
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(sequence" in plan
+
+
+def test_seed_reaches_every_stage(spark, tmp_out):
+    """With a seed of its own each patient has one split in all written tables."""
+    src = os.path.join(tmp_out, "src")
+    _write_clinical_csv(spark, src)
+    cfg = replace(FIXTURE_CONFIG, seed=7)
+    jobs.prepare(spark, src, tmp_out, cfg, "csv")
+    jobs.aggregate_job(spark, os.path.join(tmp_out, "prepared"), tmp_out)
+    jobs.train_job(spark, os.path.join(tmp_out, "aggregated"), tmp_out, cfg,
+                   classify.ClassifierParams(num_features=1 << 10, max_iter=3))
+    timeline = store.read_dataset(spark, os.path.join(tmp_out, "prepared", "timeline"))
+    rows = store.read_dataset(spark, os.path.join(tmp_out, "aggregated", "patients"))
+    splits_of = {r.subject_id: r.split for r in timeline.select("subject_id", "split").distinct().collect()}
+    got = {r.patient_id: r.split for r in rows.select("patient_id", "split").collect()}
+    assert len(got) == 122 and all(splits_of[i] == s for i, s in got.items())
+    default = splits.hash_split(rows.select("patient_id"), "patient_id").collect()
+    assert any(got[r.patient_id] != r.split for r in default)  # the seed matters
+
+
+def test_csv_quotes_line_breaks_and_headers(spark, tmp_out):
+    titles = os.path.join(tmp_out, "d_icd_diagnoses.csv")
+    with open(titles, "w", encoding="utf-8") as f:
+        f.write('icd_code,icd_version,long_title,extra\n0010,9,"Foo ""bar"", baz",x\n0011,9,"multi\nline",y\n0012,10,,z\n')
+    rows = [tuple(r) for r in read_table(spark, tmp_out, "d_icd_diagnoses").orderBy("icd_code").collect()]
+    assert rows == [("0010", 9, 'Foo "bar", baz'), ("0011", 9, "multi\nline"), ("0012", 10, None)]
+    joined = codes.add_titles(spark.createDataFrame([("0010", 9), ("0010", 10)], "icd_code string, icd_version int"),
+                              read_table(spark, tmp_out, "d_icd_diagnoses"), on_version=True)
+    assert sorted((r.icd_version, r.long_title) for r in joined.collect()) == [(9, 'Foo "bar", baz'), (10, None)]
+    with open(os.path.join(tmp_out, "d_labitems.csv"), "w", encoding="utf-8") as f:
+        f.write("item,label\n1,a\n")
+    with pytest.raises(ValueError, match="itemid"):
+        read_table(spark, tmp_out, "d_labitems")
+
+
+def test_absent_crosswalk_is_named(spark, tmp_out):
+    src = os.path.join(tmp_out, "src")
+    tables = _write_clinical_csv(spark, src, absent=("icd9_to_icd10", "icd10_to_ccsr"))
+    with pytest.raises(FileNotFoundError, match="icd9_to_icd10"):
+        read_clinical(spark, src)
+    with pytest.raises(FileNotFoundError, match="icd10_to_ccsr"):
+        jobs.prepare(spark, src, tmp_out, FIXTURE_CONFIG, tables={k: v for k, v in tables.items() if k != "icd10_to_ccsr"})

@@ -58,14 +58,14 @@ def _tagged(arr: str, kind: str) -> F.Column:
     return F.filter(items, lambda s: s["item"].isNotNull())
 
 
-def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
+def patient_rows(tl: DataFrame) -> DataFrame:
     """One row per patient with at least one kept sample.
 
     ``tl`` holds the history visits with their lists (``samples.attach_details``).
 
     Columns: patient_id, age, gender, is_ckd, diagnoses, abnormal_labs, num_visits
-    (flattened rows, K(K+1)/2), num_samples (K), num_distinct_visits; plus ``split``
-    when a (patient_id, split) table is given.
+    (flattened rows, K(K+1)/2), num_samples (K), num_distinct_visits; plus ``split`` when
+    ``tl`` carries it (one value per patient: the split the histories were written with).
 
     One pass over ``tl``: each history visit becomes a marker element plus one element per
     list item, exploded once. A first aggregation on (patient, kind, item) keeps distinct
@@ -73,17 +73,18 @@ def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
     lists. Both aggregate partially before their shuffle, so a patient with very many
     visits ships one partial row per task and item, never its raw rows.
     """
+    split = [c for c in ("split",) if c in tl.columns]
     marker = F.array(F.struct(F.lit(_VISIT).alias("kind"), F.lit(None).cast("string").alias("item")))
     elements = F.concat(marker, _tagged("diagnoses", "dx"), _tagged("abnormal_labs", "lab"))
     long = tl.where("in_history").select(
-        F.col("subject_id").alias("patient_id"), "age", "gender", "kept", "next_ckd",
+        F.col("subject_id").alias("patient_id"), "age", "gender", "kept", "next_ckd", *split,
         F.explode(elements).alias("_e"))
     is_marker = F.col("_e.kind") == _VISIT
     pairs = long.groupBy("patient_id", F.col("_e.kind").alias("kind"), F.col("_e.item").alias("item")).agg(
         F.min("age").alias("age"), F.min("gender").alias("gender"),
         F.count_if(is_marker & F.col("kept")).alias("_k"),
         F.max(F.when(is_marker & F.col("kept"), F.col("next_ckd"))).alias("_y"),
-        F.count_if(is_marker).alias("_v"))
+        F.count_if(is_marker).alias("_v"), *[F.min(c).alias(c) for c in split])
     marker_only = F.col("kind") == _VISIT
     per = pairs.groupBy("patient_id").agg(
         F.min("age").alias("age"), F.min("gender").alias("gender"),
@@ -91,12 +92,10 @@ def patient_rows(tl: DataFrame, split: DataFrame | None = None) -> DataFrame:
         F.sum(F.when(marker_only, F.col("_k"))).alias("num_samples"),
         F.sum(F.when(marker_only, F.col("_v"))).alias("num_distinct_visits"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "dx", F.col("item")))).alias("diagnoses"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "lab", F.col("item")))).alias("abnormal_labs"))
-    out = (per.where(F.col("num_samples") > 0)
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "lab", F.col("item")))).alias("abnormal_labs"),
+        *[F.min(c).alias(c) for c in split])
+    return (per.where(F.col("num_samples") > 0)
            .withColumn("num_visits", (F.col("num_samples") * (F.col("num_samples") + 1) / 2).cast("bigint")))
-    if split is not None:
-        out = out.join(split, "patient_id")
-    return out
 
 
 def flatten_history(nested: DataFrame) -> DataFrame:

@@ -111,7 +111,10 @@ def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
     spark = pool.sparkSession
     ensure_checkpoint_dir(spark)
     data, partitions = _sized((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
-    k = data.agg(F.max("fold")).first()[0] + 1
+    last = data.agg(F.max("fold")).first()[0]
+    if last is None:
+        raise ValueError("cross-validation needs at least one row with a fold")
+    k = last + 1
 
     def fit_fold(f: int) -> tuple[int, PipelineModel]:
         return f, fit(data.where(F.col("fold") != f), params, text, label)
@@ -151,10 +154,9 @@ def train_and_evaluate(pool: DataFrame, folds: DataFrame, test: DataFrame, key:
     has a positive ROC-AUC (no model would be saved).
     """
     fm, models = cross_validate(pool, folds, key, params, text, label)
-    fm = fm.persist()
+    fm = fm.checkpoint(eager=True)  # six rows a fold, read three times
     best = best_fold(fm).first()
     if best is None:
-        fm.unpersist()
         raise RuntimeError("no fold reached a ROC-AUC above 0; no model saved")
     save_model(models[int(best["fold"])], out_path)
     reloaded = load_model(out_path)

@@ -51,9 +51,12 @@ def mapped_diagnoses(diagnoses: DataFrame, d_icd: DataFrame, icd9_to_icd10: Data
     return add_titles(map_codes(diagnoses, icd9_to_icd10, icd10_to_ccsr), d_icd, on_version)
 
 
+def mapping_counts(col: str = "ccsr_code") -> list[F.Column]:
+    """Aggregates: total, valid (not 'Invalid', null counts as valid), failed."""
+    valid = not_equal_null_safe(col, INVALID_CODE)
+    return [F.count(F.lit(1)).alias("total_codes"), F.count_if(valid).alias("valid_mappings"),
+            F.count_if(~valid).alias("failed_mappings")]
+
+
 def mapping_stats(mapped: DataFrame, col: str = "ccsr_code") -> DataFrame:
-    """total, valid (not 'Invalid', null counts as valid), failed."""
-    return mapped.agg(
-        F.count(F.lit(1)).alias("total_codes"),
-        F.count_if(not_equal_null_safe(col, INVALID_CODE)).alias("valid_mappings"),
-    ).withColumn("failed_mappings", F.col("total_codes") - F.col("valid_mappings"))
+    return mapped.agg(*mapping_counts(col))

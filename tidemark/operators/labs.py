@@ -22,6 +22,9 @@ def relevant_labs(labevents: DataFrame, d_labitems: DataFrame, labels: Iterable[
     return labevents.join(items, "itemid").withColumn("abnormal", upper_in("flag", abnormal_flags))
 
 
+def lab_counts() -> list[F.Column]:
+    return [F.count(F.lit(1)).alias("relevant_labs"), F.sum("abnormal").cast("bigint").alias("abnormal_labs")]
+
+
 def lab_stats(labs: DataFrame) -> DataFrame:
-    return labs.agg(F.count(F.lit(1)).alias("relevant_labs"),
-                    F.sum("abnormal").cast("bigint").alias("abnormal_labs"))
+    return labs.agg(*lab_counts())

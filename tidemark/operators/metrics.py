@@ -40,7 +40,12 @@ def score_table(df: DataFrame, score: str = "score", label: str = "label", by=No
 
 
 def curve(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
-    """One row per (group, threshold) with thresholds the distinct scores, descending:
+    """The curve of a (score, label) table, see ``curve_of``."""
+    return curve_of(score_table(df, score, label, by), by)
+
+
+def curve_of(table: DataFrame, by=None) -> DataFrame:
+    """``table`` is a score table; further columns of it ride along. One row per (group, threshold) with thresholds the distinct scores, descending:
     tp, fp (cumulative inside the group), p, n (at this score), tp_prev, fp_prev
     (cumulative before it), tp_total, fp_total (the group's positives and negatives).
 
@@ -50,8 +55,7 @@ def curve(df: DataFrame, score: str = "score", label: str = "label", by=None) ->
     """
     keys = _keys(by)
     order = [F.col(k).asc() for k in keys] + [F.col("score").desc()]
-    cum = with_prefix_sums(score_table(df, score, label, by), order, {"p": "tp", "n": "fp"},
-                           position=None)
+    cum = with_prefix_sums(table, order, {"p": "tp", "n": "fp"}, position=None)
     if keys:
         cum = cum.drop("tp_total", "fp_total")
         base = cum.groupBy(*keys).agg(
@@ -75,33 +79,51 @@ def _precision(tp, fp):
 
 
 def curve_points(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
-    """threshold, precision, recall, fpr, tpr at each distinct score (per group)."""
+    """threshold, precision, recall, fpr, tpr at each distinct score (per group), and the end
+    point above every score (threshold null: recall 0 with precision 1, the ROC origin)."""
     c = curve(df, score, label, by)
+    keys = _keys(by)
+    ends = c.groupBy(*keys).agg(F.max("tp_total").alias("_p"), F.max("fp_total").alias("_n")).where("_p is not null")
+    zero = lambda total: F.when(F.col(total) > 0, F.lit(0.0))
+    ends = ends.select(*keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                       zero("_p").alias("recall"), zero("_n").alias("fpr"), zero("_p").alias("tpr"))
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     all_pos, all_neg = F.col("tp_total").cast("double"), F.col("fp_total").cast("double")
-    return c.select(*_keys(by), "threshold", _precision(F.col("tp"), F.col("fp")).alias("precision"),
+    points = c.select(*keys, "threshold", _precision(F.col("tp"), F.col("fp")).alias("precision"),
                     F.try_divide(tp, all_pos).alias("recall"), F.try_divide(fp, all_neg).alias("fpr"),
                     F.try_divide(tp, all_pos).alias("tpr"))
+    return points.unionByName(ends)
 
 
-def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
-    """One row (per group): roc_auc, pr_auc, positives, negatives."""
-    keys = _keys(by)
-    c = curve(df, score, label, by)
+def _areas() -> list[F.Column]:
+    """Aggregates over a curve: unscaled areas, positives and negatives."""
     tp, fp, tpp, fpp = (F.col(x).cast("double") for x in ("tp", "fp", "tp_prev", "fp_prev"))
-    prec = _precision(tp, fp)
     prev_prec = F.when((F.col("tp_prev") + F.col("fp_prev")) == 0, F.lit(1.0)).otherwise(_precision(tpp, fpp))
-    parts = c.groupBy(*keys).agg(
-        F.sum(F.col("n").cast("double") * (tp + tpp) / 2.0).alias("_roc"),
-        F.sum(F.col("p").cast("double") * (prec + prev_prec) / 2.0).alias("_pr"),
-        F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
+    return [F.sum(F.col("n").cast("double") * (tp + tpp) / 2.0).alias("_roc"),
+            F.sum(F.col("p").cast("double") * (_precision(tp, fp) + prev_prec) / 2.0).alias("_pr"),
+            F.sum("p").alias("positives"), F.sum("n").alias("negatives")]
+
+
+def _scaled() -> list[F.Column]:
     P, N = F.col("positives").cast("double"), F.col("negatives").cast("double")
-    return parts.select(
-        *keys,
-        F.when((P > 0) & (N > 0), F.col("_roc") / (P * N)).alias("roc_auc"),
-        F.when(P > 0, F.col("_pr") / P).alias("pr_auc"),
-        F.coalesce("positives", F.lit(0)).cast("bigint").alias("positives"),
-        F.coalesce("negatives", F.lit(0)).cast("bigint").alias("negatives"))
+    return [F.when((P > 0) & (N > 0), F.col("_roc") / (P * N)).alias("roc_auc"),
+            F.when(P > 0, F.col("_pr") / P).alias("pr_auc")]
+
+
+def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", by=None) -> DataFrame:
+    """One row (per group): roc_auc, pr_auc, positives, negatives."""
+    keys = _keys(by)
+    parts = curve(df, score, label, by).groupBy(*keys).agg(*_areas())
+    return parts.select(*keys, *_scaled(), F.coalesce("positives", F.lit(0)).cast("bigint").alias("positives"),
+                        F.coalesce("negatives", F.lit(0)).cast("bigint").alias("negatives"))
+
+
+def _rates(tp: F.Column, fp: F.Column, fn: F.Column, tn: F.Column) -> list[F.Column]:
+    precision = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
+    recall = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
+    f1 = F.coalesce(F.try_divide(2.0 * tp, 2.0 * tp + fp + fn), F.lit(0.0))
+    return [F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"), precision.alias("precision"),
+            recall.alias("recall"), f1.alias("f1")]
 
 
 def threshold_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label",
@@ -112,26 +134,30 @@ def threshold_metrics(df: DataFrame, prediction: str = "prediction", label: str
     pr, lb = F.col(prediction) == 1, F.col(label) == 1
     s = df.groupBy(*keys).agg(F.count_if(pr & lb).alias("tp"), F.count_if(pr & ~lb).alias("fp"),
                               F.count_if(~pr & lb).alias("fn"), F.count_if(~pr & ~lb).alias("tn"))
-    tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
-    precision = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
-    recall = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
-    f1 = F.coalesce(F.try_divide(2.0 * tp, 2.0 * tp + fp + fn), F.lit(0.0))
-    return s.select(*keys, F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-                    precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
+    return s.select(*keys, *_rates(*(F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))))
 
 
 def metric_bundle(scored: DataFrame, scores: str = "scores", label: str = "label", by=None) -> DataFrame:
     """Six metrics as rows (group..., metric, value) from a two-class score array and a
-    label: prediction = argmax (ties -> class 0), ranking score = the class-1 entry."""
+    label: prediction = argmax (ties -> class 0), ranking score = the class-1 entry.
+
+    ``scored`` is read once: one row per group and score carries its positives, negatives
+    and how many of either are predicted positive; all six metrics come from that table.
+    """
     keys = _keys(by)
-    df = scored.select(*keys, argmax_class(scores).alias("prediction"),
-                       class_score(scores, 1).alias("score"), F.col(label).alias("label"))
-    th = threshold_metrics(df, by=by).select(*keys, F.expr(
-        "stack(4, 'accuracy', accuracy, 'f1', f1, 'precision', precision, 'recall', recall) "
-        "as (metric, value)"))
-    rk = ranking_metrics(df, by=by).select(
-        *keys, F.expr("stack(2, 'roc_auc', roc_auc, 'pr_auc', pr_auc) as (metric, value)"))
-    return th.unionByName(rk)
+    hit, positive = argmax_class(scores) == 1, F.col(label) == 1
+    table = (scored.select(*keys, class_score(scores, 1).cast("double").alias("score"), hit.alias("_hit"),
+                           positive.alias("_pos"))
+             .where(F.col("score").isNotNull() & F.col("_pos").isNotNull())
+             .groupBy(*keys, "score").agg(F.count_if("_pos").alias("p"), F.count_if(~F.col("_pos")).alias("n"),
+                                          F.count_if(F.col("_hit") & F.col("_pos")).alias("_tp"),
+                                          F.count_if(F.col("_hit") & ~F.col("_pos")).alias("_fp")))
+    per = curve_of(table, by).groupBy(*keys).agg(*_areas(), F.sum("_tp").alias("_tp"), F.sum("_fp").alias("_fp"))
+    tp, fp = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("_tp", "_fp"))
+    p, n = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("positives", "negatives"))
+    return per.select(*keys, *_rates(tp, fp, p - tp, n - fp), *_scaled()).select(*keys, F.expr(
+        "stack(6, 'accuracy', accuracy, 'f1', f1, 'precision', precision, 'recall', recall, "
+        "'roc_auc', roc_auc, 'pr_auc', pr_auc) as (metric, value)"))
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:

@@ -28,14 +28,21 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, shuffle_partitions
 
+# A range slice holds about this many rows at most: beyond (shuffle partitions x this), the
+# number of slices follows the counted rows instead of the fixed setting.
+ROWS_PER_SLICE = 2_000_000
+
 PID = "_tm_pid"
 LOC = "_tm_loc"
 
 
 def _ranged(df: DataFrame, order: Sequence[Column], n_parts: int | None) -> DataFrame:
     spark = df.sparkSession
-    n = n_parts or shuffle_partitions(spark)
     ensure_checkpoint_dir(spark)
+    n = n_parts
+    if n is None:  # written once: counting and sampling then read rows, not the plan above them
+        df = df.checkpoint(eager=True)
+        n = max(shuffle_partitions(spark), -(-df.count() // ROWS_PER_SLICE))
     # An explicit partition count keeps AQE from coalescing this exchange, so partition ids
     # are exactly the range slices.
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)

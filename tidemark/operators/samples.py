@@ -57,6 +57,12 @@ def visit_order():
             F.col("hadm_id").asc_nulls_last())
 
 
+def has_next() -> F.Column:
+    """Whether a visit has a successor. A successor has a time by definition, but its visit id
+    may be null, so the time tells, in both paths."""
+    return F.col("next_time").isNotNull()
+
+
 # --- position path -----------------------------------------------------------------------
 
 def ordered_visits(visits: DataFrame, n_parts: int | None = None) -> DataFrame:
@@ -119,8 +125,7 @@ def entity_facts(ordered: DataFrame, groups: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_visits"),
         F.min("admittime").alias("first_time"),
         F.min_by("has_target", "pos").alias("first_has_target"))
-    has_next = F.col("next_hadm_id").isNotNull()
-    samples_ = groups.where(has_next).groupBy("subject_id").agg(
+    samples_ = groups.where(has_next()).groupBy("subject_id").agg(
         F.min(F.when(F.col("next_label") == 1, F.col("_tie_first"))).alias("first_positive_pos"),
         F.max("_tie_last").alias("last_sample_pos"))
     return visits.join(samples_, "subject_id", "left")
@@ -252,7 +257,7 @@ def cohort_attrition(seq: DataFrame, patients: DataFrame) -> DataFrame:
 
 def _finish(seq: DataFrame, demo: DataFrame) -> DataFrame:
     cut = F.coalesce(F.col("first_positive_index"), F.col("last_sample_index"))
-    is_sample = F.col("next_hadm_id").isNotNull()
+    is_sample = has_next()
     # Samples are a prefix of the visit order (a visit before a sample has a time no later
     # than the sample's, so it has a strictly later visit too), and censoring cuts that
     # prefix at ``cut``: the entity keeps cut + 1 samples, and as many history visits.
@@ -263,7 +268,8 @@ def _finish(seq: DataFrame, demo: DataFrame) -> DataFrame:
             .withColumn("kept", is_sample & (F.col("visit_index") <= cut))
             .withColumn("in_history", F.coalesce(F.col("visit_index") <= cut, F.lit(False)))
             .withColumn("n_kept", F.coalesce(cut + 1, F.lit(0)))
-            .drop("next_label", "first_has_target", "first_positive_index", "last_sample_index"))
+            .withColumnRenamed("first_positive_index", "positive_index")
+            .drop("next_label", "first_has_target", "last_sample_index"))
 
 
 def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESHOLD,
@@ -273,7 +279,8 @@ def timeline(visits: DataFrame, patients: DataFrame, threshold: int = HOT_THRESH
     Output adds to ``visits``: visit_index, n_visits, first_time, days_since_first,
     next_time, next_hadm_id, next_ckd, is_sample, kept (a sample that survives censoring),
     in_history (inside the history of the entity's last kept sample), n_kept (the
-    entity's number of kept samples, equal to its number of history visits), age, gender.
+    entity's number of kept samples, equal to its number of history visits), positive_index
+    (the entity's sample whose next visit has the target, null without one), age, gender.
 
     Demographics are joined per path: on the window path both sides are already
     partitioned by the entity id, and on the position path the hot entities' demographics
@@ -317,34 +324,36 @@ def samples(tl: DataFrame) -> DataFrame:
 VISIT_STRUCT = ("diagnoses", "abnormal_labs", "length_of_stay", "days_since_first")
 
 
-# The nested record of an entity with K kept samples holds K(K+1)/2 visit structs and is
-# built in one window task: it is refused above this many history visits per entity.
-MAX_NESTED_HISTORY = 10_000
+def flattened(history: DataFrame) -> DataFrame:
+    """One row per (kept sample, visit of its history): patient_id, sample_index, age, gender
+    and next_ckd of the sample, then the visit's hadm_id, visit_index and ``VISIT_STRUCT``.
 
+    A visit belongs to the samples from its own index up to the entity's last kept one, so
+    each visit repeats itself: no shuffle and no window, and a hot entity stays spread.
+    ``history`` is ``attach_details`` output.
+    """
+    sample = F.explode(F.sequence("visit_index", F.col("n_kept").cast("int") - 1)).alias("sample_index")
+    rows = history.where(F.col("in_history") & (F.col("visit_index") < F.col("n_kept")))
+    label = F.coalesce(F.col("sample_index") == F.col("positive_index"), F.lit(False)).cast("int")
+    return (rows.select(F.col("subject_id").alias("patient_id"), sample, "age", "gender", "positive_index",
+                        "hadm_id", "visit_index", *VISIT_STRUCT)
+            .withColumn("next_ckd", label)
+            .select("patient_id", "sample_index", "age", "gender", "next_ckd", "hadm_id", "visit_index", *VISIT_STRUCT))
 
-def nested_samples(history: DataFrame, max_history: int = MAX_NESTED_HISTORY) -> DataFrame:
+
+def nested_samples(history: DataFrame) -> DataFrame:
     """The reference's sample record: ``history`` is the array of every visit up to and
-    including the sample's visit.
-
-    The output is quadratic in visits per entity by definition (each sample repeats its
-    prefix); the running ``collect_list`` runs in a window keyed by entity. Downstream
-    aggregation does not need this form (see ``aggregate.patient_rows``); use it only when
-    the nested record itself is the product. ``history`` is ``attach_details`` output and
-    carries ``n_kept``.
-
-    The longest history is measured first (one partially aggregated max); above
-    ``max_history`` visits this raises instead of building one unbounded task. The
-    run-length history table (``aggregate.flatten_counts``) holds the same information
-    in linear size.
+    including the sample's visit (patient_id, visit_index of the sample, history, age,
+    gender, next_ckd).
+
+    Quadratic in visits per entity by definition (each sample repeats its prefix). A group
+    is one sample, never one entity. Downstream aggregation does not need this form (see
+    ``aggregate.patient_rows``).
     """
-    longest = history.agg(F.max("n_kept")).first()[0] or 0
-    if longest > max_history:
-        raise ValueError(
-            f"an entity has {longest} history visits; its nested record would hold "
-            f"{longest * (longest + 1) // 2} visit structs. Use the history table "
-            f"(run-length form) instead, or raise max_history.")
-    w = Window.partitionBy("subject_id").orderBy("visit_index").rowsBetween(Window.unboundedPreceding, 0)
-    visit = F.struct(*[F.col(c) for c in VISIT_STRUCT])
-    hist = history.where("in_history").withColumn("history", F.collect_list(visit).over(w))
-    return hist.where("kept").select(
-        F.col("subject_id").alias("patient_id"), "visit_index", "history", "age", "gender", "next_ckd")
+    visit = F.struct("visit_index", *VISIT_STRUCT)
+    grouped = flattened(history).groupBy("patient_id", "sample_index").agg(
+        F.array_sort(F.collect_list(visit)).alias("_h"), F.min("age").alias("age"),
+        F.min("gender").alias("gender"), F.max("next_ckd").alias("next_ckd"))
+    fields = F.transform("_h", lambda v: F.struct(*[v[c].alias(c) for c in VISIT_STRUCT]))
+    return grouped.select("patient_id", F.col("sample_index").alias("visit_index"), fields.alias("history"),
+                          "age", "gender", "next_ckd")

@@ -60,7 +60,8 @@ def lookup_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     hot_bytes = hot.agg(F.sum(F.octet_length("token") + F.lit(16))).first()[0] or 0
     if hot_bytes > HOT_BYTES:
         return pieces.join(vocab.select("token", "id"), "token", "left")
-    tagged = pieces.join(F.broadcast(hot), "token", "left")
+    # two branches read the tagged pieces: written once, not evaluated twice
+    tagged = pieces.join(F.broadcast(hot), "token", "left").checkpoint(eager=True)
     resolved = tagged.where(F.col("_hot_id").isNotNull()).withColumnRenamed("_hot_id", "id")
     cold = vocab.where(F.col("id") >= limit).select("token", "id")
     rest = tagged.where(F.col("_hot_id").isNull()).drop("_hot_id").join(cold, "token", "left")
@@ -71,11 +72,11 @@ def encode_fixed_length(rows: DataFrame, vocab: DataFrame, key: str = "patient_i
                         text_col: str = "text", max_length: int = 512) -> DataFrame:
     """Add input_ids and attention_mask (both ``max_length`` long) to each row.
 
-    Only token positions below ``max_length`` can reach the output, so later positions are
-    dropped before the vocabulary join; the vocabulary itself comes from whole texts.
+    Only token positions below ``max_length`` can reach the output, so the token array is cut
+    before it is exploded; the vocabulary itself comes from whole texts. Other columns (a
+    fold, a scope) stay.
     """
-    pieces = (rows.select(key, F.posexplode(tokens(text_col)).alias("pos", "token"))
-              .where(F.col("pos") < max_length))
+    pieces = rows.select(key, F.posexplode(F.slice(tokens(text_col), 1, max_length)).alias("pos", "token"))
     looked = lookup_ids(pieces, vocab).withColumn("id", F.coalesce("id", F.lit(UNKNOWN_ID)))
     per_row = looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_pi"))
     ids = F.transform(F.coalesce(F.col("_pi"), F.array().cast("array<struct<pos:int,id:int>>")),

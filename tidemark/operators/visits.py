@@ -14,22 +14,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import any_equal, fractional_days
 
 
-def visit_codes(mapped: DataFrame, target: str, title: str = "long_title", code: str = "ccsr_code") -> DataFrame:
-    """hadm_id, has_target, diagnoses: one pass over the mapped diagnoses for both the
-    target flag (any row maps to ``target``) and the sorted title list (duplicates kept,
-    null titles skipped; empty when the visit has no title)."""
-    counted = (mapped.groupBy("hadm_id", F.col(title).alias("_t"))
-               .agg(F.count(F.lit(1)).alias("_n"), F.max((F.col(code) == F.lit(target)).cast("int")).alias("_hit")))
-    per_visit = counted.groupBy("hadm_id").agg(
-        F.coalesce(F.max("_hit"), F.lit(0)).alias("has_target"),
-        F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct("_t", "_n")))).alias("_tn"))
-    expanded = F.flatten(F.transform("_tn", lambda x: F.array_repeat(x["_t"], x["_n"].cast("int"))))
-    return per_visit.select("hadm_id", "has_target", expanded.alias("diagnoses"))
-
-
 def visit_diagnoses(mapped: DataFrame, title: str = "long_title") -> DataFrame:
     """hadm_id, diagnoses: all titles of the visit, duplicates kept, sorted; null titles
-    are skipped, and a visit without any title has no row."""
+    are skipped, and a visit without any title has no row. Aggregated as (title, count), so a
+    visit ships each title once; the list itself is as long as the visit's coded rows."""
     counted = (mapped.where(F.col(title).isNotNull())
                .groupBy("hadm_id", F.col(title).alias("_t")).agg(F.count(F.lit(1)).alias("_n")))
     per_visit = counted.groupBy("hadm_id").agg(
@@ -53,10 +41,6 @@ def with_length_of_stay(admissions: DataFrame) -> DataFrame:
     return admissions.withColumn("length_of_stay", fractional_days("admittime", "dischtime"))
 
 
-def _empty():
-    return F.array().cast("array<string>")
-
-
 def visit_flags(admissions: DataFrame, codes_per_visit: DataFrame) -> DataFrame:
     """The narrow visit table that drives ordering: subject_id, hadm_id, admittime,
     length_of_stay, has_target (0 for a visit without diagnoses). The length of stay is
@@ -65,21 +49,3 @@ def visit_flags(admissions: DataFrame, codes_per_visit: DataFrame) -> DataFrame:
     return (with_length_of_stay(admissions).select("subject_id", "hadm_id", "admittime", "length_of_stay")
             .join(codes_per_visit.select("hadm_id", "has_target"), "hadm_id", "left")
             .withColumn("has_target", F.coalesce("has_target", F.lit(0))))
-
-
-def visit_details(admissions: DataFrame, codes_per_visit: DataFrame, labs: DataFrame) -> DataFrame:
-    """hadm_id, length_of_stay, diagnoses, abnormal_labs: the per-visit record, attached to
-    ordered visits only where a history needs it."""
-    return (with_length_of_stay(admissions).select("hadm_id", "length_of_stay")
-            .join(codes_per_visit.select("hadm_id", "diagnoses"), "hadm_id", "left")
-            .join(visit_abnormal_labs(labs), "hadm_id", "left")
-            .withColumn("diagnoses", F.coalesce("diagnoses", _empty()))
-            .withColumn("abnormal_labs", F.coalesce("abnormal_labs", _empty())))
-
-
-def visit_facts(admissions: DataFrame, mapped: DataFrame, labs: DataFrame, target: str) -> DataFrame:
-    """One row per admission with its flag, lists and length of stay; a visit without
-    diagnoses or abnormal labs gets empty lists and flag 0."""
-    per_visit = visit_codes(mapped, target)
-    return visit_flags(admissions, per_visit).join(
-        visit_details(admissions, per_visit, labs).drop("length_of_stay"), "hadm_id")

@@ -8,6 +8,7 @@ the same keys.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.config import FIXTURE_CONFIG, CohortConfig
 from tidemark.functions.exprs import argmax_class, class_score, upper_in, whole_days
 from tidemark.operators import aggregate, codes, labs, metrics, samples, splits, text, visits
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.tables import read_table
 from tidemark.sources.views import event_inputs, read_driver, star_schema_inputs
 
 R = 6  # decimals kept for doubles in query output
@@ -93,6 +96,25 @@ class Fixture:
         return splits.hash_split(ids, "patient_id", self.cfg.seed, self.cfg.train_pct,
                                  self.cfg.train_val_pct)
 
+    @cached_property
+    def labels_split(self) -> DataFrame:
+        """patient_id, is_ckd, num_visits, split of every patient with a kept sample, from the
+        narrow timeline alone: each entity's first visit carries the number of its kept
+        samples and its positive one, so no list is built and nothing is aggregated."""
+        first = self.timeline.where((F.col("visit_index") == 0) & (F.col("n_kept") > 0))
+        k = F.col("n_kept").cast("bigint")
+        narrow = first.select(F.col("subject_id").alias("patient_id"),
+                              F.col("positive_index").isNotNull().cast("int").alias("is_ckd"),
+                              (k * (k + 1) / 2).cast("bigint").alias("num_visits"))
+        return splits.hash_split(narrow, "patient_id", self.cfg.seed, self.cfg.train_pct, self.cfg.train_val_pct)
+
+    @cached_property
+    def cv_labels_folded(self) -> DataFrame:
+        """patient_id, labels, fold of the cross-validation pool: narrow rows only."""
+        pool = self.labels_split.where(F.col("split").isin("train", "val"))
+        return splits.kfold(pool.select("patient_id", F.col("is_ckd").alias("labels")), self.cfg.k_folds,
+                            "patient_id", self.cfg.seed, keep_columns=True)
+
     @cached_property
     def rows_split(self) -> DataFrame:
         """Patient rows with their split: the hash split is a function of the id alone,
@@ -113,13 +135,12 @@ class Fixture:
 
     @cached_property
     def cv_rows_folded(self) -> DataFrame:
-        """The pool with its fold; the rows ride through the ranking checkpoint, so the
-        pipeline above runs once."""
-        return splits.kfold(self.cv_rows, self.cfg.k_folds, "patient_id", self.cfg.seed, keep_columns=True)
+        """The pool with its fold: only the narrow ids are ranked, the rows meet them after."""
+        return self.cv_rows.join(self.folds, "patient_id")
 
     @cached_property
     def folds(self) -> DataFrame:
-        return self.cv_rows_folded.select("patient_id", "fold")
+        return self.cv_labels_folded.select("patient_id", "fold")
 
 
 def _fx(spark, sf_dir) -> Fixture:
@@ -184,6 +205,45 @@ def q_mapping_stats(spark, d):
     return codes.mapping_stats(_fx(spark, d).mapped)
 
 
+def _versioned(spark, d):
+    """Diagnoses of which some have another code version or none, and titles of which some
+    exist under both versions."""
+    line, part = read_driver(spark, d, "lineitem"), read_driver(spark, d, "part")
+    version = (F.when(F.col("l_linenumber") == 1, F.lit(8)).when(F.col("l_linenumber") == 2, F.lit(None))
+               .when(F.col("l_linenumber") % 2 == 0, F.lit(9)).otherwise(F.lit(10))).cast("int")
+    diagnoses = line.select(F.col("l_orderkey").alias("hadm_id"), F.col("l_partkey").cast("string").alias("icd_code"),
+                            version.alias("icd_version"))
+    code = F.col("p_partkey").cast("string").alias("icd_code")
+    titles = part.select(code, F.lit(9).alias("icd_version"), F.col("p_name").alias("long_title")).unionByName(
+        part.where(F.col("p_size") <= 10).select(code, F.lit(10).alias("icd_version"),
+                                                 F.concat("p_name", F.lit(" (10)")).alias("long_title")))
+    return diagnoses, titles
+
+
+def q_mapping_stats_versions(spark, d):
+    i = _fx(spark, d).inputs
+    diagnoses, titles = _versioned(spark, d)
+    return codes.mapping_stats(codes.mapped_diagnoses(diagnoses, titles, i.icd9_to_icd10, i.icd10_to_ccsr))
+
+
+def q_dx_titles_versions(spark, d):
+    """Titles joined on the code alone (fanning out) and on (code, version)."""
+    diagnoses, titles = _versioned(spark, d)
+    out = [codes.add_titles(diagnoses, titles, on_version=v).select(
+        F.lit(int(v)).alias("by_version"), "hadm_id", "icd_code", diagnoses["icd_version"], "long_title") for v in (False, True)]
+    return out[0].unionByName(out[1])
+
+
+def q_csv_titles(spark, d):
+    """Part names with quotes and line breaks, written as CSV and read by the typed reader."""
+    name = F.concat(F.col("p_name"), F.lit(' "'), F.col("p_type"), F.lit('",\n'), F.col("p_brand"))
+    rows = read_driver(spark, d, "part").select(F.col("p_partkey").cast("string").alias("icd_code"),
+                                                F.lit(9).alias("icd_version"), name.alias("long_title"))
+    root = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("escape", '"').csv(f"{root}/d_icd_diagnoses.csv")
+    return read_table(spark, root, "d_icd_diagnoses")
+
+
 def q_visit_diagnoses(spark, d):
     v = visits.visit_diagnoses(_fx(spark, d).mapped)
     return v.select("hadm_id", F.size("diagnoses").alias("n_diagnoses"), _join("diagnoses").alias("diagnoses"))
@@ -232,11 +292,11 @@ def q_cohort_attrition(spark, d):
 
 
 def q_next_visit(spark, d):
-    return _fx(spark, d).sequence.where(F.col("next_hadm_id").isNotNull()).select("hadm_id", "next_hadm_id")
+    return _fx(spark, d).sequence.where(samples.has_next()).select("hadm_id", "next_hadm_id")
 
 
 def q_next_label(spark, d):
-    w = _fx(spark, d).sequence.where(F.col("next_hadm_id").isNotNull())
+    w = _fx(spark, d).sequence.where(samples.has_next())
     return w.select("subject_id", "hadm_id", "next_hadm_id", F.col("next_label").cast("int").alias("next_ckd"))
 
 
@@ -250,6 +310,32 @@ def q_next_event_samples(spark, d):
 
 
 def q_flatten_history(spark, d):
+    """One row per (kept sample, visit of its history)."""
+    rows = samples.flattened(_fx(spark, d).history)
+    return rows.select("patient_id", "sample_index", "age", "gender", "next_ckd", "hadm_id", "visit_index",
+                       F.round("length_of_stay", R).alias("length_of_stay"), "days_since_first",
+                       _join("diagnoses").alias("diagnoses"), _join("abnormal_labs").alias("abnormal_labs"))
+
+
+def q_nested_samples(spark, d):
+    """The sample records with their histories, each rendered as text."""
+    ns = samples.nested_samples(_fx(spark, d).history)
+    each = lambda f: F.array_join(F.transform("history", f), "|")
+    return ns.select("patient_id", "visit_index", "age", "gender", "next_ckd", F.size("history").alias("history_len"),
+                     each(lambda v: v["days_since_first"].cast("string")).alias("days"),
+                     each(lambda v: F.array_join(v["diagnoses"], "+")).alias("diagnoses"),
+                     each(lambda v: F.array_join(v["abnormal_labs"], "+")).alias("abnormal_labs"))
+
+
+def q_job_patient_split(spark, d):
+    """The split that ``prepare`` writes with a seed of its own, as the roll-up carries it on."""
+    f = _fx(spark, d)
+    written = splits.hash_split(f.history, "subject_id", 7, f.cfg.train_pct, f.cfg.train_val_pct)
+    return aggregate.patient_rows(written).select("patient_id", "split", "is_ckd")
+
+
+def q_history_counts(spark, d):
+    """The run-length form of the flattened table."""
     fc = aggregate.flatten_counts(_fx(spark, d).history)
     return fc.select("patient_id", "hadm_id", "visit_index", F.round("length_of_stay", R).alias("length_of_stay"),
                      "days_since_first", "copies")
@@ -288,16 +374,17 @@ def q_split_stats(spark, d):
 
 
 def q_class_distribution(spark, d):
-    return aggregate.class_distribution(_fx(spark, d).rows_split, "is_ckd", by="split")
+    return aggregate.class_distribution(_fx(spark, d).labels_split, "is_ckd", by="split")
 
 
 def q_aggregate_summary(spark, d):
-    s = aggregate.aggregate_summary(_fx(spark, d).rows_split)
+    s = aggregate.aggregate_summary(_fx(spark, d).labels_split)
     return s.withColumn("avg_visits", F.round("avg_visits", R))
 
 
 def q_train_val_union(spark, d):
-    return _fx(spark, d).cv_rows.select("patient_id", "split", "labels")
+    pool = _fx(spark, d).labels_split.where(F.col("split").isin("train", "val"))
+    return pool.select("patient_id", "split", F.col("is_ckd").alias("labels"))
 
 
 def q_training_rows(spark, d):
@@ -323,7 +410,7 @@ def q_class_weights(spark, d):
     pool minus the fold, so its class counts are the pool's minus the fold's: one small
     (fold, label) count table serves all folds, and no row is copied."""
     f = _fx(spark, d)
-    labelled = f.cv_rows_folded
+    labelled = f.cv_labels_folded
     held = labelled.groupBy("fold", F.col("labels").alias("label")).agg(F.count(F.lit(1)).alias("_held"))
     totals = held.groupBy("label").agg(F.sum("_held").alias("_all"))
     # every (fold, label) pair, so a class absent from one fold still counts in its training part
@@ -389,7 +476,7 @@ def q_best_fold(spark, d):
 def q_metrics_report(spark, d):
     """The cross-validation report lines: avg_/std_ of every metric and the best ROC-AUC,
     each as 'name: value' with four decimals."""
-    fm = doc_fold_metrics(spark, d)
+    fm = doc_fold_metrics(spark, d).checkpoint(eager=True)  # six rows a fold, read three times
     s = metrics.cv_summary(fm)
     lines = (s.select(F.concat(F.lit("avg_"), "metric").alias("metric"), F.col("mean").alias("value"))
              .unionByName(s.select(F.concat(F.lit("std_"), "metric").alias("metric"), F.col("std").alias("value")))
@@ -407,6 +494,18 @@ def q_encode_fixed_length(spark, d):
                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
 
 
+def q_fold_datasets(spark, d):
+    """The encoded training and validation set of every fold. Rows are encoded once, with the
+    vocabulary of the pool; a fold's sets are the same rows under another role."""
+    f = _fx(spark, d)
+    pool = f.training.where(F.col("scope") == "cv").join(f.folds, "patient_id").checkpoint(eager=True)
+    enc = text.encode_fixed_length(pool, text.build_vocabulary(pool))
+    runs = enc.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(f.cfg.k_folds - 1))))
+    role = F.when(F.col("fold") == F.col("run"), F.lit("val")).otherwise(F.lit("train"))
+    return runs.select("run", role.alias("role"), "patient_id", "labels", F.array_join("input_ids", ",").alias("input_ids"),
+                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
+
+
 def q_event_samples(spark, d):
     """The same sequence operator on the click stream: user = entity, event = episode,
     target = a purchase as the next event."""

@@ -26,11 +26,11 @@ from tidemark.config import CohortConfig
 from tidemark.operators import aggregate, classify, codes, labs, samples, splits, text, visits
 from tidemark.operators.metrics import metrics_report
 from tidemark.sources import store
-from tidemark.sources.tables import read_clinical
+from tidemark.sources.tables import SCHEMAS, read_clinical
 
 HISTORY_COLS = ("subject_id", "hadm_id", "visit_index", "diagnoses", "abnormal_labs",
                 "length_of_stay", "days_since_first", "next_hadm_id", "next_ckd", "kept", "in_history",
-                "n_kept", "age", "gender")
+                "n_kept", "positive_index", "age", "gender")
 
 
 def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortConfig(),
@@ -44,6 +44,10 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     history array per sample). Returns the logged statistics.
     """
     t = tables or read_clinical(spark, src, fmt)
+    for name in SCHEMAS:
+        if name not in t:
+            raise FileNotFoundError(f"input table {name!r} is missing: codes are mapped by the crosswalk tables "
+                                    f"icd9_to_icd10 and icd10_to_ccsr, next to the six clinical tables")
     mapped = codes.mapped_diagnoses(t["diagnoses_icd"], t["d_icd_diagnoses"], t["icd9_to_icd10"],
                                     t["icd10_to_ccsr"], cfg.title_join_on_version)
     lab = labs.relevant_labs(t["labevents"], t["d_labitems"], cfg.relevant_labs, cfg.abnormal_flags)
@@ -73,9 +77,9 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
         ns = by_split(samples.nested_samples(written.drop("split")), "patient_id")
         store.write_by_split(ns, os.path.join(base, "nested_samples"))
 
-    stats = {}
-    stats.update(codes.mapping_stats(mapped).first().asDict())
-    stats.update(labs.lab_stats(lab).first().asDict())
+    # A scan of their own: an Observation in the session would be free, but model fits that
+    # follow in the same session then fail, as its manager cannot be shipped to tasks.
+    stats = {**codes.mapping_stats(mapped).first().asDict(), **labs.lab_stats(lab).first().asDict()}
     ids = t["patients"].where(F.col("subject_id").isNotNull()).select("subject_id").distinct()
     stats["all_patients"] = ids.count()
     stats["valid_patients"] = tl.select("subject_id").distinct().count()
@@ -88,9 +92,8 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
 def aggregate_job(spark: SparkSession, prepared: str, out: str) -> dict:
     """One row per patient and split, with text renderings; summary per split."""
     hist = store.read_dataset(spark, os.path.join(prepared, "history"))
-    # the split is a function of the id, so it is recomputed as a column, not joined
-    rows = splits.hash_split(aggregate.patient_rows(hist.drop("split")), "patient_id")
-    rows = aggregate.with_text(rows)
+    # the written split rides along: seed and shares are decided once, by ``prepare``
+    rows = aggregate.with_text(aggregate.patient_rows(hist))
     dest = os.path.join(out, "aggregated")
     store.write_by_split(rows, os.path.join(dest, "patients"))
     written = store.read_dataset(spark, os.path.join(dest, "patients"))
@@ -116,6 +119,7 @@ def train_job(spark: SparkSession, aggregated: str, out: str, cfg: CohortConfig
                                             F.col("std").alias("value"))))
     cv_text = [r["text"] for r in metrics_report(cv_lines).orderBy("metric").collect()]  # 12 lines
     test_text = [r["text"] for r in metrics_report(tm).orderBy("metric").collect()]     # 6 lines
+    # fixed headings of the report
     report = (["=== CROSS-VALIDATION RESULTS ==="] + cv_text
               + ["", f"Best ROC AUC: {best['value']:.4f}", f"Best model path: {model_dir}", "",
                  "=== TEST RESULTS ==="] + test_text)

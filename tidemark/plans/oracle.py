@@ -197,6 +197,20 @@ SELECT d.hadm_id, d.icd_code, t.long_title FROM diagnoses_icd d LEFT JOIN d_icd
     "mapping_stats": """
 SELECT count(*) AS total_codes, count(*) FILTER (WHERE ccsr_code IS DISTINCT FROM 'Invalid') AS valid_mappings,
        count(*) - count(*) FILTER (WHERE ccsr_code IS DISTINCT FROM 'Invalid') AS failed_mappings FROM mapped""",
+    "mapping_stats_versions": """
+SELECT count(*) AS total_codes,
+       count(*) FILTER (WHERE v IN (9, 10)) AS valid_mappings, count(*) FILTER (WHERE v NOT IN (9, 10) OR v IS NULL) AS failed_mappings
+FROM (SELECT l_partkey, CASE WHEN l_linenumber = 1 THEN 8 WHEN l_linenumber = 2 THEN NULL
+                             WHEN l_linenumber % 2 = 0 THEN 9 ELSE 10 END AS v FROM lineitem) d
+JOIN (SELECT p_partkey AS k FROM part UNION ALL SELECT p_partkey FROM part WHERE p_size <= 10) t ON t.k = d.l_partkey""",
+    "dx_titles_versions": """
+SELECT b AS by_version, hadm_id, icd_code, icd_version, long_title FROM (
+  SELECT 0 AS b, d.*, t.long_title FROM vd d LEFT JOIN vt t ON t.icd_code = d.icd_code
+  UNION ALL
+  SELECT 1 AS b, d.*, t.long_title FROM vd d LEFT JOIN vt t ON t.icd_code = d.icd_code AND t.v = d.icd_version)""",
+    "csv_titles": """
+SELECT CAST(p_partkey AS VARCHAR) AS icd_code, 9 AS icd_version,
+       concat(p_name, ' "', p_type, '",', chr(10), p_brand) AS long_title FROM part""",
     "visit_diagnoses": """
 SELECT hadm_id, CAST(len(diagnoses) AS INTEGER) AS n_diagnoses, array_to_string(diagnoses, '|') AS diagnoses FROM vdx""",
     "visit_abnormal_labs": "SELECT hadm_id, array_to_string(abnormal_labs, '|') AS abnormal_labs FROM vlab",
@@ -220,6 +234,24 @@ FROM succ s JOIN ordered o USING (hadm_id)""",
 SELECT subject_id AS patient_id, hadm_id, visit_index, visit_index + 1 AS history_len, age, gender,
        next_hadm_id, next_ckd FROM kept""",
     "flatten_history": """
+SELECT h.subject_id AS patient_id, s.visit_index AS sample_index, s.age, s.gender, s.next_ckd, h.hadm_id, h.visit_index,
+       round(h.length_of_stay, 6) AS length_of_stay,
+       CAST((epoch_us(h.admittime) - epoch_us(h.first_time)) // 86400000000 AS INTEGER) AS days_since_first,
+       array_to_string(h.diagnoses, '|') AS diagnoses, array_to_string(h.abnormal_labs, '|') AS abnormal_labs
+FROM kept s JOIN ordered h ON h.subject_id = s.subject_id AND h.visit_index <= s.visit_index""",
+    "nested_samples": """
+SELECT s.subject_id AS patient_id, s.visit_index, any_value(s.age) AS age, any_value(s.gender) AS gender,
+       any_value(s.next_ckd) AS next_ckd, CAST(count(*) AS INTEGER) AS history_len,
+       string_agg(CAST((epoch_us(h.admittime) - epoch_us(h.first_time)) // 86400000000 AS VARCHAR), '|' ORDER BY h.visit_index) AS days,
+       string_agg(coalesce(array_to_string(h.diagnoses, '+'), ''), '|' ORDER BY h.visit_index) AS diagnoses,
+       string_agg(coalesce(array_to_string(h.abnormal_labs, '+'), ''), '|' ORDER BY h.visit_index) AS abnormal_labs
+FROM kept s JOIN ordered h ON h.subject_id = s.subject_id AND h.visit_index <= s.visit_index
+GROUP BY s.subject_id, s.visit_index""",
+    "job_patient_split": """
+SELECT patient_id, is_ckd, CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'val' ELSE 'test' END AS split
+FROM (SELECT patient_id, is_ckd,
+             ('0x' || substr(md5(concat('7:', CAST(patient_id AS VARCHAR))), 1, 8))::BIGINT % 100 AS b FROM prow)""",
+    "history_counts": """
 SELECT subject_id AS patient_id, hadm_id, visit_index, round(length_of_stay, 6) AS length_of_stay,
        CAST((epoch_us(admittime) - epoch_us(first_time)) // 86400000000 AS INTEGER) AS days_since_first,
        CAST(k - visit_index AS BIGINT) AS copies FROM hist""",
@@ -260,7 +292,8 @@ SELECT fold, CAST(sum(count(*)) OVER () - count(*) AS BIGINT) AS n_train, count(
     "pr_auc": DOCS_ALL + "SELECT round(pr_auc, 6) AS pr_auc, positives, negatives FROM rk",
     "pr_curve": DOCS_ALL + """
 SELECT round(score, 6) AS threshold, round(prec, 6) AS precision, round(tp / all_p, 6) AS recall,
-       round(fp / all_n, 6) AS fpr, round(tp / all_p, 6) AS tpr FROM pts""",
+       round(fp / all_n, 6) AS fpr, round(tp / all_p, 6) AS tpr FROM pts
+UNION ALL SELECT NULL, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""",
     "argmax_prediction": "SELECT doc_id, prediction, score FROM docs",
     "classification_metrics": DOCS_ALL + """
 SELECT round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
@@ -290,6 +323,20 @@ SELECT t.patient_id, t.scope, t.labels,
        CAST(len(coalesce(p.ids, CAST([] AS INTEGER[]))) AS INTEGER) AS n_tokens
 FROM tr t LEFT JOIN per p USING (patient_id)"""
 
+Q["dx_titles_versions"] = """
+vd AS (SELECT l_orderkey AS hadm_id, CAST(l_partkey AS VARCHAR) AS icd_code,
+              CASE WHEN l_linenumber = 1 THEN 8 WHEN l_linenumber = 2 THEN NULL
+                   WHEN l_linenumber % 2 = 0 THEN 9 ELSE 10 END AS icd_version FROM lineitem),
+vt AS (SELECT CAST(p_partkey AS VARCHAR) AS icd_code, 9 AS v, p_name AS long_title FROM part
+       UNION ALL SELECT CAST(p_partkey AS VARCHAR), 10, concat(p_name, ' (10)') FROM part WHERE p_size <= 10)
+""" + Q["dx_titles_versions"]
+
+Q["fold_datasets"] = Q["encode_fixed_length"].replace("SELECT t.patient_id, t.scope, t.labels,", """,
+enc AS (SELECT t.patient_id, t.scope, t.labels,""") + """)
+SELECT r.run, CASE WHEN f.fold = r.run THEN 'val' ELSE 'train' END AS role, e.patient_id, e.labels, e.input_ids, e.n_tokens
+FROM enc e JOIN folds f USING (patient_id), (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS run) r
+WHERE e.scope = 'cv'"""
+
 Q["class_weights"] = """
 held AS (SELECT f.fold, c.labels AS label, count(*) AS held FROM cv_rows c JOIN folds f USING (patient_id)
          GROUP BY f.fold, c.labels),

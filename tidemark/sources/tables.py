@@ -32,6 +32,7 @@ SCHEMAS: dict[str, T.StructType] = {
     ]),
     "d_icd_diagnoses": T.StructType([
         T.StructField("icd_code", T.StringType()),
+        T.StructField("icd_version", T.IntegerType()),
         T.StructField("long_title", T.StringType()),
     ]),
     "d_labitems": T.StructType([
@@ -54,8 +55,19 @@ SCHEMAS: dict[str, T.StructType] = {
     ]),
 }
 
-CLINICAL_TABLES = ("admissions", "patients", "diagnoses_icd", "d_icd_diagnoses", "d_labitems",
-                   "labevents")
+CLINICAL_TABLES = tuple(n for n in SCHEMAS if n not in ("icd9_to_icd10", "icd10_to_ccsr"))
+
+
+# Dimension tables whose titles may hold line breaks; they are small, so reading a file in one
+# task costs nothing. The fact tables stay splittable.
+MULTI_LINE = ("d_icd_diagnoses", "d_labitems")
+OPTIONAL = {"d_icd_diagnoses": ("icd_version",)}
+
+
+def _check_header(name: str, path: str, found: list[str]) -> None:
+    missing = [f.name for f in SCHEMAS[name].fields if f.name not in found and f.name not in OPTIONAL.get(name, ())]
+    if missing:
+        raise ValueError(f"input table {name!r} at {path} lacks the columns {missing}; it has {found}")
 
 
 def _csv_path(root: str, name: str) -> str:
@@ -67,8 +79,11 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv",
     """Read one input table with its fixed schema.
 
     CSV files carry a header; extra columns in the file are ignored (only the schema's
-    columns are selected, so the scan prunes them). ``null_tokens`` lists extra texts such
-    as ``NA`` that should read as null in string columns.
+    columns are selected, so the scan prunes them), and a missing one is an error that names
+    it (``OPTIONAL`` columns read as null). Quotes inside quoted fields are doubled. Only the
+    small dimension tables may hold line breaks inside quotes: such files cannot be split.
+    ``null_tokens`` lists extra texts such as ``NA`` that should read as null in string
+    columns.
     """
     schema = SCHEMAS[name]
     path = _csv_path(root, name) if fmt == "csv" else os.path.join(root, f"{name}.{fmt}")
@@ -77,16 +92,21 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv",
             # Read every column as text, then cast: the header decides column positions,
             # and ANSI casts fail loudly on malformed numbers or times.
             raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-                   .option("nullValue", "").csv(path))
+                   .option("nullValue", "").option("quote", '"').option("escape", '"')
+                   .option("multiLine", name in MULTI_LINE).csv(path))
+            _check_header(name, path, raw.columns)
             cols = []
             for f in schema.fields:
-                c = F.col(f"`{f.name}`")
+                c = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)
                 if null_tokens:
                     c = F.when(c.isin(*null_tokens), F.lit(None)).otherwise(c)
                 cols.append(c.cast(f.dataType).alias(f.name))
             df = raw.select(*cols)
         else:
-            df = spark.read.format(fmt).load(path).select(*[f.name for f in schema.fields])
+            raw = spark.read.format(fmt).load(path)
+            _check_header(name, path, raw.columns)
+            df = raw.select(*[F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                              for f in schema.fields])
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"input table {name!r} not found at {path}") from e
@@ -96,11 +116,6 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv",
 
 def read_clinical(spark: SparkSession, root: str, fmt: str = "csv",
                   null_tokens: tuple[str, ...] = ()) -> dict[str, DataFrame]:
-    """All six clinical tables, plus the two crosswalk tables when present."""
-    out = {name: read_table(spark, root, name, fmt, null_tokens) for name in CLINICAL_TABLES}
-    for name in ("icd9_to_icd10", "icd10_to_ccsr"):
-        try:
-            out[name] = read_table(spark, root, name, fmt, null_tokens)
-        except FileNotFoundError:
-            pass
-    return out
+    """The six clinical tables and the two crosswalk tables that map their codes; an absent one
+    is a ``FileNotFoundError`` that names it."""
+    return {name: read_table(spark, root, name, fmt, null_tokens) for name in SCHEMAS}
