@@ -96,22 +96,25 @@ class ChunkEncoder:
         self.bare.turn()
         self.spaced.turn()
         split: list[list[str] | None] = []
+        firsts: list[str] = []  # nothing stands in front of them
         for text in texts:
             usual = text and text[0] not in " \n" and text[-1] not in " \n" and not any(map(text.__contains__, UNUSUAL))
-            split.append(text.replace("\n", " \n").split(" ") if usual else None)
-        firsts = self._as_they_are({words[0] for words in split if words})  # nothing stands in front of them
-        known = self._after_space(set().union(*(words[1:] for words in split if words)))
+            words = text.replace("\n", " \n").split(" ") if usual else None
+            firsts.append(words.pop(0) if words else "")
+            split.append(words)
+        bare = self._as_they_are(set(firsts).difference([""]))
+        known = self._after_space(set().union(*(words for words in split if words)))
         out = []
-        for text, words in zip(texts, split, strict=True):
-            if words:
-                out.append(b"".join([firsts[words[0]], *map(known.__getitem__, words[1:])]))
+        for text, first, words in zip(texts, firsts, split, strict=True):
+            if words is not None:
+                out.append(bare[first] + b"".join(map(known.__getitem__, words)))
             else:
                 chunks = RUN.findall(text) if OTHER_SPACE.search(text) is None else [text] * bool(text)
                 out.append(b"".join(map(self._as_they_are(set(chunks)).__getitem__, chunks)))
         return out
 
 
-def blocks(texts: list, most: int = 1 << 20) -> Iterator[list]:
+def blocks(texts: list, most: int = 1 << 22) -> Iterator[list]:
     """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
     held, size = [], 0
     for text in texts:

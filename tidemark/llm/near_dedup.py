@@ -10,11 +10,14 @@
    candidates together. At similarity 0.75 a pair misses all bands with probability below
    1e-5.
 4. Links. Within a band key nobody is compared with everybody. First each class meets the
-   smallest member of each of its keys. What is connected by then needs no further look. The
-   rest goes on: of each key that still holds several components, about ``LEADERS`` members
-   meet the others of different components, and what is then still apart meets in full. Every
-   pair of a key is thus either inside one component or compared, so no link can be lost, while
-   a key with thousands of alike texts costs little more than one comparison for each.
+   smallest member of each of its keys. What is connected by then needs no further look. Of
+   what is still open, the shingles that no other open class holds are counted: two sets can
+   share no more than what is left of the smaller one, an exact bound that sets aside whoever
+   cannot reach the threshold with anybody, and pairs that cannot reach it. The rest goes on:
+   of each key that still holds several components, about ``LEADERS`` members meet the others
+   of different components, and what is then still apart meets in full. Every pair of a key is
+   thus inside one component, or proven apart, or compared, so no link can be lost, while a
+   key with thousands of alike texts costs little more than one comparison for each.
 5. Verification. A pair first passes the size test (exact), then the Jaccard estimate from
    the registers, corrected for accidental register collisions, ``SIGMAS`` standard deviations
    below the threshold; the remaining pairs are confirmed on full shingle sets, which are
@@ -227,9 +230,33 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
 
 
+def _reaches(most: F.Column, n_a: str = "n_a", n_b: str = "n_b") -> F.Column:
+    """Whether sets of these sizes can be linked if they share ``most`` shingles at most."""
+    return (100 + PERCENT) * most >= PERCENT * (F.col(n_a) + F.col(n_b))
+
+
+def _unshared(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """rep, own: how many shingles of an open class occur in no other open class (at least one).
+
+    A shingle counted once belongs to the one class that is its minimum, so a partially
+    aggregated count of shingles and one of classes are enough. Repeated rows of a class
+    count twice, which only makes the bound weaker.
+    """
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(own)], names=["rep", "shingle"])
+
+    each = (sets.join(open_.select("rep").distinct(), "rep", "left_semi").select("rep", "shingles")
+            .mapInArrow(shingles, "rep long, shingle long"))
+    counted = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
+    return counted.where("c = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+
+
 def _pairs_of(candidates: DataFrame) -> DataFrame:
     """Ordered, size-tested, distinct pairs from rows (a, n_a, b, n_b)."""
-    fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(PERCENT) * F.greatest("n_a", "n_b")
+    fits = _reaches(F.least("n_a", "n_b"))
     return (candidates.where(fits & (F.col("a") != F.col("b")))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
@@ -249,6 +276,14 @@ def _texts_of(docs: DataFrame, reps: DataFrame, count: int) -> DataFrame:
     return texts.join(F.broadcast(reps) if count <= BROADCAST_IDS else reps, "rep")
 
 
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of keys that hold several components, with their component."""
+    labelled = members.select("key", "size", "rep", "n").join(
+        found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    spread = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return stored(labelled.join(spread.select("key"), "key", "left_semi"), "near-open")
+
+
 def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """node, component of the classes that have a link; ``reps``: rep, digest, n, regs of each."""
     bands = reps.select("rep", "n", "regs").mapInArrow(_bands, "key long, rep long, n long")
@@ -265,19 +300,23 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                .join(sketches.select("rep", F.col("n").alias("n_b")), "rep")
                .select("a", "n_a", F.col("rep").alias("b"), "n_b"))
     found = stored(components(_verified(_pairs_of(partner), sketches, sets)), "near-components")
+    bounds = None
     for leaders in (LEADERS, None):
-        labelled = members.select("key", "size", "rep", "n").join(
-            found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        spread = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        open_ = stored(labelled.join(spread.select("key"), "key", "left_semi"), "near-open")
+        open_ = _open(members, found)
         if open_.isEmpty():
             break
+        if bounds is None:
+            bounds = stored(_unshared(sets, open_), "near-bounds")
+        # the most that a member can share with anybody; who cannot reach the threshold has no more links
+        open_ = open_.join(bounds, "rep", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        open_ = open_.where(100 * F.col("most") >= PERCENT * F.col("n"))
+        side = lambda c: [F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}"),
+                          F.col("component").alias(f"c_{c}")]
         draw = F.pmod(F.xxhash64("rep", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
         leading = open_ if leaders is None else open_.where(draw * F.col("size") < F.lit(float(leaders)))
-        leading = leading.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c"))
-        met = open_.join(leading, "key").where(F.col("component") != F.col("c")).select(
-            "a", "n_a", F.col("rep").alias("b"), F.col("n").alias("n_b"))
-        new = _verified(_pairs_of(met), sketches, sets)
+        met = leading.select("key", *side("a")).alias("a").join(open_.select("key", *side("b")).alias("b"), (
+            (F.col("a.key") == F.col("b.key")) & (F.col("c_a") != F.col("c_b")) & _reaches(F.least("most_a", "most_b"))))
+        new = _verified(_pairs_of(met.select("a", "n_a", "b", "n_b")), sketches, sets)
         known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stored(components(known.unionByName(new)), "near-components")
     return found
