@@ -3,7 +3,8 @@
 1. Sketch. A text is cut into distinct five-word shingles, each a 64-bit hash. The top bits
    of a hash choose one of ``BUCKETS`` buckets; of the least remainder in a bucket the
    register keeps its number of leading zeros and ``MANTISSA`` following bits (16 bits in
-   all). Empty buckets borrow the register of another bucket by a fixed random order.
+   all). For the bands, empty buckets borrow the register of another bucket by a fixed
+   random order; the estimate looks at buckets that either set fills.
 2. Classes. Texts with the same shingle set (compared by a 128-bit digest of the set) are
    one class, with the smallest doc_id as its representative, so copies cost one row each.
 3. Bands. ``BANDS`` groups of ``BAND_ROWS`` compressed registers are the keys that bring
@@ -11,9 +12,9 @@
    1e-5.
 4. Links. Within a band key nobody is compared with everybody. First each class meets the
    smallest member of each of its keys. What is connected by then needs no further look. Of
-   what is still open, the shingles that no other open class holds are counted: two sets can
-   share no more than what is left of the smaller one, an exact bound that sets aside whoever
-   cannot reach the threshold with anybody, and pairs that cannot reach it. The rest goes on:
+   what is still open, the shingles that no class of another component holds are counted: two
+   sets of different components can share no more than what is left of either, an exact bound
+   that sets aside whoever cannot reach the threshold, and pairs that cannot reach it. The rest goes on:
    of each key that still holds several components, about ``LEADERS`` members meet the others
    of different components, and what is then still apart meets in full. Every pair of a key is
    thus inside one component, or proven apart, or compared, so no link can be lost, while a
@@ -50,6 +51,7 @@ SHINGLE = 5
 PERCENT = 75  # link: 100 * |A and B| >= PERCENT * |A or B|
 BUCKETS, BANDS, BAND_ROWS, MANTISSA = 256, 32, 4, 10
 LEADERS, SIGMAS = 8, 5
+EMPTY = 0xFFFF
 #: Counted bound under which a list of ids and digests is broadcast (24 bytes each); longer ones are joined.
 BROADCAST_IDS = 500_000
 #: Word hashes that a worker keeps; the memory starts anew beyond it.
@@ -100,7 +102,7 @@ _BITS = int(math.log2(BUCKETS))
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """16-bit registers of a sorted non-empty set: leading zeros, then mantissa bits."""
+    """16-bit registers of a sorted non-empty set: leading zeros, then mantissa bits; or EMPTY."""
     buckets = (shingles >> np.uint64(64 - _BITS)).astype(np.int64)
     first = np.searchsorted(buckets, np.arange(BUCKETS))  # sorted: the first is the least
     filled = first < len(buckets)
@@ -110,13 +112,20 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     zeros = 63 - np.floor(np.log2(top.astype(np.float64))).astype(np.int64)  # rounding up costs at most one
     zeros = np.clip(zeros, 0, 62)
     zeros += (least >> (np.uint64(63) - zeros.astype(np.uint64))) == 0  # exact number of leading zeros
-    zeros = np.minimum(zeros, 63)
+    zeros = np.minimum(zeros, 62)
     rest = least << np.minimum(zeros + 1, 63).astype(np.uint64)
-    out = np.zeros(BUCKETS, np.uint16)
+    out = np.full(BUCKETS, EMPTY, np.uint16)
     out[filled] = (zeros.astype(np.uint16) << np.uint16(MANTISSA)) | (rest >> np.uint64(64 - MANTISSA)).astype(np.uint16)
-    if not filled.all():
-        empty = np.flatnonzero(~filled)
-        out[empty] = out[DONORS[empty, filled[DONORS[empty]].argmax(1)]]
+    return out
+
+
+def band_registers(regs: np.ndarray) -> np.ndarray:
+    """The registers of the bands, with borrowed ones in the place of empty ones (rows)."""
+    out = regs[:, :BANDS * BAND_ROWS].copy()
+    for row in np.flatnonzero((out == EMPTY).any(1)):
+        empty = np.flatnonzero(out[row] == EMPTY)
+        filled = regs[row] != EMPTY
+        out[row, empty] = regs[row, DONORS[empty, filled[DONORS[empty]].argmax(1)]]
     return out
 
 
@@ -125,20 +134,24 @@ def collision_rate() -> float:
     return sum(4.0 ** -(z + 1) for z in range(63)) * 2.0 ** -MANTISSA
 
 
-def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal registers (rows), corrected for accidental collisions."""
-    equal, by_chance = (a == b).mean(-1), collision_rate()
-    return np.clip((equal - by_chance) / (1 - by_chance), 0, 1)
+def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of equal registers among the buckets that either set fills (rows), corrected for
+    accidental collisions; and the number of those buckets."""
+    filled = (a != EMPTY) | (b != EMPTY)
+    witnesses = np.maximum(filled.sum(-1), 1)
+    equal, by_chance = ((a == b) & filled).sum(-1) / witnesses, collision_rate()
+    return np.clip((equal - by_chance) / (1 - by_chance), 0, 1), witnesses
 
 
-def estimate_floor(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def estimate_floor(n_a: np.ndarray, n_b: np.ndarray, witnesses: np.ndarray) -> np.ndarray:
     """Estimates below this are hopeless: ``SIGMAS`` standard deviations under the threshold.
 
-    Small sets leave buckets empty; a borrowed register is no new witness, which the number
-    of independent ones, BUCKETS * n / (n + BUCKETS), allows for.
+    Each filled bucket shows one member of the union, no member twice: sampling without
+    replacement, from a union of (n_a + n_b) / (1 + J) members.
     """
-    share, n = PERCENT / 100, np.minimum(n_a, n_b)
-    return share - SIGMAS * np.sqrt(share * (1 - share) * (n + BUCKETS) / (BUCKETS * n))
+    share = PERCENT / 100
+    unseen = np.maximum(1 - witnesses * (1 + share) / (n_a + n_b), 0.05)
+    return share - SIGMAS * np.sqrt(share * (1 - share) * unseen / witnesses)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +183,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(batch.num_rows, BUCKETS)
-        keys = regs[:, :BANDS * BAND_ROWS].copy().view(np.uint64)  # four registers are one 64-bit key
+        keys = band_registers(regs).view(np.uint64)  # four registers are one 64-bit key
         keys = _mixed(keys ^ _mixed(np.arange(1, BANDS + 1, dtype=np.uint64)))  # one-to-one within a band
         rep, n = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 1))
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(rep), pa.array(n)],
@@ -184,7 +197,8 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
         regs = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5)]
-        keep = pa.array(estimated_jaccard(*regs) >= estimate_floor(n_a, n_b))
+        estimate, witnesses = estimated_jaccard(*regs)
+        keep = pa.array(estimate >= estimate_floor(n_a, n_b, witnesses))
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
@@ -236,22 +250,20 @@ def _reaches(most: F.Column, n_a: str = "n_a", n_b: str = "n_b") -> F.Column:
 
 
 def _unshared(sets: DataFrame, open_: DataFrame) -> DataFrame:
-    """rep, own: how many shingles of an open class occur in no other open class (at least one).
-
-    A shingle counted once belongs to the one class that is its minimum, so a partially
-    aggregated count of shingles and one of classes are enough. Repeated rows of a class
-    count twice, which only makes the bound weaker.
-    """
+    """rep, own: how many shingles of an open class occur in no open class of another
+    component (at least one). Repeated rows of a class only make the bound weaker."""
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for rep, component, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 own = np.frombuffer(raw, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(own)], names=["rep", "shingle"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(np.full(len(own), component)),
+                                                  pa.array(own)], names=["rep", "component", "shingle"])
 
-    each = (sets.join(open_.select("rep").distinct(), "rep", "left_semi").select("rep", "shingles")
-            .mapInArrow(shingles, "rep long, shingle long"))
-    counted = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
-    return counted.where("c = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    each = (sets.join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
+            .mapInArrow(shingles, "rep long, component long, shingle long"))
+    inside = each.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo = hi")
+    return each.join(inside.select("shingle"), "shingle", "left_semi").groupBy("rep").agg(
+        F.count(F.lit(1)).alias("own"))
 
 
 def _pairs_of(candidates: DataFrame) -> DataFrame:
@@ -300,16 +312,13 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                .join(sketches.select("rep", F.col("n").alias("n_b")), "rep")
                .select("a", "n_a", F.col("rep").alias("b"), "n_b"))
     found = stored(components(_verified(_pairs_of(partner), sketches, sets)), "near-components")
-    bounds = None
     for leaders in (LEADERS, None):
         open_ = _open(members, found)
         if open_.isEmpty():
             break
-        if bounds is None:
-            bounds = stored(_unshared(sets, open_), "near-bounds")
-        # the most that a member can share with anybody; who cannot reach the threshold has no more links
-        open_ = open_.join(bounds, "rep", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-        open_ = open_.where(100 * F.col("most") >= PERCENT * F.col("n"))
+        # the most that a member can share beyond its component; who cannot reach the threshold has no more links
+        open_ = open_.join(_unshared(sets, open_), "rep", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        open_ = stored(open_.where(100 * F.col("most") >= PERCENT * F.col("n")), "near-open")
         side = lambda c: [F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}"),
                           F.col("component").alias(f"c_{c}")]
         draw = F.pmod(F.xxhash64("rep", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
