@@ -2,8 +2,9 @@
 
 The byte-level patterns cut in front of every run of white space that follows another
 character, so the strings between such places can be encoded alone and joined again. Most
-texts are words separated by one space or line feed: those are split there, and a word after
-a line feed keeps it as its first character.
+texts are words separated by one space or line feed. Those are split, told apart and joined
+again by Arrow's kernels, so Python looks only at the distinct words of a block of texts; a
+word after a line feed keeps it, and the first word of a text has a NUL, as first character.
 Texts with other white space are cut less finely or not at all; the result is the same.
 """
 
@@ -12,14 +13,20 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Entries of one generation of a memory; a full one becomes the older generation.
 REMEMBERED = 800_000
 RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A letter or digit, then only punctuation to the end of the chunk: the patterns cut between.
 TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.S)
 OTHER_SPACE = re.compile(r"[^\S \n]")
+MARKS = "\n\0"
 #: What a text of words between single spaces and line feeds does not hold.
-UNUSUAL = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
+FIRST = "\0"
+UNUSUAL = [FIRST, "  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 
 
 class Memory:
@@ -72,18 +79,19 @@ class ChunkEncoder:
                     self.bare.put(key, value)
         return found
 
-    def _after_space(self, words: set[str], cut: bool = True) -> dict[str, bytes]:
-        """Words that follow a space, or that begin with the line feed they follow."""
+    def _after_space(self, words: list[str], cut: bool = True) -> dict[str, bytes]:
+        """Distinct words that follow a space, or begin with the line feed they follow or with FIRST."""
         found, missing = self._known(self.spaced, words)
         if missing:
-            lines = [w for w in missing if w[0] == "\n"]
-            tails = {w: m.groups() for w in missing if cut and w[0] != "\n" and (m := TAIL.fullmatch(w))}
-            whole = [w for w in missing if w not in tails and w[0] != "\n"]
+            marked = [w for w in missing if w[0] in MARKS]
+            plain = [w for w in missing if w[0] not in MARKS]
+            tails = {w: m.groups() for w in plain if cut and (m := TAIL.fullmatch(w))}
+            whole = [w for w in plain if w not in tails]
             made = dict(zip(whole, self.encode_many([" " + w for w in whole]) if whole else [], strict=True))
-            if lines or tails:
-                bare = self._as_they_are({w[1:] for w in lines} | {tail for _, tail in tails.values()})
-                stems = self._after_space({stem for stem, _ in tails.values()}, cut=False)
-                made.update((w, self.line_feed + bare[w[1:]]) for w in lines)
+            if marked or tails:
+                bare = self._as_they_are({w[1:] for w in marked} | {tail for _, tail in tails.values()})
+                stems = self._after_space(list({stem for stem, _ in tails.values()}), cut=False)
+                made.update((w, bare[w[1:]] if w[0] == FIRST else self.line_feed + bare[w[1:]]) for w in marked)
                 made.update((w, stems[stem] + bare[tail]) for w, (stem, tail) in tails.items())
             for word, value in made.items():
                 if len(word) <= 64:
@@ -95,24 +103,31 @@ class ChunkEncoder:
         """Each text's encoding; words that are new to the worker are encoded in one call."""
         self.bare.turn()
         self.spaced.turn()
-        split: list[list[str] | None] = []
-        firsts: list[str] = []  # nothing stands in front of them
-        for text in texts:
-            usual = text and text[0] not in " \n" and text[-1] not in " \n" and not any(map(text.__contains__, UNUSUAL))
-            words = text.replace("\n", " \n").split(" ") if usual else None
-            firsts.append(words.pop(0) if words else "")
-            split.append(words)
-        bare = self._as_they_are(set(firsts).difference([""]))
-        known = self._after_space(set().union(*(words for words in split if words)))
+        usual = [bool(t) and t[0] not in " \n" and t[-1] not in " \n" and not any(map(t.__contains__, UNUSUAL)) for t in texts]
+        split = iter(self._split([t for t, u in zip(texts, usual, strict=True) if u]))
         out = []
-        for text, first, words in zip(texts, firsts, split, strict=True):
-            if words is not None:
-                out.append(bare[first] + b"".join(map(known.__getitem__, words)))
+        for text, plain in zip(texts, usual, strict=True):
+            if plain:
+                out.append(next(split))
             else:
                 chunks = RUN.findall(text) if OTHER_SPACE.search(text) is None else [text] * bool(text)
                 out.append(b"".join(map(self._as_they_are(set(chunks)).__getitem__, chunks)))
         return out
 
+    def _split(self, texts: list[str]) -> list[bytes]:
+        """Encodings of texts of words between single spaces and line feeds."""
+        if not texts:
+            return []
+        spaced = pc.replace_substring(pa.array([FIRST + t for t in texts], pa.large_string()), "\n", " \n")
+        lists = pc.split_pattern(spaced, " ")
+        words = lists.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self._after_space(distinct)
+        values = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary()).take(words.indices)
+        ends, data = np.frombuffer(values.buffers()[1], np.int64), memoryview(values.buffers()[2] or b"")
+        at = ends[lists.offsets.to_numpy()].tolist()
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
+
 
 def blocks(texts: list, most: int = 1 << 22) -> Iterator[list]:
     """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
