@@ -217,20 +217,26 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---------------------------------------------------------------------------- the operator
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether each node is either a root or has one edge, to a root (edges lead to smaller nodes)."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))).alias("e"))
+    seen = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.min("e.out").alias("least"))
+    return seen.where("out > 1 or (out = 1 and least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) of the nodes of ``edges`` (a, b).
 
     Alternating large-star and small-star contractions; each is two partially aggregated
-    steps on the edge list, which is written after each round. It ends when a round changes
-    nothing: then every edge leads straight to the smallest node.
+    steps on the edge list, which is written after each round. It ends when every edge leads
+    straight to the smallest node of its component.
     """
     def least(df: DataFrame) -> DataFrame:
         return df.groupBy("u").agg(F.min("v").alias("m"))
 
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
-    mark, last = None, ()
-    while mark != last:
-        last = mark
+    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "star")
+    while not _is_star_forest(now):
         # large star: larger neighbours of u go to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = least(both).select("u", F.least("u", "m").alias("m"))
@@ -239,7 +245,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least(large), "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         now = stored(small.select("e.*").where("u <> v").distinct(), "star")
-        mark = tuple(now.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     tops = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
 
