@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, shuffle_partitions
 
-__all__ = ["ensure_checkpoint_dir", "fraction_for", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
+__all__ = ["ensure_checkpoint_dir", "fraction_for", "hash_share", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
