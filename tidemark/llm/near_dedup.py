@@ -11,14 +11,12 @@
    candidates together. At similarity 0.75 a pair misses all bands with probability below
    1e-5.
 4. Links. Within a band key nobody is compared with everybody. First each class meets the
-   smallest member of each of its keys. What is connected by then needs no further look. Of
-   what is still open, the shingles that no class of another component holds are counted: two
-   sets of different components can share no more than what is left of either, an exact bound
-   that sets aside whoever cannot reach the threshold, and pairs that cannot reach it. The rest goes on:
-   of each key that still holds several components, about ``LEADERS`` members meet the others
-   of different components, and what is then still apart meets in full. Every pair of a key is
-   thus inside one component, or proven apart, or compared, so no link can be lost, while a
-   key with thousands of alike texts costs little more than one comparison for each.
+   smallest member of each of its keys, then, in keys that still hold several components,
+   about ``LEADERS`` members meet the others of different components. What is connected by
+   then needs no further look. The rest is joined on the rarest shingles of its sets: a linked
+   pair must share one of them early in both (an exact prefix condition), so no link between
+   open classes can be lost, while a group of thousands of alike texts costs little more than
+   one comparison for each.
 5. Verification. A pair first passes the size test (exact), then the Jaccard estimate from
    the registers, corrected for accidental register collisions, ``SIGMAS`` standard deviations
    below the threshold; the remaining pairs are confirmed on full shingle sets, which are
@@ -50,7 +48,7 @@ from tidemark.llm.common import read, stored
 SHINGLE = 5
 PERCENT = 75  # link: 100 * |A and B| >= PERCENT * |A or B|
 BUCKETS, BANDS, BAND_ROWS, MANTISSA = 256, 32, 4, 10
-LEADERS, SIGMAS = 8, 5
+LEADERS, SIGMAS = 2, 5
 EMPTY = 0xFFFF
 #: Counted bound under which a list of ids and digests is broadcast (24 bytes each); longer ones are joined.
 BROADCAST_IDS = 500_000
@@ -254,21 +252,38 @@ def _reaches(most: F.Column, n_a: str = "n_a", n_b: str = "n_b") -> F.Column:
     return (100 + PERCENT) * most >= PERCENT * (F.col(n_a) + F.col(n_b))
 
 
-def _unshared(sets: DataFrame, open_: DataFrame) -> DataFrame:
-    """rep, own: how many shingles of an open class occur in no open class of another
-    component (at least one). Repeated rows of a class only make the bound weaker."""
+def _rare_partners(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """Candidates (a, n_a, b, n_b) of different components among all open classes, exactly.
+
+    With the shingles of every set ordered by their number of open classes, rarest first, the
+    first common shingle of a linked pair stands early in both: behind it there must be room
+    for the whole intersection. So only the rarest quarter of a set is joined on, and pairs
+    whose positions leave too little room are left out. A group here is one text's shingles.
+    """
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rep, component, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = np.frombuffer(raw, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(np.full(len(own), component)),
-                                                  pa.array(own)], names=["rep", "component", "shingle"])
-
-    each = (sets.join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
-            .mapInArrow(shingles, "rep long, component long, shingle long"))
-    inside = each.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo = hi")
-    return each.join(inside.select("shingle"), "shingle", "left_semi").groupBy("rep").agg(
-        F.count(F.lit(1)).alias("own"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(own)], names=["rep", "shingle"])
+
+    classes = stored(open_.select("rep", "n", "component").distinct(), "near-open-classes")
+    each = (sets.join(classes.select("rep"), "rep", "left_semi").dropDuplicates(["rep"]).select("rep", "shingles")
+            .mapInArrow(shingles, "rep long, shingle long"))
+    each = stored(each, "near-shingles")
+    shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    ordered = each.join(shared, "shingle").groupBy("rep").agg(
+        F.array_sort(F.collect_list(F.struct("classes", "shingle"))).alias("rarest"))
+    early = (ordered.join(classes, "rep").select("rep", "n", "component", F.size("rarest").alias("m"),
+                                                 F.posexplode(F.slice("rarest", 1, F.greatest(F.lit(1), F.ceil(
+                                                     F.size("rarest") - F.col("n") * PERCENT / 100).cast("int") + 1))))
+             .select("rep", "n", "component", F.col("col.shingle").alias("shingle"), (F.col("m") - F.col("pos")).alias("room"))
+             .where(100 * F.col("room") >= PERCENT * F.col("n")))
+    early = stored(early, "near-rarest")
+    side = lambda c: early.select("shingle", F.col("rep").alias(c), F.col("n").alias(f"n_{c}"),
+                                  F.col("component").alias(f"c_{c}"), F.col("room").alias(f"room_{c}"))
+    met = side("a").alias("x").join(side("b").alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("a") < F.col("b"))
+                                    & (F.col("c_a") != F.col("c_b")) & _reaches(F.least("room_a", "room_b")))
+    return met.select("a", "n_a", "b", "n_b")
 
 
 def _pairs_of(candidates: DataFrame) -> DataFrame:
@@ -317,20 +332,19 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                .join(sketches.select("rep", F.col("n").alias("n_b")), "rep")
                .select("a", "n_a", F.col("rep").alias("b"), "n_b"))
     found = stored(components(_verified(_pairs_of(partner), sketches, sets)), "near-components")
-    for leaders in (LEADERS, None):
+    for last in (False, True):
         open_ = _open(members, found)
         if open_.isEmpty():
             break
-        # the most that a member can share beyond its component; who cannot reach the threshold has no more links
-        open_ = open_.join(_unshared(sets, open_), "rep", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-        open_ = stored(open_.where(100 * F.col("most") >= PERCENT * F.col("n")), "near-open")
-        side = lambda c: [F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}"),
-                          F.col("component").alias(f"c_{c}")]
-        draw = F.pmod(F.xxhash64("rep", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        leading = open_ if leaders is None else open_.where(draw * F.col("size") < F.lit(float(leaders)))
-        met = leading.select("key", *side("a")).alias("a").join(open_.select("key", *side("b")).alias("b"), (
-            (F.col("a.key") == F.col("b.key")) & (F.col("c_a") != F.col("c_b")) & _reaches(F.least("most_a", "most_b"))))
-        new = _verified(_pairs_of(met.select("a", "n_a", "b", "n_b")), sketches, sets)
+        if last:
+            met = _rare_partners(sets, open_)
+        else:
+            draw = F.pmod(F.xxhash64("rep", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+            leading = open_.where(draw * F.col("size") < F.lit(float(LEADERS))).select(
+                "key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c"))
+            met = open_.join(leading, "key").where(F.col("component") != F.col("c")).select(
+                "a", "n_a", F.col("rep").alias("b"), F.col("n").alias("n_b"))
+        new = _verified(_pairs_of(met), sketches, sets)
         known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stored(components(known.unionByName(new)), "near-components")
     return found
