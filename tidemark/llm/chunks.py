@@ -129,7 +129,7 @@ class ChunkEncoder:
         return [bytes(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
-def blocks(texts: list, most: int = 1 << 22) -> Iterator[list]:
+def blocks(texts: list, most: int = 1 << 23) -> Iterator[list]:
     """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
     held, size = [], 0
     for text in texts:
