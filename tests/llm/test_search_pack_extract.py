@@ -162,6 +162,33 @@ def test_pages_without_articles_lose_what_neighbours_share(spark):
                    4: "Site name\nHome\nalone\nImprint of the site"}
 
 
+def test_template_lines_inside_articles_go_and_copied_passages_stay(spark):
+    page = "<article><h1>Title {0}</h1><p>Words of {0}.</p>{1}<p>More of {0}.</p><p>All rights with the paper</p></article>"
+    passage = "<p>A passage that some pages quote</p>"
+    rows = [(i, f"http://h.org/{i}", page.format(i, "")) for i in range(10, 18)]
+    rows += [(i, f"http://h.org/{i}", page.format(i, passage)) for i in (20, 21, 22)]
+    rows += [(i, f"http://copies.org/{i}", page.format(7, "")) for i in range(30, 38)]  # copies of one page keep their text
+    rows += [(i, f"http://few.org/{i}", page.format(i, "")) for i in range(40, 43)]  # too few to tell
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in extraction.extract(docs).collect()}
+    last = "All rights with the paper"
+    for i in range(10, 18):
+        assert got[i] == [f"Title {i}", f"Words of {i}.", f"More of {i}."]
+    for i in (20, 21, 22):
+        assert got[i] == [f"Title {i}", f"Words of {i}.", "A passage that some pages quote", f"More of {i}."]
+    assert all(got[i] == ["Title 7", "Words of 7.", "More of 7.", last] for i in range(30, 38))
+    assert all(got[i][-1] == last for i in range(40, 43))
+
+
+def test_body_around_a_teaser_stays_and_shared_lines_around_it_go(spark):
+    page = ("<body><div>Site name</div><article><p>Teaser {0}</p></article><div>The long body of page {0} stands out here</div>"
+            "<div>Imprint of the site</div></body>")
+    rows = [(i, f"http://h.org/{i}", page.format(i)) for i in (1, 2, 3)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extraction.extract(docs).collect()}
+    assert got == {i: f"Teaser {i}\nThe long body of page {i} stands out here" for i in (1, 2, 3)}
+
+
 def test_furniture_is_not_text(spark):
     source = """<html><head><title>t</title><style>p{}</style></head><body><header>H</header><nav><a>N</a></nav>
       <div class="cookie-banner">C</div><main><h1>Head&shy;</h1><script>var x="</p>";</script><p>One  <b>two</b>&nbsp;three

@@ -8,11 +8,14 @@
    many tasks. Each page is paired with the page before it and the page after it on its host.
 3. Differencing. The block lists of a pair are aligned by their longest common subsequence.
    Shared blocks are the template of the site (menus, notices, footers) and are deleted.
-4. Article. Blocks inside an ``article`` or ``main`` element are the page's own words: there,
-   copied pages and quoted passages share blocks that must stay, so a shared block is only
-   deleted outside of it. Elements that say what they are (menus, headers, footers, asides,
-   forms, adverts, notices, comments) are deleted, shared or not; and where a page has an
-   article element, unshared blocks around it are furniture as well.
+4. Article. Inside an ``article`` or ``main`` element copied pages and quoted passages share
+   blocks that must stay. There a block is template only if both neighbours hold it at the same
+   place (counted from the article's beginning or its end), at most half of the article is
+   like that, and it is found so on more than half of the pages of a host with at least
+   ``SITE_PAGES`` pages. Elements that say what they are (menus, headers, footers, asides,
+   forms, adverts, notices, comments) are deleted, shared or not. Where a page has an article
+   element, unshared blocks around it are furniture as well, unless they hold more text than
+   it does: then the article is a teaser and the page's text stands around it.
 
 Only hashes of blocks travel between pages; the page itself meets its deletions by a key of
 the whole row, so repeated rows get one answer each.
@@ -61,6 +64,8 @@ HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true
 TABLE_CELLS = 4_000_000
 #: Elements that a new paragraph closes.
 OPEN_ENDED = INLINE | {"p"}
+#: Pages of a host from which lines inside its articles can be told to be template.
+SITE_PAGES = 5
 #: Where a block stands.
 AROUND, ARTICLE, REMOVED = 0, 1, 2
 
@@ -180,30 +185,50 @@ def common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return in_a, in_b
 
 
-def _hashes(found: list[tuple[str, int]]) -> np.ndarray:
-    """Hashes of the blocks that differencing may delete: those that are not an article's own."""
-    return np.array([xxhash.xxh64_intdigest(t) for t, where in found if where != ARTICLE], np.uint64)
+def _hashes(found: list[tuple[str, int]]) -> tuple[bytes, bytes]:
+    """Hashes of the blocks around the article (64 bits), and of the article's own (32 bits)."""
+    lines = np.array([xxhash.xxh64_intdigest(t) for t, where in found if where != ARTICLE], np.uint64)
+    own = np.array([xxhash.xxh32_intdigest(t) for t, where in found if where == ARTICLE], np.uint32)
+    return lines.tobytes(), own.tobytes()
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines = [_hashes(blocks(h)).tobytes() for h in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(lines, pa.binary())],
-                                         names=["host", "path", "key", "lines"])
+        lines = [_hashes(blocks(h)) for h in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)),
+                                          *(pa.array([x[i] for x in lines], pa.binary()) for i in range(2))],
+                                         names=["host", "path", "key", "lines", "own"])
+
+
+def same_places(own: np.ndarray, others: list[np.ndarray]) -> list[dict[str, int]]:
+    """Lines of an article that all the others hold at the same place from the beginning (0, 1, ...)
+    or from the end (-1, -2, ...); none if they are more than half of it, as in copies."""
+    if not others:
+        return []
+    n, found = len(own), []
+    least = min(n, *map(len, others))
+    for at in np.flatnonzero(np.all([own[:least] == o[:least] for o in others], axis=0)).tolist():
+        found.append({"at": at, "line": int(own[at]), "place": at})
+    ends = np.all([own[n - least:] == o[len(o) - least:] for o in others], axis=0)
+    for at in (n - least + np.flatnonzero(ends)).tolist():
+        found.append({"at": at, "line": int(own[at]), "place": at - n})
+    return found if 2 * len({f["at"] for f in found}) <= n else []
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Masks of the lines that a page shares with the page before or after it."""
+    """Masks of the lines that a page shares with the page before or after it, and the lines of
+    its article that both hold at the same place."""
     for batch in batches:
         rows = []
-        for key, own, *others in zip(batch["key"], batch["lines"], batch["before"], batch["after"], strict=True):
-            lines = np.frombuffer(own, np.uint64)
+        for r in batch.itertuples(index=False):
+            lines = np.frombuffer(r.lines, np.uint64)
             mask = np.zeros(len(lines), bool)
-            for other in others:
+            for other in (r.lines_before, r.lines_after):
                 if other is not None:
                     mask |= common(lines, np.frombuffer(other, np.uint64))[0]
-            rows.append((key, np.packbits(mask).tobytes()))
-        yield pd.DataFrame(rows, columns=["key", "mask"])
+            others = [np.frombuffer(o, np.uint32) for o in (r.own_before, r.own_after) if o is not None]
+            rows.append((r.host, r.key, np.packbits(mask).tobytes(), same_places(np.frombuffer(r.own, np.uint32), others)))
+        yield pd.DataFrame(rows, columns=["host", "key", "mask", "alike"])
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -213,40 +238,56 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """key, mask: which surrounding blocks of a page its nearest URLs share."""
+    """key, mask, site: which surrounding blocks of a page its nearest URLs share, and which
+    blocks of its article are the site's."""
     host, path = url_parts(F.col("url"))
     narrow = (pages.where(F.col("url").isNotNull())
               .select(host.alias("host"), path.alias("path"), _key().alias("key"), "html")
-              .mapInArrow(_surroundings, "host string, path string, key binary, lines binary")
-              .dropDuplicates(["key"]).where(F.octet_length("lines") > 0))
+              .mapInArrow(_surroundings, "host string, path string, key binary, lines binary, own binary")
+              .dropDuplicates(["key"]).where(F.octet_length("lines") + F.octet_length("own") > 0))
     placed = stored(with_global_position(narrow, [F.col("host"), F.col("path"), F.col("key")], "pos"), "page-order")
 
     def neighbour(step: int, name: str) -> DataFrame:
-        return placed.select((F.col("pos") + step).alias("pos"), "host", F.col("lines").alias(name))
+        return placed.select((F.col("pos") + step).alias("pos"), "host", F.col("lines").alias(f"lines_{name}"),
+                             F.col("own").alias(f"own_{name}"))
 
-    paired = (placed.select("pos", "host", "key", "lines")
+    paired = (placed.select("pos", "host", "key", "lines", "own")
               .join(neighbour(1, "before"), ["pos", "host"], "left").join(neighbour(-1, "after"), ["pos", "host"], "left"))
-    return paired.select("key", "lines", "before", "after").mapInPandas(_shared, "key binary, mask binary")
+    pairs = stored(paired.drop("pos").mapInPandas(
+        _shared, "host string, key binary, mask binary, alike array<struct<at int, line long, place int>>"), "page-pairs")
+
+    alike = pairs.select("host", "key", F.inline("alike"))
+    sizes = placed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= SITE_PAGES)
+    usual = (alike.groupBy("host", "line", "place").agg(F.count(F.lit(1)).alias("n")).join(sizes, "host")
+             .where(2 * F.col("n") > F.col("pages")).select("host", "line", "place"))
+    site = alike.join(usual, ["host", "line", "place"]).groupBy("key").agg(F.collect_set("at").alias("site"))
+    return pairs.select("key", "mask").join(site, "key", "left")
 
 
 def _key() -> Column:
     return md_key(F.col("page_id"), F.col("url"), F.col("html"))
 
 
-def main_blocks(html: str | None, mask: bytes | None) -> list[str]:
-    """The blocks that stay: not shared with a neighbour (or an article's own), not furniture."""
+def main_blocks(html: str | None, mask: bytes | None, site: list[int] | None = None) -> list[str]:
+    """The blocks that stay: not shared with a neighbour, not the site's (``site``: numbers of such
+    blocks among the article's own), not furniture."""
     found = blocks(html)
     size = sum(where != ARTICLE for _, where in found)
-    shared = iter(np.unpackbits(np.frombuffer(mask, np.uint8))[:size] if mask else np.zeros(size, bool))
-    left = [(t, where) for t, where in found if where == ARTICLE or not next(shared)]
-    wanted = ARTICLE if size < len(found) else AROUND  # unshared blocks around an article go as well
-    return [t for t, where in left if where == wanted]
+    bits = np.unpackbits(np.frombuffer(mask, np.uint8))[:size] if mask else np.zeros(size, bool)
+    shared, inside = iter(bits), np.zeros(len(found) - size, bool)
+    inside[site or []] = True
+    theirs = iter(inside)
+    left = [(t, where) for t, where in found if not next(theirs if where == ARTICLE else shared)]
+    held = {kind: sum(len(t) for t, where in left if where == kind) for kind in (ARTICLE, AROUND)}
+    if size < len(found) and held[AROUND] <= held[ARTICLE]:  # unshared blocks around an article go as well
+        return [t for t, where in left if where == ARTICLE]
+    return [t for t, where in left if where != REMOVED]
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = ["\n".join(main_blocks(h, m)) for h, m in zip(
-            batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        texts = ["\n".join(main_blocks(*row)) for row in zip(
+            *(batch.column(i).to_pylist() for i in range(2, 5)), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())],
                                          names=["page_id", "url", "text", "n_chars"])
@@ -255,8 +296,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page (columns page_id, url, html)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    masked = rows.withColumn("key", _key()).join(stored(templates(rows), "page-templates"), "key", "left")
-    return masked.select("page_id", "url", "html", "mask").mapInArrow(
+    masks = stored(templates(rows), "page-templates").hint("merge")  # as many as pages: nothing to broadcast
+    masked = rows.withColumn("key", _key()).join(masks, "key", "left")
+    return masked.select("page_id", "url", "html", "mask", "site").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long")
 
 
