@@ -198,6 +198,25 @@ def test_furniture_is_not_text(spark):
     assert text == "Head\xad\nOne two three\nfour\nfive\na < b & b &am"
 
 
+@pytest.mark.parametrize("attributes, stays", [
+    ('class="overflow-hidden"', True), ('data-title="hidden places"', True), ("data-class='menu'", True), ('id="x"', True),
+    ("hidden", False), ('id="x" hidden', False), ('HIDDEN=""', False), ('aria-hidden="true"', False), ("aria-hidden=true", False),
+    ('aria-hidden="false"', True), ('style="color:red; display : none"', False), ('title="display:none"', True),
+    ('class="sidebar"', False), ("class=site-header", False)])
+def test_only_attributes_that_say_so_hide_an_element(attributes, stays):
+    assert extraction.main_blocks(f"<div {attributes}><article><p>Text</p></article></div>", None) == ["Text"] * stays
+
+
+def test_names_inside_an_article_remove_only_what_is_foreign():
+    page = "<{0}><div class='{1}'><h1>Title</h1></div><p>Text</p></{0}>"
+    for name in ("entry-header", "masthead", "widget text", "related-work", "notice", "menu"):
+        assert extraction.main_blocks(page.format("article", name), None) == ["Title", "Text"]
+    for name in ("ad", "post-comments", "share", "newsletter"):
+        assert extraction.main_blocks(page.format("article", name), None) == ["Text"]
+    assert extraction.main_blocks(page.format("main", "entry-header"), None) == ["Title", "Text"]
+    assert extraction.main_blocks(page.format("main", "sidebar"), None) == ["Text"]
+
+
 def test_extraction_defined_cases(spark):
     rows = [(1, "http://h/x", None), (2, None, "<p>a"), (2, None, "<p>a"), (None, "http://h/x", ""), (3, "no url", "plain < text <"),
             (4, "http://h/y", "<p>" + "w " * 100_000), (5, "http://h/y", "<article><p>cut <b>off"), (6, "", "<!-- open"), (6, "x", "<p title='")]

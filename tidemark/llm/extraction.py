@@ -50,15 +50,24 @@ OWN = frozenset("article main".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
                    "strike strong sub sup time tt u var wbr big acronym img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role that name furniture.
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|cookies?|consent|comments?|comment-list|"
-                   r"reviews?|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|popup|modal|"
-                   r"promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget|complementary|"
-                   r"contentinfo|search)(?:$|[\s_-])", re.I)
+#: Words in class, id or role that name furniture: of any page, of what stands in an article too.
+FOREIGN = (r"ads?|advert\w*|adsense|promo\w*|sponsor\w*|comments?|comment-list|reviews?|disqus|share|sharing|social|"
+           r"newsletter|subscribe|search")
+AREAS = r"banner|breadcrumbs?|cookies?|consent|footer|menu|nav|navbar|navigation|notices?|popup|modal|related|sidebar|" \
+        r"toolbar|widget|complementary|contentinfo"
+HEADS = r"header|masthead"
+
+
+def _naming(words: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{words})(?:$|[\s_-])", re.I)
+
+
+#: By where an element stands: in no article or main, in main alone, in an article.
+NAMED, NAMED_IN_MAIN, NAMED_IN_ARTICLE = (_naming(w) for w in (f"{FOREIGN}|{AREAS}|{HEADS}", f"{FOREIGN}|{AREAS}", FOREIGN))
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)"
                  r"((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|$)", re.S)
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
 #: Cells of the largest alignment table that is held at once.
 TABLE_CELLS = 4_000_000
@@ -70,8 +79,14 @@ SITE_PAGES = 5
 AROUND, ARTICLE, REMOVED = 0, 1, 2
 
 
-def _names(attributes: str) -> str:
-    return " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
+def _removed(attributes: str, names: re.Pattern) -> bool:
+    """Whether an element is hidden, or says by class, id or role what it is."""
+    own: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(attributes):
+        own.setdefault(name.lower(), "".join(values))
+    return ("hidden" in own or own.get("aria-hidden", "").strip().lower() == "true"
+            or bool(UNSEEN.search(own.get("style", "")))
+            or bool(names.search(" ".join(own.get(k, "") for k in ("class", "id", "role")))))
 
 
 def blocks(html: str | None) -> list[tuple[str, int]]:
@@ -123,7 +138,8 @@ def blocks(html: str | None) -> list[tuple[str, int]]:
                         break
             is_silent = name in SILENT
             is_own = name in OWN
-            named = bool(m[3]) and (bool(NAMED.search(_names(m[3]))) or bool(HIDDEN.search(m[3])))
+            names = (NAMED if not own else NAMED_IN_ARTICLE if any(n == "article" for n, *_ in stack) else NAMED_IN_MAIN)
+            named = bool(m[3]) and _removed(m[3], names)
             inside = own > 0 and name == "header"  # an article's own heading stays
             is_removed = (name in FURNITURE and not inside) or (named and name not in ("html", "body") and not is_own)
             stack.append((name, is_removed, is_own, is_silent))
