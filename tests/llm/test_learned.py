@@ -78,6 +78,15 @@ def test_misspellings_stems_and_clean_look_alikes():
         toxicity.EXACT, toxicity.FUZZY, toxicity.FUZZY, toxicity.FUZZY, 0, toxicity.EXACT, 0, 0]
 
 
+def test_misspellings_inside_a_stem():
+    family = ["idiot", "idiots", "idiotic", "idiocy", "idiotically"]
+    lexicon = toxicity.Lexicon(family, ["idio"], [])
+    assert [lexicon.match(w) for w in ("idoit", "1diot", "idot", "diots", "idi0cy", "idiotas", "table")] == [
+        *[toxicity.FUZZY] * 5, toxicity.EXACT, 0]
+    for word in ("idoit", "1diot", "idot"):  # a learned stem takes nothing away
+        assert lexicon.match(word) == toxicity.Lexicon(["idiot"], [], []).match(word)
+
+
 def test_quotation_is_not_abuse():
     matcher = toxicity.Matcher(toxicity.Lexicon(["idiot"], [], []))
     abuse = toxicity.features(matcher, "you are an idiot and more of this")

@@ -79,7 +79,7 @@ class Lexicon:
         self.heads: dict[str, set[int]] = {}
         self.tails: dict[str, set[int]] = {}
         for term in terms:
-            if len(term) < FUZZY_LENGTH or self.stem(term):
+            if len(term) < FUZZY_LENGTH:
                 continue
             node = self.trie
             for letter in term:
