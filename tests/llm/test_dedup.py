@@ -160,6 +160,21 @@ def test_near_defined_cases(spark):
     assert left.columns == frame(spark, []).columns and left.count() == 5
 
 
+def test_near_repeated_ids_have_the_shingles_of_all_their_texts(spark):
+    """As the SQL says; ids next to them keep their links, whichever digest is the smaller one."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(0, 100, 10):
+        a, b, c = ([f"{i}{x}{rng.randrange(10 ** 6)}" for _ in range(60)] for x in "abc")
+        near = [*a[:-1], "other"]
+        rows += [(i + 1, " ".join(a)), (i + 1, " ".join(b)), (i + 5, " ".join(a)), (i + 9, " ".join(near))]
+        rows += [(i + 2, " ".join(c[:40])), (i + 2, " ".join(c[20:])), (i + 2, None), (i + 4, " ".join(c))]
+        want |= {i + 1: (112, i + 1), i + 5: (56, i + 5), i + 9: (56, i + 5), i + 2: (56, i + 2), i + 4: (56, i + 2)}
+    out = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(out) == len(rows)
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id) for r in out)
+
+
 def test_large_group_needs_few_comparisons(spark):
     """A band key shared by all is not compared pair by pair, and no component is lost."""
     rng = random.Random(5)

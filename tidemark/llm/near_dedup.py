@@ -25,8 +25,8 @@
 
 Defined cases: texts without words (null and empty ones too) have the empty set and are
 linked with nothing; with fewer than five words the whole sequence is one shingle. Rows that
-repeat a doc_id and text share one result; rows that repeat a doc_id with other texts count
-as one document in links, and each row reports its own set size. A null doc_id takes no
+repeat a doc_id share one result; if their texts differ, the document has the shingles of
+all of them (a set that is held whole, like that of one text). A null doc_id takes no
 part: its component is null and it is kept. Long texts are sketched whole. Empty tables give
 empty results; other columns are ignored.
 """
@@ -175,6 +175,28 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([s for _, s in rows], pa.binary())], names=["rep", "shingles"])
 
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, shingle) of each text."""
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = shingle_set(text).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), doc_id, np.int64)), pa.array(own)],
+                                             names=["doc_id", "shingle"])
+
+
+def _united_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Like ``_sketches`` from (doc_id, list of distinct shingles), with the set itself."""
+    for batch in batches:
+        rows = []
+        for own in batch.column(1):
+            s = np.sort(own.values.to_numpy().view(np.uint64))
+            rows.append((len(s), hashlib.md5(s.tobytes()).digest(), registers(s).tobytes(), s.tobytes()))
+        columns = zip(*rows, strict=True) if rows else ((),) * 4
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                                         names=["doc_id", "n_shingles", "digest", "regs", "shingles"])
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, rep, n) for each band of each class."""
     for batch in batches:
@@ -316,15 +338,32 @@ def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     return stored(labelled.join(spread.select("key"), "key", "left_semi"), "near-open")
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """node, component of the classes that have a link; ``reps``: rep, digest, n, regs of each."""
+def united(docs: DataFrame, rows: DataFrame) -> DataFrame | None:
+    """doc_id, n_shingles, digest, regs, shingles of the ids whose rows have different sets; None without any."""
+    several = stored(rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.count("digest").alias("n"), F.count(F.lit(1)).alias("all"))
+        .where("lo < hi or (n > 0 and n < all)").select("doc_id"), "near-several")
+    if several.isEmpty():
+        return None
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(several, "doc_id", "left_semi")
+    sets = (texts.mapInArrow(_each_shingle, "doc_id long, shingle long").distinct()
+            .groupBy("doc_id").agg(F.collect_list("shingle").alias("shingles")))
+    return stored(sets.mapInArrow(_united_sketches, "doc_id long, n_shingles long, digest binary, regs binary, shingles binary"),
+                  "near-united")
+
+
+def links(docs: DataFrame, reps: DataFrame, joint: DataFrame | None = None) -> DataFrame:
+    """node, component of the classes that have a link; ``reps``: rep, digest, n, regs of each;
+    ``joint``: the ``united`` sets."""
     bands = reps.select("rep", "n", "regs").mapInArrow(_bands, "key long, rep long, n long")
     keys = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("least")).where("size > 1")
     members = stored(bands.join(keys, "key"), "near-members")
     sketches = stored(reps.join(members.select("rep").distinct(), "rep", "left_semi"), "near-sketches")
     wanted = sketches.select("rep", "digest")
-    sets = stored(_texts_of(docs, wanted, wanted.count()).select("rep", "digest", "text")
-                  .mapInArrow(_sets, "rep long, shingles binary"), "near-sets")
+    sets = _texts_of(docs, wanted, wanted.count()).select("rep", "digest", "text").mapInArrow(_sets, "rep long, shingles binary")
+    if joint is not None:
+        sets = sets.unionByName(joint.select(F.col("doc_id").alias("rep"), "shingles").join(wanted.select("rep"), "rep", "left_semi"))
+    sets = stored(sets, "near-sets")
 
     # first meeting: each class with the smallest member of its keys, one partner each
     partner = (members.where("rep <> least").groupBy("rep").agg(F.min("least").alias("a"))
@@ -354,12 +393,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _sketches, "doc_id long, n_shingles long, digest binary, regs binary"), "near-sketched")
+    joint = united(docs, rows)
+    if joint is not None:
+        sketch = ("n_shingles", "digest", "regs")
+        theirs = joint.select("doc_id", F.struct(*sketch).alias("theirs"))
+        rows = stored(rows.join(theirs, "doc_id", "left").select("doc_id", *[
+            F.when(F.col("theirs").isNotNull(), F.col(f"theirs.{c}")).otherwise(F.col(c)).alias(c) for c in sketch]), "near-sketched")
     named = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                           F.first("regs").alias("regs"))
-    # one id may stand for several texts (repeated ids): its first class represents it in the links
-    reps = stored(classes, "near-classes")
-    found = links(docs, reps.groupBy("rep").agg(F.min(F.struct("digest", "n", "regs")).alias("x")).select("rep", "x.*"))
+    reps = stored(classes, "near-classes")  # an id has one set, so it stands for one class at most
+    found = links(docs, reps, joint)
     whole = stored(reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("digest", F.coalesce("component", "rep").alias("component_id")), "near-whole")
     out = rows.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left")
