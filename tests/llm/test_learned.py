@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, quality, toxicity
-from tidemark.llm.common import read, remainder
+from tidemark.llm.common import class_fractions, read, remainder
 
 SF = "/root/testdata/sf0.01"
 
@@ -59,6 +59,21 @@ def test_language_defined_cases(spark):
     assert tie.predict("x") == ("aa", 0.5)
 
 
+def test_rare_language_keeps_its_documents(spark, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_DOCS", 40)
+    rows = [(i, "the house of the man", "en") for i in range(3000)] + [(5000 + i, "das haus der mann", "de") for i in range(3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert model.languages == ["de", "en"] and model.predict("das haus")[0] == "de"
+
+
+def test_class_fractions_keep_the_bound_and_small_classes():
+    for counts in ({"a": 10}, {"a": 1000, "b": 3}, {"a": 500, "b": 60, "c": 1}, {"a": 0, "b": 900}, {}):
+        shares = class_fractions(100, counts)
+        kept = {k: n * shares[k] for k, n in counts.items()}
+        assert sum(kept.values()) == pytest.approx(min(100, sum(counts.values())))
+        assert all(shares[k] == 1 for k, n in counts.items() if n <= 100 / len(counts))
+
+
 # ------------------------------------------------------------------------------- toxicity
 
 def test_automaton_equals_edit_distance():
@@ -104,6 +119,16 @@ def test_toxicity_held_out(spark):
     assert out[out.toxic == 1].score.mean() > clean.score.mean()
 
 
+def test_rare_toxic_label_keeps_its_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 400)
+    rows = [(i, f"w{i}a w{i}b w{i}c w{i}d w{i}e" + (" you idiot" if i % 100 == 0 else ""), int(i % 100 == 0)) for i in range(8000)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(data.select("doc_id", "text"), data.select("doc_id", "toxic"), F.lit(True))
+    assert "idiot" in model.matcher.lexicon.terms
+    abusive, plain = model.score(["one two three you idiot", "one two three four five"])
+    assert abusive > 0.5 and plain < 0.01  # odds as among all rows, one of a hundred of them toxic
+
+
 def test_toxicity_defined_cases(spark):
     docs = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (2, "", "c"), (None, "x" * 200_000, "c")],
                                  "doc_id long, text string, toxic string")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, shuffle_partitions
 
-__all__ = ["ensure_checkpoint_dir", "fraction_for", "hash_share", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
+__all__ = ["class_fractions", "ensure_checkpoint_dir", "fraction_for", "hash_share", "hash_share_by", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,3 +44,22 @@ def hash_share(col: Column, share: float, seed: int) -> Column:
     if share >= 1.0:
         return F.lit(True)
     return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def class_fractions(bound: int, counts: dict) -> dict:
+    """Shares of each class to take so that about ``bound`` rows are kept in all: small classes
+    whole, the others down to one size."""
+    left, out = float(bound), {}
+    for i, (key, n) in enumerate(sorted(counts.items(), key=lambda kv: kv[1])):
+        most = left / (len(counts) - i)
+        out[key] = 1.0 if n <= most else most / n
+        left -= min(n, most)
+    return out
+
+
+def hash_share_by(col: Column, kind: Column, shares: dict, seed: int) -> Column:
+    """``hash_share`` with a share for each value of ``kind``; other values are not chosen."""
+    if not shares:
+        return F.lit(False)
+    limits = F.create_map(*[F.lit(x) for key, share in shares.items() for x in (key, int(share * (1 << 30)))])
+    return F.coalesce(F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) < F.try_element_at(limits, kind), F.lit(False))

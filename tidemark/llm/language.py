@@ -7,7 +7,8 @@ at which any of its n-grams is known, and takes their mean log frequency there.
 
 The model has a fixed bound: ``WORDS`` words and ``GRAMS`` n-grams of each length for each
 language, the most frequent ones, counted over at most about ``TRAIN_DOCS`` training
-documents (chosen by a hash of their id, whole texts). Prediction covers every row.
+documents (chosen by a hash of their id, whole texts; a language with few documents gives
+all of them, the others equal numbers). Prediction covers every row.
 
 Defined cases: a text that is null or has no letter gives ``und`` with score 0. Ties go to
 the language that sorts first. Rows without a language are not learned from. With no
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fraction_for, hash_share, read, remainder, stored
+from tidemark.llm.common import class_fractions, hash_share_by, read, remainder, stored
 
 TRAIN_DOCS = 8_000
 WORDS, GRAMS, MAX_GRAM = 20_000, 6_000, 4
@@ -126,8 +127,8 @@ class Model:
 def fit(documents: DataFrame, trainable: Column) -> Model:
     """The model of the rows that satisfy ``trainable`` (columns doc_id, text, lang)."""
     rows = documents.where(trainable & F.col("lang").isNotNull())
-    share = fraction_for(TRAIN_DOCS, rows.count())
-    chosen = rows.where(hash_share(F.col("doc_id"), share, 1)).select("lang", "text")
+    shares = class_fractions(TRAIN_DOCS, {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()})
+    chosen = rows.where(hash_share_by(F.col("doc_id"), F.col("lang"), shares, 1)).select("lang", "text")
     words = stored(word_counts(chosen), "language-words")
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
     known: dict[str, dict[str, int]] = {}

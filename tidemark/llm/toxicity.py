@@ -19,8 +19,9 @@ word that reports speech, count as quoted; the rest count as abuse. A logistic c
 abusive hits (misspelled ones weigh less), their density and quoted hits gives the score.
 
 Bounds: at most about ``TRAIN_DOCS`` labelled documents (whole texts, chosen by a hash of
-the id), ``TERMS`` terms, ``STEMS`` stems and ``CLEAN`` clean look-alikes. Every row is
-scored over its whole text.
+the id; of the rarer label up to half of them, which the shares of words and the weights of
+the score allow for), ``TERMS`` terms, ``STEMS`` stems and ``CLEAN`` clean look-alikes. Every
+row is scored over its whole text.
 
 Defined cases: a null or empty text has no hits and gets the score of that. Without toxic
 or without clean training documents every score is the share of toxic labels. Repeated rows
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fraction_for, hash_share, read, remainder, stored
+from tidemark.llm.common import class_fractions, hash_share, hash_share_by, read, remainder, stored
 from tidemark.llm.near_dedup import shingle_set
 
 TRAIN_DOCS = 16_000
@@ -192,8 +193,9 @@ def _least_shingle(texts: pd.Series) -> pd.Series:
     return pd.Series([int(s[0].view(np.int64)) if len(s := shingle_set(t)) else 0 for t in texts])
 
 
-def learn_lexicon(labelled: DataFrame) -> Lexicon:
-    """The lexicon of labelled texts (columns toxic, text)."""
+def learn_lexicon(labelled: DataFrame, shares: dict[int, float] | None = None) -> Lexicon:
+    """The lexicon of labelled texts (columns toxic, text), sampled with these shares by label."""
+    shares = shares or {0: 1.0, 1: 1.0}
     once = labelled.withColumn("least", F.pandas_udf(_least_shingle, "long")("text")).dropDuplicates(["least", "toxic"])
     once = stored(once.select(F.col("toxic").cast("int").alias("toxic"), "text"), "toxic-once")
     toxic, clean = once.select(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1))).first()
@@ -207,10 +209,11 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
         """Rows (bad, good) whose toxic share is no accident among as many rows as there are."""
         tried = df.where(F.col("bad") + F.col("good") >= SUPPORT)
         share, usual = F.col("bad") / (F.col("bad") + F.col("good")), toxic / (toxic + clean)
+        bad, good = F.col("bad") / shares[1], F.col("good") / shares[0]  # in all labelled documents
         surprise = (F.col("bad") * F.log(share / usual)
                     + F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - usual))).otherwise(0.0))
         needed = math.log(max(1, tried.count())) + MARGIN
-        return tried.where((F.col("bad") > 0) & (share >= PRECISION) & (surprise >= needed))
+        return tried.where((F.col("bad") > 0) & (bad / (bad + good) >= PRECISION) & (surprise >= needed))
 
     terms = [r.word for r in beyond_chance(words).orderBy(F.desc("bad"), "word").limit(TERMS).collect()]
     starts = F.array(*[F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEM_SIZES])
@@ -233,14 +236,14 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     return Lexicon(terms, stems, [r.word for r in near])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Ridge logistic weights (last: constant), by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, counted: np.ndarray | float = 1.0) -> np.ndarray:
+    """Ridge logistic weights (last: constant), by Newton steps; ``counted``: rows that each row stands for."""
     design, w = np.c_[x, np.ones(len(x))], np.zeros(x.shape[1] + 1)
     keep = ridge * np.diag([*np.ones(x.shape[1]), 1e-3])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        curve = design.T @ (design * (p * (1 - p))[:, None]) + keep + 1e-9 * np.eye(len(w))
-        w = w + np.clip(np.linalg.solve(curve, design.T @ (y - p) - keep @ w), -3, 3)
+        curve = design.T @ (design * (counted * p * (1 - p))[:, None]) + keep + 1e-9 * np.eye(len(w))
+        w = w + np.clip(np.linalg.solve(curve, design.T @ (counted * (y - p)) - keep @ w), -3, 3)
     return w
 
 
@@ -258,10 +261,11 @@ def fit(documents: DataFrame, labels: DataFrame, trainable: Column) -> Model:
     that do not satisfy ``trainable`` are not looked at."""
     known = labels.where(trainable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     total, ones = known.select(F.count(F.lit(1)), F.count(F.when(F.col("toxic") == 1, 1))).first()
-    chosen = known.where(hash_share(F.col("doc_id"), fraction_for(TRAIN_DOCS, total), 6))
+    shares = class_fractions(TRAIN_DOCS, {0: total - ones, 1: ones})
+    chosen = known.where(hash_share_by(F.col("doc_id"), F.col("toxic"), shares, 6))
     texts = stored(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # a sample of stated size
                    .withColumn("first", hash_share(F.col("doc_id"), 0.6, 7)), "toxic-texts")
-    lexicon = learn_lexicon(texts.where("first"))
+    lexicon = learn_lexicon(texts.where("first"), shares)
     matcher = Matcher(lexicon)
 
     def second_half(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,7 +277,9 @@ def fit(documents: DataFrame, labels: DataFrame, trainable: Column) -> Model:
     if not lexicon.terms or rows["toxic"].nunique() < 2:
         share = (ones + 1) / (total + 2)
         return Model(lexicon, np.r_[np.zeros(width), math.log(share / (1 - share))])
-    return Model(lexicon, logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float)))
+    toxic, most = rows["toxic"].to_numpy(float), max(shares.values())
+    counted = np.where(toxic == 1, most / shares[1], most / shares[0])  # as among all labelled documents
+    return Model(lexicon, logistic(np.array(rows["x"].tolist()), toxic, counted=counted))
 
 
 def scorer(spark, model: Model):
