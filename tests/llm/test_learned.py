@@ -129,6 +129,15 @@ def test_rare_toxic_label_keeps_its_documents(spark, monkeypatch):
     assert abusive > 0.5 and plain < 0.01  # odds as among all rows, one of a hundred of them toxic
 
 
+def test_clean_look_alikes_beyond_the_bound_are_the_most_frequent(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CLEAN", 2)
+    near = {"idiom": 1, "adiot": 9, "odiot": 2, "idipt": 9, "udiot": 1, "idiob": 3, "idyot": 1, "zidiot": 1, "idio": 2}
+    words = [*["idiot"] * 40, *(w for w, n in near.items() for _ in range(n)), *["house"] * 20]
+    rows = [(int(w == "idiot"), f"w{i}a w{i}b w{i}c {w} w{i}d w{i}e") for i, w in enumerate(words)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "toxic int, text string"))
+    assert lexicon.terms == {"idiot"} and lexicon.clean == {"adiot", "idipt"}
+
+
 def test_toxicity_defined_cases(spark):
     docs = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (2, "", "c"), (None, "x" * 200_000, "c")],
                                  "doc_id long, text string, toxic string")

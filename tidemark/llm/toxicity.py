@@ -229,10 +229,11 @@ def learn_lexicon(labelled: DataFrame, shares: dict[int, float] | None = None) -
 
     def look_alikes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [w for w in batch.column(0).to_pylist() if lexicon.match(w) == FUZZY]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
+            found = pa.array([lexicon.match(w) == FUZZY for w in batch.column(0).to_pylist()], pa.bool_())
+            yield batch.filter(found)
 
-    near = words.where("good > 0").select("word").mapInArrow(look_alikes, "word string").limit(CLEAN).collect()
+    near = (words.where("good > 0").select("word", "good").mapInArrow(look_alikes, "word string, good long")
+            .orderBy(F.desc("good"), "word").limit(CLEAN).collect())
     return Lexicon(terms, stems, [r.word for r in near])
 
 
