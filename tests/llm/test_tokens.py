@@ -108,3 +108,19 @@ def test_store_repeated_and_null_ids_and_empty(spark):
     assert [s for s, _ in starts] == np.cumsum([0, *[n for _, n in starts][:-1]]).tolist()
     token_store.write_store(spark.createDataFrame([], "doc_id long, text string"), path + "-empty")
     assert token_store.listing(token_store.open_store(spark, path + "-empty")).collect() == []
+
+
+def test_query_equals_the_library_with_its_defaults(spark):
+    """Also where a text holds the string of an added token."""
+    plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
+    strings = [t.content for t in plain.get_added_tokens_decoder().values()]
+    texts = ["plain words", *ODD, *(f"a {x} b" for x in strings), *(f"{x}{x}" for x in strings), *random_texts(50, 3)]
+    folder = tempfile.mkdtemp(prefix="tm-store-")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.op8_token_store(spark, folder).collect()}
+    start, want = 0, {}
+    for i, text in enumerate(texts):
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, token_store.END], "<u4")
+        want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert strings and got == want

@@ -147,15 +147,34 @@ class Shard:
 # ---------------------------------------------------------------------------- encoding
 
 class Encoder:
-    """Ids of texts by a tokenizer file; equal chunks (``chunks.py``) are encoded once."""
+    """Ids of texts by a tokenizer file; equal chunks (``chunks.py``) are encoded once.
 
-    def __init__(self, path: str):
+    Strings of added tokens count as ordinary text, or, with ``added``, as the library's
+    defaults have it: a text that holds one is encoded whole, by one call.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task on each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.break_id = self._ids("\n")
-        self.encode = ChunkEncoder(self._chunks).encode
+        self.chunked = ChunkEncoder(self._chunks).encode
+        self.whole = Tokenizer.from_file(path) if added else None
+        self.strings = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        held = [i for i, t in enumerate(texts) if any(s in t for s in self.strings)] if self.strings else []
+        if not held:
+            return self.chunked(texts)
+        rest = texts.copy()
+        for i in held:
+            rest[i] = ""
+        out = self.chunked(rest)
+        for i in held:
+            ids = self.whole.encode_batch_fast([texts[i]], add_special_tokens=False)[0].ids
+            out[i] = np.array(ids, f"<u{self.width}").tobytes()
+        return out
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -176,13 +195,13 @@ class Encoder:
         return [done[c] if c in done else np.array(self._ids(c), kind).tobytes() for c in chunks]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, added: bool = False) -> Encoder:
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = Encoder(path, added)
+    return _ENCODERS[path, added]
 
 
 # -------------------------------------------------------------------- writing and reading
@@ -204,9 +223,9 @@ def _shard_row(part: int, number: int, first: int, doc_ids: list, occurrences: l
                                       names=[f.split()[0] for f in SHARD.split(", ")])
 
 
-def _shards(path: str, shard_ids: int):
+def _shards(path: str, shard_ids: int, added: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = encoder(path), None
+        bpe, end = encoder(path, added), None
         part = number = total = 0
         doc_ids, occurrences, lengths, pieces, held = [], [], [], [], 0
         previous, occurrence = object(), 0
@@ -231,8 +250,9 @@ def _shards(path: str, shard_ids: int):
     return run
 
 
-def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, shard_ids: int = SHARD_IDS) -> None:
-    """Encode ``docs`` and write their shards below ``path``.
+def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, shard_ids: int = SHARD_IDS,
+                added: bool = False) -> None:
+    """Encode ``docs`` and write their shards below ``path``; ``added``: see ``Encoder``.
 
     The range partitions follow (doc_id, hash of the text), so many rows of one id spread.
     """
@@ -242,7 +262,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, shard
               .withColumn("digest", F.xxhash64("text"))
               .repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
               .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
-    shards = ranged.mapInArrow(_shards(vocabulary or public_tokenizers.path(VOCABULARY), shard_ids), SHARD)
+    shards = ranged.mapInArrow(_shards(vocabulary or public_tokenizers.path(VOCABULARY), shard_ids, added), SHARD)
     shards.write.option("compression", "zstd").parquet(path)
 
 
@@ -311,7 +331,7 @@ def lookup(store: DataFrame, doc_ids: list[int]) -> DataFrame:
 def op8_token_store(spark, sf_dir: str) -> DataFrame:
     """Write the ids of all documents, then report them as read back through the index."""
     path = f"{ensure_checkpoint_dir(spark)}/token-store-{uuid.uuid4().hex}"
-    write_store(read(spark, sf_dir, "documents"), path)
+    write_store(read(spark, sf_dir, "documents"), path, added=True)
     return listing(open_store(spark, path))
 
 
