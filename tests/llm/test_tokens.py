@@ -124,3 +124,11 @@ def test_query_equals_the_library_with_its_defaults(spark):
         want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert strings and got == want
+
+
+def test_lookup_returns_every_row_of_a_repeated_id(spark):
+    rows = [(4, f"text {i} of four") for i in range(30)] + [(4, "text 1 of four"), (3, "three"), (5, "five"), (None, "null")]
+    path = tempfile.mkdtemp(prefix="tm-store-") + "/store"
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, shard_ids=20)  # several shards
+    found = token_store.lookup(token_store.open_store(spark, path), [4, 5, 0, 99]).collect()
+    assert sorted((r.doc_id, r.ids) for r in found) == sorted((i, encoded(t).tolist()) for i, t in rows if i in (4, 5))

@@ -302,10 +302,11 @@ def listing(store: DataFrame) -> DataFrame:
 
 
 def lookup(store: DataFrame, doc_ids: list[int]) -> DataFrame:
-    """doc_id, ids of the stated documents (a list that the caller bounds).
+    """doc_id, ids of the stated documents (a list that the caller bounds), one row for each of
+    the rows that repeat an id.
 
-    A shard whose range of ids holds none of them is skipped; in the others each key costs
-    one probe of the index, one fingerprint comparison and one slice of the payload.
+    A shard that holds none of the ids is skipped; in the others each key costs one probe of
+    the index, one fingerprint comparison and one slice of the payload.
     """
     wanted = np.unique(np.array(doc_ids, np.int64))
 
@@ -313,17 +314,17 @@ def lookup(store: DataFrame, doc_ids: list[int]) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 held = np.frombuffer(row["keys"], KEY)
-                held = held["doc_id"][held["null"] == 0]
-                if not len(held):
-                    continue
-                asked = wanted[np.searchsorted(wanted, held[0]):np.searchsorted(wanted, held[-1], "right")]
-                if not len(asked):
+                held = held[held["null"] == 0]  # in order of their ids; occurrences go on across shards
+                keys = held[np.isin(held["doc_id"], wanted)]
+                if not len(keys):
                     continue
                 shard = Shard(row["levels"], row["slots"], row["payload"], row["width"])
-                at = shard.find(make_keys(asked.tolist(), [0] * len(asked)))
+                at = shard.find(keys)
+                if (at < 0).any():
+                    raise ValueError("a shard does not hold one of its keys")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked[at >= 0]), pa.array([shard.ids(i).astype("<i4") for i in at[at >= 0]],
-                                                        pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                    [pa.array(keys["doc_id"].astype(np.int64)),
+                     pa.array([shard.ids(i).astype("<i4") for i in at], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return store.select("width", "keys", "levels", "slots", "payload").mapInArrow(run, "doc_id long, ids array<int>")
 
