@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, shuffle_partitions
 
-__all__ = ["class_fractions", "ensure_checkpoint_dir", "fraction_for", "hash_share", "hash_share_by", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
+__all__ = ["CRC_TABLE", "class_fractions", "crc32_sql", "ensure_checkpoint_dir", "fraction_for", "hash_share", "hash_share_by", "md_key", "read", "remainder", "shuffle_partitions", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,3 +63,18 @@ def hash_share_by(col: Column, kind: Column, shares: dict, seed: int) -> Column:
         return F.lit(False)
     limits = F.create_map(*[F.lit(x) for key, share in shares.items() for x in (key, int(share * (1 << 30)))])
     return F.coalesce(F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) < F.try_element_at(limits, kind), F.lit(False))
+
+
+#: For the SQL texts (DuckDB has no crc32): a common table expression with the 256 values of the
+#: reflected polynomial 0xEDB88320, built by its rule, and the value of a text by that table.
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce(
+  list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of the UTF-8 bytes of the SQL expression ``text``; ``crc_table`` must be in scope."""
+    digits = f"hex(encode({text}))"
+    bytes_ = (f"list_transform(regexp_extract_all({digits}, '..'), lambda h: "
+              "16 * (strpos('0123456789ABCDEF', h[1]) - 1) + strpos('0123456789ABCDEF', h[2]) - 1)")
+    return (f"xor(list_reduce(list_concat([4294967295], {bytes_}), "
+            "lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)")
