@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -37,10 +38,10 @@ def test_language_held_out(spark):
 def test_language_back_off():
     model = language.Model(["de", "en"], {"haus": {"de": 9}, "house": {"en": 9}},
                            {1: {"h": {"de": 5, "en": 1}}, 2: {"th": {"en": 5}}, 3: {"sch": {"de": 5}}})
-    assert model.word("house") is model.words["house"]  # words first
-    assert np.allclose(model.word("schth"), model.grams[3]["sch"])  # then the longest known length
-    assert np.allclose(model.word("thx"), model.grams[2]["th"])
-    assert np.allclose(model.word("xh"), model.grams[1]["h"])
+    assert np.allclose(model.word("house"), model.matrix[model.words["house"]])  # words first
+    assert np.allclose(model.word("schth"), model.matrix[model.grams[3]["sch"]])  # then the longest known length
+    assert np.allclose(model.word("thx"), model.matrix[model.grams[2]["th"]])
+    assert np.allclose(model.word("xh"), model.matrix[model.grams[1]["h"]])
     assert np.allclose(model.word("zz"), 0)
     assert model.predict("house, house!")[0] == "en" and model.predict("Haus 1 haus")[0] == "de"
 
@@ -59,6 +60,55 @@ def test_language_defined_cases(spark):
     assert tie.predict("x") == ("aa", 0.5)
 
 
+def direct_language(text, training, languages):
+    """The back-off score by its definition, from raw counts."""
+    counts = {}
+    for lang, t in training:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for size, g in [(0, w), *((k, f"^{w}$"[i:i + k]) for k in range(1, 5) for i in range(max(1, len(w) + 3 - k)))]:
+                counts.setdefault((size, g), {}).setdefault(lang, 0)
+                counts[size, g][lang] += 1
+    totals = {(s, x): sum(c.get(x, 0) for (k, _), c in counts.items() if k == s) + sum(k == s for k, _ in counts)
+              for s in range(5) for x in languages}
+    log = lambda s, g: np.array([math.log((counts[s, g].get(x, 0) + 0.5) / totals[s, x]) for x in languages])
+    total, words = np.zeros(len(languages)), re.findall(r"[^\W\d_]+", text.lower())
+    for w in words:
+        if (0, w) in counts:
+            total += log(0, w)
+            continue
+        for size in (4, 3, 2, 1):
+            known = [g for i in range(len(w) + 3 - size) if (size, g := f"^{w}$"[i:i + size]) in counts]
+            if known:
+                total += sum(log(size, g) for g in known) / len(known)
+                break
+    odds = np.exp((total - total.max()) / math.sqrt(len(words)))
+    return languages[int(odds.argmax())], float((odds / odds.sum()).max())
+
+
+def test_language_equals_its_definition(spark, monkeypatch):
+    rng = random.Random(8)
+    alphabet = {"aa": "abcde", "bb": "cdefg", "cc": "efgha"}
+    word = lambda lang: "".join(rng.choice(alphabet[lang]) for _ in range(rng.randint(1, 7)))
+    training = [(lang, " ".join(word(lang) for _ in range(12))) for lang in alphabet for _ in range(15)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(training)], "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True))
+    texts = [" ".join(word(rng.choice("aa bb cc".split())) for _ in range(rng.randint(1, 30))) for _ in range(40)]
+    texts += ["x" * 70 + " abc", "abc " * 30_000, "ab,cd.ef 12 GH"]
+    monkeypatch.setattr(language, "REMEMBERED", 10_050)  # the memory starts anew between texts
+    for text in texts:
+        lang, score = direct_language(text, training, sorted(alphabet))
+        got = model.predict(text)
+        assert got[0] == lang and got[1] == pytest.approx(score, rel=1e-6)
+
+
+def test_language_bounds_are_shared_by_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "WORDS", 4)
+    monkeypatch.setattr(language, "GRAMS", 2)
+    rows = [(1, "a a a b b c", "x1"), (2, "d d d e e f", "x2")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert sorted(model.words) == ["a", "b", "d", "e"] and all(len(t) <= 2 for t in model.grams.values())
+
+
 def test_rare_language_keeps_its_documents(spark, monkeypatch):
     monkeypatch.setattr(language, "TRAIN_DOCS", 40)
     rows = [(i, "the house of the man", "en") for i in range(3000)] + [(5000 + i, "das haus der mann", "de") for i in range(3)]

@@ -5,10 +5,15 @@ n-grams (1 to ``MAX_GRAM``) of its words with their ends marked. A known word is
 its log frequency in each language. An unseen word falls back to the longest n-gram length
 at which any of its n-grams is known, and takes their mean log frequency there.
 
-The model has a fixed bound: ``WORDS`` words and ``GRAMS`` n-grams of each length for each
-language, the most frequent ones, counted over at most about ``TRAIN_DOCS`` training
-documents (chosen by a hash of their id, whole texts; a language with few documents gives
-all of them, the others equal numbers). Prediction covers every row.
+The model has a fixed bound: ``WORDS`` words and ``GRAMS`` n-grams of each length in all, the
+most frequent ones, in equal parts for each language, counted over at most about
+``TRAIN_DOCS`` training documents (chosen by a hash of their id, whole texts; a language with
+few documents gives all of them, the others equal numbers). One plan ranks all languages'
+entries; tasks cut their own share before the shuffle. Prediction covers every row.
+
+A worker remembers at most ``REMEMBERED`` scored tokens of at most ``TOKEN`` characters (about
+30 MB) and forgets them when its task ends; texts become Python strings a few hundred at a
+time.
 
 Defined cases: a text that is null or has no letter gives ``und`` with score 0. Ties go to
 the language that sorts first. Rows without a language are not learned from. With no
@@ -21,21 +26,22 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import class_fractions, hash_share_by, read, remainder, stored
 
 TRAIN_DOCS = 8_000
-WORDS, GRAMS, MAX_GRAM = 20_000, 6_000, 4
+WORDS, GRAMS, MAX_GRAM = 80_000, 24_000, 4  # of all languages together
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Tokens whose score a worker keeps; the memory starts anew beyond it.
-REMEMBERED = 400_000
+#: Tokens whose score a worker keeps, and their greatest length; the memory starts anew beyond it.
+REMEMBERED, TOKEN = 120_000, 64
+SLICE = 256  # texts that are Python strings at one time
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -48,69 +54,85 @@ def word_counts(training: DataFrame) -> DataFrame:
 def gram_counts(words: DataFrame) -> DataFrame:
     """lang, size, gram, n of the n-grams of words with marked ends."""
     marked = F.concat(F.lit("^"), "word", F.lit("$"))
-    sizes = []
-    for size in range(1, MAX_GRAM + 1):
+
+    def of_size(size: int) -> Column:  # a lambda's second parameter would be the index
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("marked") - size + 1))
-        grams = F.transform(starts, lambda i, size=size: F.substring(F.col("marked"), i, F.lit(size)))
-        sizes.append(F.transform(grams, lambda g, size=size: F.struct(F.lit(size).alias("size"), g.alias("gram"))))
+        return F.transform(starts, lambda i: F.struct(F.lit(size).alias("size"), F.substring(F.col("marked"), i, F.lit(size)).alias("gram")))
+
+    sizes = [of_size(size) for size in range(1, MAX_GRAM + 1)]
     rows = words.withColumn("marked", marked).select("lang", "n", F.inline(F.concat(*sizes)))
     return rows.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """Log frequencies of words and n-grams by language; scores tokens and texts."""
+    """Log frequencies of words and n-grams by language, one row of a matrix each; scores tokens and texts."""
 
     def __init__(self, languages: list[str], words: dict[str, dict[str, int]], grams: dict[int, dict[str, dict[str, int]]]):
         self.languages = languages
-        self.words = self._logs(words)
-        self.grams = {size: self._logs(table) for size, table in grams.items()}
+        self.words: dict[str, int] = {}
+        self.grams: dict[int, dict[str, int]] = {}
+        parts, n = [], 0
+        for size, table in [(0, words), *sorted(grams.items())]:
+            own = dict(zip(table, range(n, n + len(table)), strict=True))
+            parts.append(self._logs(table))
+            n += len(table)
+            if size:
+                self.grams[size] = own
+            else:
+                self.words = own
+        self.matrix = np.concatenate(parts) if n else np.zeros((0, len(languages)))
+        self.forget()
+
+    def _logs(self, table: dict[str, dict[str, int]]) -> np.ndarray:
+        counts = np.array([[c.get(lang, 0) for lang in self.languages] for c in table.values()], float)
+        counts = counts.reshape(len(table), len(self.languages))
+        return np.log((counts + 0.5) / (counts.sum(0) + max(1, len(table))))
+
+    def forget(self) -> None:
+        """An empty memory of tokens."""
         self.memory: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(languages) + 1))
-
-    def _logs(self, table: dict[str, dict[str, int]]) -> dict[str, np.ndarray]:
-        total = {lang: sum(c.get(lang, 0) for c in table.values()) + len(table) for lang in self.languages}
-        return {key: np.array([math.log((c.get(lang, 0) + 0.5) / total[lang]) for lang in self.languages])
-                for key, c in table.items()}
+        self.rows = np.zeros((0, len(self.languages) + 1))
 
     def __getstate__(self):
-        return self.__dict__ | {"memory": {}, "rows": np.zeros((1024, len(self.languages) + 1))}
+        return self.__dict__ | {"memory": {}, "rows": np.zeros((0, len(self.languages) + 1))}
 
     def word(self, word: str) -> np.ndarray:
         known = self.words.get(word)
         if known is not None:
-            return known
+            return self.matrix[known]
         marked = f"^{word}$"
         for size in sorted(self.grams, reverse=True):
             table = self.grams[size]
             found = [table[g] for i in range(len(marked) - size + 1) if (g := marked[i:i + size]) in table]
             if found:
-                return sum(found) / len(found)
+                return self.matrix[found].sum(0) / len(found)
         return np.zeros(len(self.languages))
 
-    def _token(self, token: str) -> int:
-        """Row of a white-space token: the summed scores of its words, and their number."""
-        row = len(self.memory)
-        if row >= REMEMBERED:
-            self.memory.clear()
-            row = 0
-        if row >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+    def _token(self, token: str) -> np.ndarray:
+        """Of a white-space token: the summed scores of its words, and their number."""
         words = LETTERS.findall(token)
-        self.rows[row, :-1] = sum((self.word(w) for w in words), np.zeros(len(self.languages)))
-        self.rows[row, -1] = len(words)
-        self.memory[token] = row
-        return row
+        return np.append(sum(map(self.word, words), np.zeros(len(self.languages))), len(words))
 
     def total(self, text: str) -> np.ndarray:
         """Summed log scores for each language, and the number of words."""
         total, tokens = np.zeros(len(self.languages) + 1), text.lower().split()
+        if not len(self.rows):
+            self.rows = np.zeros((REMEMBERED, len(self.languages) + 1))
         for at in range(0, len(tokens), 10_000):
             part = tokens[at:at + 10_000]
             if len(self.memory) + len(part) > REMEMBERED:
                 self.memory.clear()
             rows = list(map(self.memory.get, part))
             if None in rows:
-                rows = [self.memory[t] if t in self.memory else self._token(t) for t in part]
+                for i, token in enumerate(part):
+                    if rows[i] is not None:
+                        continue
+                    if len(token) > TOKEN:
+                        total += self._token(token)
+                    elif token not in self.memory:
+                        self.rows[len(self.memory)] = self._token(token)
+                        self.memory[token] = len(self.memory)
+                rows = [row for token in part if (row := self.memory.get(token)) is not None]
             total += self.rows[rows].sum(0)
         return total
 
@@ -134,28 +156,32 @@ def fit(documents: DataFrame, trainable: Column) -> Model:
     known: dict[str, dict[str, int]] = {}
     by_size: dict[int, dict[str, dict[str, int]]] = {}
     if languages:
-        grams = stored(gram_counts(words), "language-grams")
-        frequent = []  # a bounded number of most frequent entries each
-        for lang in languages:
-            own = words.where(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(WORDS)
-            frequent.append(own.select("lang", F.lit(0).alias("size"), "word", "n"))
-            for size in range(1, MAX_GRAM + 1):
-                own = grams.where((F.col("lang") == lang) & (F.col("size") == size))
-                frequent.append(own.orderBy(F.desc("n"), "gram").limit(GRAMS))
-        for r in reduce(DataFrame.union, frequent).collect():
+        entries = words.select("lang", F.lit(0).alias("size"), F.col("word").alias("entry"), "n").unionByName(
+            gram_counts(words).select("lang", "size", F.col("gram").alias("entry"), "n"))
+        most = F.when(F.col("size") == 0, max(1, WORDS // len(languages))).otherwise(max(1, GRAMS // len(languages)))
+        place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))
+        largest = max(1, max(WORDS, GRAMS) // len(languages))  # a plain bound, so that tasks cut before the shuffle
+        ranked = entries.withColumn("place", place).where(F.col("place") <= largest).where(F.col("place") <= most)
+        for r in ranked.select("lang", "size", "entry", "n").collect():  # at most WORDS + MAX_GRAM * GRAMS, or one a language
             table = by_size.setdefault(r.size, {}) if r.size else known
-            table.setdefault(r.word, {})[r.lang] = r.n
+            table.setdefault(r.entry, {})[r.lang] = r.n
     return Model(languages, known, by_size)
 
 
 def predictor(spark, model: Model):
     """A column function: text -> struct(lang_pred, score)."""
     shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+
+    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        try:
+            for texts in batches:
+                rows = [model.predict(t) for at in range(0, len(texts), SLICE) for t in texts.slice(at, SLICE).to_pylist()]
+                yield pa.array([{"lang_pred": lang, "score": score} for lang, score in rows], kind)
+        finally:
+            model.forget()
 
     return run.asNondeterministic()
 
