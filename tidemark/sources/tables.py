@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import csv_ranges
+
 SCHEMAS: dict[str, T.StructType] = {
     "admissions": T.StructType([
         T.StructField("subject_id", T.LongType()),
@@ -58,9 +60,6 @@ SCHEMAS: dict[str, T.StructType] = {
 CLINICAL_TABLES = tuple(n for n in SCHEMAS if n not in ("icd9_to_icd10", "icd10_to_ccsr"))
 
 
-# Dimension tables whose titles may hold line breaks; they are small, so reading a file in one
-# task costs nothing. The fact tables stay splittable.
-MULTI_LINE = ("d_icd_diagnoses", "d_labitems")
 OPTIONAL = {"d_icd_diagnoses": ("icd_version",)}
 
 
@@ -74,16 +73,37 @@ def _csv_path(root: str, name: str) -> str:
     return os.path.join(root, f"{name}.csv")
 
 
+# How fields are written: quotes are doubled inside quoted fields, an empty field is null.
+CSV = {"nullValue": "", "quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def _read_csv(spark: SparkSession, path: str, line_breaks: bool | None) -> DataFrame:
+    """All columns of the CSV files at ``path``, as text."""
+    plain = spark.read.options(header=True, **CSV)
+    raw = plain.csv(path)
+    if line_breaks is None:
+        line_breaks = csv_ranges.has_broken_lines(spark, path)
+    if not line_breaks:
+        return raw
+    header = spark.read.option("lineSep", "\n").text(path).first()["value"].removeprefix("\ufeff").removesuffix("\r")
+    rows = csv_ranges.records(spark, path, header)
+    if rows is None:  # more crossings than a broadcast holds: one task a file
+        return plain.option("multiLine", True).csv(path)
+    kind = ", ".join(f"`{c}` string" for c in raw.columns)
+    return rows.select(F.from_csv("text", kind, {**CSV, "maxCharsPerColumn": "-1"}).alias("r")).select("r.*")
+
+
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv",
-               null_tokens: tuple[str, ...] = ()) -> DataFrame:
+               null_tokens: tuple[str, ...] = (), line_breaks: bool | None = None) -> DataFrame:
     """Read one input table with its fixed schema.
 
     CSV files carry a header; extra columns in the file are ignored (only the schema's
     columns are selected, so the scan prunes them), and a missing one is an error that names
-    it (``OPTIONAL`` columns read as null). Quotes inside quoted fields are doubled. Only the
-    small dimension tables may hold line breaks inside quotes: such files cannot be split.
-    ``null_tokens`` lists extra texts such as ``NA`` that should read as null in string
-    columns.
+    it (``OPTIONAL`` columns read as null). Quotes inside quoted fields are doubled. Quoted
+    fields may hold line breaks, in every table: files are read in byte ranges all the same
+    (``csv_ranges``). A pass over the lines looks whether there are any; ``line_breaks`` says
+    so beforehand. ``null_tokens`` lists extra texts such as ``NA`` that should read as null in
+    string columns.
     """
     schema = SCHEMAS[name]
     path = _csv_path(root, name) if fmt == "csv" else os.path.join(root, f"{name}.{fmt}")
@@ -91,9 +111,7 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv",
         if fmt == "csv":
             # Read every column as text, then cast: the header decides column positions,
             # and ANSI casts fail loudly on malformed numbers or times.
-            raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-                   .option("nullValue", "").option("quote", '"').option("escape", '"')
-                   .option("multiLine", name in MULTI_LINE).csv(path))
+            raw = _read_csv(spark, path, line_breaks)
             _check_header(name, path, raw.columns)
             cols = []
             for f in schema.fields:
