@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import any_equal, fractional_days
+from tidemark.operators.membership import Members
 
 
 def visit_diagnoses(mapped: DataFrame, title: str = "long_title") -> DataFrame:
@@ -32,6 +33,13 @@ def visit_abnormal_labs(labs: DataFrame) -> DataFrame:
             .groupBy("hadm_id").agg(F.array_sort(F.collect_set("label")).alias("abnormal_labs")))
 
 
+def lists_of(wanted: Members, mapped: DataFrame, labs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``visit_diagnoses`` and ``visit_abnormal_labs`` of the wanted visits (and of the few others
+    that the filter lets pass): rows of other visits leave during the scan, before the lists'
+    shuffles. The lists themselves are exact."""
+    return (visit_diagnoses(wanted.keep(mapped, "hadm_id")), visit_abnormal_labs(wanted.keep(labs, "hadm_id")))
+
+
 def visit_target_flag(mapped: DataFrame, target: str, code: str = "ccsr_code") -> DataFrame:
     """hadm_id, has_target: 1 when any diagnosis of the visit maps to ``target``."""
     return mapped.groupBy("hadm_id").agg(any_equal(code, target).alias("has_target"))

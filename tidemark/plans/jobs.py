@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import CohortConfig
-from tidemark.operators import aggregate, classify, codes, labs, samples, splits, text, visits
+from tidemark.operators import aggregate, classify, codes, labs, membership, samples, splits, text, visits
 from tidemark.operators.metrics import metrics_report
 from tidemark.sources import store
 from tidemark.sources.tables import SCHEMAS, read_clinical
@@ -54,7 +54,6 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     # the flag needs the crosswalk only; the title lists feed the history details
     crosswalked = codes.map_codes(t["diagnoses_icd"], t["icd9_to_icd10"], t["icd10_to_ccsr"])
     flags = visits.visit_flags(t["admissions"], visits.visit_target_flag(crosswalked, cfg.target_code))
-    dx_lists, lab_lists = visits.visit_diagnoses(mapped), visits.visit_abnormal_labs(lab)
 
     def by_split(df: DataFrame, col: str) -> DataFrame:
         return splits.hash_split(df, col, cfg.seed, cfg.train_pct, cfg.train_val_pct)
@@ -64,7 +63,9 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     tl = samples.timeline(flags, t["patients"]).drop("first_time", "next_time", "is_sample")
     store.write_by_split(by_split(tl, "subject_id"), os.path.join(base, "timeline"))
     tl = store.read_dataset(spark, os.path.join(base, "timeline"))
-    # 2. history visits with their lists
+    # 2. history visits with their lists: facts of other visits leave before the lists' shuffles
+    wanted = membership.members(tl.where("in_history"), "hadm_id")
+    dx_lists, lab_lists = visits.lists_of(wanted, mapped, lab)
     hist = samples.attach_details(tl.drop("split"), dx_lists, lab_lists).select(*HISTORY_COLS)
     store.write_by_split(by_split(hist, "subject_id"), os.path.join(base, "history"))
     # 3. samples
