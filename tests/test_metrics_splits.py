@@ -81,3 +81,23 @@ def test_splits_disjoint_and_exact_sizes(spark):
     assert splits.exact_split_sizes(10) == (7, 1, 2)  # test = ceil(0.3 * 10) = 3, then ceil(1.5) = 2
     again = {r["patient_id"]: r["split"] for r in splits.exact_split(ids).collect()}
     assert again == {r["patient_id"]: r["split"] for r in e.collect()}
+
+
+def test_hashed_position_equals_the_global_order(spark):
+    from tidemark.functions.exprs import seeded_order_key
+    from tidemark.operators.ranking import with_hashed_position
+    ids = spark.range(5000).repartition(9).withColumn("key", seeded_order_key("id", 3))
+    # equal digests meet in one range, and the tie decides
+    ids = ids.unionByName(ids.where("id < 50").withColumn("id", -F.col("id") - 1))
+    rows = with_hashed_position(ids, "key", "id", "pos", total="n").collect()
+    want = sorted((r.key, r.id) for r in rows)
+    assert [(r.key, r.id) for r in sorted(rows, key=lambda r: r.pos)] == want
+    assert sorted(r.pos for r in rows) == list(range(5050)) and {r.n for r in rows} == {5050}
+    assert with_hashed_position(ids.limit(0), "key", "id").count() == 0
+
+
+def test_class_weights_by_group(spark):
+    from tidemark.operators.metrics import class_weights
+    rows = spark.createDataFrame([("a", 0), ("a", 0), ("a", 1), ("b", 1)], "g string, y int")
+    got = {(r.g, r.label): (r.n_c, r.weight) for r in class_weights(rows, "y", by="g").collect()}
+    assert got == {("a", 0): (2, 0.75), ("a", 1): (1, 1.5), ("b", 1): (1, 1.0)}

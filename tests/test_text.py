@@ -36,3 +36,16 @@ def test_vocabulary_ranks_and_encoding(spark):
                                      vocab, max_length=4).first()
     assert short["input_ids"] == [ids["the"], text.UNKNOWN_ID, text.PAD_ID, text.PAD_ID]
     assert short["attention_mask"] == [1, 1, 0, 0]
+
+
+def test_repeated_and_null_keys_are_encoded_by_row(spark):
+    data = [(1, "the a"), (1, "b the a q"), (None, "the"), (None, "a b"), (2, None), (2, "")]
+    rows = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(data)], "patient_id long, text string, id int")
+    vocab = text.build_vocabulary(rows)
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    enc = text.encode_fixed_length(rows, vocab, max_length=4)
+    assert enc.columns == ["patient_id", "text", "id", "input_ids", "attention_mask"]
+    got = {r["id"]: (r["patient_id"], r["input_ids"], sum(r["attention_mask"])) for r in enc.collect()}
+    for i, (key, words) in enumerate(data):
+        own = [ids[w] for w in (words or "").split()]
+        assert got[i] == (key, own + [text.PAD_ID] * (4 - len(own)), len(own))

@@ -160,13 +160,21 @@ def metric_bundle(scored: DataFrame, scores: str = "scores", label: str = "label
         "'roc_auc', roc_auc, 'pr_auc', pr_auc) as (metric, value)"))
 
 
-def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Balanced weights: n / (n_classes * n_c) for each class present."""
-    counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n_c"))
-    # ``counts`` has one row per class, so a window over all of it is tiny.
-    every = Window.orderBy("label").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def balanced_weights(counts: DataFrame, by: str | None = None) -> DataFrame:
+    """Adds ``weight`` = n / (n_classes * n_c) to rows (label, n_c), one for each class present,
+    within each value of ``by``."""
+    # one row a class (and group), so a window over all of it is tiny
+    every = (Window.partitionBy(by) if by else Window).orderBy("label").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
     n, k = F.sum("n_c").over(every), F.count(F.lit(1)).over(every)
-    return counts.select("label", "n_c", (n / (k * F.col("n_c"))).alias("weight"))
+    return counts.withColumn("weight", n / (k * F.col("n_c")))
+
+
+def class_weights(df: DataFrame, label: str = "label", by: str | None = None) -> DataFrame:
+    """Balanced weights of the classes of ``label`` (within each value of ``by``)."""
+    keys = [by] if by else []
+    counts = df.groupBy(*keys, F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n_c"))
+    return balanced_weights(counts, by)
 
 
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:

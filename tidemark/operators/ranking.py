@@ -17,6 +17,9 @@ with work spread over ``n`` range partitions:
    rows and broadcast back (size bound: the partition count, not the data).
 
 Only step 3's ``n``-row table ever sits in one partition.
+
+``with_hashed_position`` orders by a digest instead. A digest is uniform, so its first digits
+are ranges of equal size already: no sample, no range exchange, one count for each prefix.
 """
 
 from __future__ import annotations
@@ -77,6 +80,28 @@ def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "po
     return out.drop(PID, LOC, "_off__n", "_all__n")
 
 
+#: Hex digits of a digest that make a range: 65,536 ranges, so 1e10 rows are 150,000 a range.
+PREFIX_DIGITS = 4
+
+
+def with_hashed_position(df: DataFrame, key: str, tie: str, name: str = "pos", total: str | None = None) -> DataFrame:
+    """Add ``name``: the row's 0-based position in the order of the hex digest ``key``, then
+    ``tie`` (and, with ``total``, the number of rows).
+
+    The first ``PREFIX_DIGITS`` digits are a radix pass: rows are counted by prefix (at most
+    65,536 partial sums), exclusive prefix sums of those counts are broadcast, and inside a
+    prefix a window numbers the rows. The input is written once, as both read it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.withColumn(PID, F.conv(F.substring(key, 1, PREFIX_DIGITS), 16, 10).cast("int")).checkpoint(eager=True)
+    offsets = _exclusive_offsets(rows.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")), ["_n"])
+    local = F.row_number().over(Window.partitionBy(PID).orderBy(key, tie)) - 1
+    out = rows.withColumn(LOC, local).join(F.broadcast(offsets), PID).withColumn(name, F.col("_off__n") + F.col(LOC))
+    if total:
+        out = out.withColumn(total, F.col("_all__n"))
+    return out.drop(PID, LOC, "_off__n", "_all__n")
+
+
 def with_prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
                      position: str | None = "pos", n_parts: int | None = None) -> DataFrame:
     """Running (inclusive) sums along a global order.

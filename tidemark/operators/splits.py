@@ -5,8 +5,8 @@ state: the seed is part of the hashed text. Two modes:
 
 * ``hash_split``: bucket = md5('seed:id') mod 100 against the 70 / 85 thresholds; no
   shuffle and no count, each row decides alone (approximate 70/15/15 shares);
-* ``exact_split`` / ``kfold``: entities sorted by md5('seed:id') through the distributed
-  global position, then cut into blocks of the exact sizes a shuffled two-step
+* ``exact_split`` / ``kfold``: entities in the order of md5('seed:id') by a radix pass over
+  the digest (``ranking.with_hashed_position``), then cut into blocks of the exact sizes a shuffled two-step
   train/test split (test = ceil(0.3 n), then ceil(half) of the rest) or a shuffled k-fold
   (the first n mod k folds one larger) would produce.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import seeded_bucket, seeded_order_key
-from tidemark.operators.ranking import with_global_position
+from tidemark.operators.ranking import with_hashed_position
 
 SPLITS = ("train", "val", "test")
 
@@ -41,8 +41,7 @@ def _ordered_ids(ids: DataFrame, id_col: str, seed: int, keep_columns: bool = Fa
     if not keep_columns:
         base = base.select(id_col).distinct()
     keyed = base.withColumn("_key", seeded_order_key(id_col, seed))
-    return with_global_position(keyed, [F.col("_key").asc(), F.col(id_col).asc()], "_rank",
-                                total="_n").drop("_key")
+    return with_hashed_position(keyed, "_key", id_col, "_rank", total="_n").drop("_key")
 
 
 def exact_split_sizes(n: int, test_frac: float = 0.3, second_test_frac: float = 0.5) -> tuple[int, int, int]:

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import with_global_position
+from tidemark.session import ensure_checkpoint_dir
 
 PAD_ID = 0
 UNKNOWN_ID = 1
 FIRST_ID = 2
+ROW = "_tm_row"
 
 
 def tokens(text: str = "formatted_history") -> F.Column:
@@ -68,23 +70,32 @@ def lookup_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     return resolved.unionByName(rest)
 
 
-def encode_fixed_length(rows: DataFrame, vocab: DataFrame, key: str = "patient_id",
-                        text_col: str = "text", max_length: int = 512) -> DataFrame:
+def with_row_id(rows: DataFrame) -> DataFrame:
+    """``rows`` written once, each with a number of its own (``ROW``): whatever its key holds,
+    tokens find the way back to their row, and a recomputed task cannot change the numbers."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.withColumn(ROW, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+def encode_fixed_length(rows: DataFrame, vocab: DataFrame, text_col: str = "text", max_length: int = 512) -> DataFrame:
     """Add input_ids and attention_mask (both ``max_length`` long) to each row.
 
-    Only token positions below ``max_length`` can reach the output, so the token array is cut
-    before it is exploded; the vocabulary itself comes from whole texts. Other columns (a
-    fold, a scope) stay.
+    Rows are told apart by ``ROW`` (added and written here unless ``with_row_id`` has done so),
+    not by a key of theirs: keys may repeat or be null. Only token positions below
+    ``max_length`` can reach the output, so the token array is cut before it is exploded; the
+    vocabulary itself comes from whole texts. Other columns (a fold, a scope) stay. A null text
+    has no tokens.
     """
-    pieces = rows.select(key, F.posexplode(F.slice(tokens(text_col), 1, max_length)).alias("pos", "token"))
+    rows = rows if ROW in rows.columns else with_row_id(rows)
+    pieces = rows.select(ROW, F.posexplode(F.slice(tokens(text_col), 1, max_length)).alias("pos", "token"))
     looked = lookup_ids(pieces, vocab).withColumn("id", F.coalesce("id", F.lit(UNKNOWN_ID)))
-    per_row = looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_pi"))
+    per_row = looked.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_pi"))
     ids = F.transform(F.coalesce(F.col("_pi"), F.array().cast("array<struct<pos:int,id:int>>")),
                       lambda x: x["id"])
     n = F.size(ids)
     pad = F.array_repeat(F.lit(PAD_ID), F.lit(max_length) - n)
-    return (rows.join(per_row, key, "left")
+    return (rows.join(per_row, ROW, "left")
             .withColumn("input_ids", F.concat(ids, pad))
             .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n),
                                                    F.array_repeat(F.lit(0), F.lit(max_length) - n)))
-            .drop("_pi"))
+            .drop("_pi", ROW))

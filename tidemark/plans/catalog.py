@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FIXTURE_CONFIG, CohortConfig
 from tidemark.functions.exprs import argmax_class, class_score, upper_in, whole_days
-from tidemark.operators import aggregate, codes, labs, metrics, samples, splits, text, visits
+from tidemark.operators import aggregate, codes, labs, membership, metrics, samples, splits, text, visits
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.tables import read_table
 from tidemark.sources.views import event_inputs, read_driver, star_schema_inputs
@@ -244,6 +244,18 @@ def q_csv_titles(spark, d):
     return read_table(spark, root, "d_icd_diagnoses")
 
 
+def q_csv_lab_events(spark, d):
+    """Lab events whose flags hold quotes and line breaks, written as CSV and read in byte ranges."""
+    flag = F.when(F.col("l_linenumber") % 3 == 0, F.concat("l_returnflag", F.lit('\n"'), "l_linestatus", F.lit('",\n')))
+    rows = read_driver(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("hadm_id"), F.col("l_partkey").alias("itemid"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("charttime"), flag.otherwise(F.col("l_returnflag")).alias("flag"))
+    root = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.write.options(header=True, escape='"', ignoreTrailingWhiteSpace=False).csv(f"{root}/labevents.csv")
+    read = read_table(spark, root, "labevents")
+    return read.select("hadm_id", "itemid", F.date_format("charttime", "yyyy-MM-dd HH:mm:ss").alias("charttime"), "flag")
+
+
 def q_visit_diagnoses(spark, d):
     v = visits.visit_diagnoses(_fx(spark, d).mapped)
     return v.select("hadm_id", F.size("diagnoses").alias("n_diagnoses"), _join("diagnoses").alias("diagnoses"))
@@ -334,6 +346,18 @@ def q_job_patient_split(spark, d):
     return aggregate.patient_rows(written).select("patient_id", "split", "is_ckd")
 
 
+def q_reduced_visit_lists(spark, d):
+    """The lists of the history visits, built from the facts of those visits alone."""
+    f = _fx(spark, d)
+    ids = f.timeline.where("in_history").select("hadm_id").checkpoint(eager=True)
+    wanted = membership.members(ids, "hadm_id")
+    dx, lab = visits.lists_of(wanted, f.mapped, f.labs)
+    lists = ids.join(dx, "hadm_id", "left").join(lab, "hadm_id", "left")
+    return lists.select("hadm_id", F.coalesce(F.size("diagnoses"), F.lit(0)).alias("n_diagnoses"),
+                        F.coalesce(_join("diagnoses"), F.lit("")).alias("diagnoses"),
+                        F.coalesce(_join("abnormal_labs"), F.lit("")).alias("abnormal_labs"))
+
+
 def q_history_counts(spark, d):
     """The run-length form of the flattened table."""
     fc = aggregate.flatten_counts(_fx(spark, d).history)
@@ -418,9 +442,7 @@ def q_class_weights(spark, d):
            .join(held, ["fold", "label"], "left"))
     counts = per.select("fold", "label", (F.col("_all") - F.coalesce("_held", F.lit(0))).alias("n_c")) \
         .where(F.col("n_c") > 0)
-    by_fold = Window.partitionBy("fold")
-    n, k = F.sum("n_c").over(by_fold), F.count(F.lit(1)).over(by_fold)
-    return counts.select("fold", "label", "n_c", F.round(n / (k * F.col("n_c")), R).alias("weight"))
+    return metrics.balanced_weights(counts, "fold").withColumn("weight", F.round("weight", R))
 
 
 def q_roc_auc(spark, d):
@@ -487,18 +509,28 @@ def q_metrics_report(spark, d):
 def q_encode_fixed_length(spark, d):
     """Vocabulary from the cross-validation pool's sentences; every row encoded to 512 ids."""
     # the training rows feed both the vocabulary and the encoding: materialise them once
-    tr = _fx(spark, d).training.checkpoint(eager=True)
+    tr = text.with_row_id(_fx(spark, d).training)
     vocab = text.build_vocabulary(tr.where(F.col("scope") == "cv"))
     enc = text.encode_fixed_length(tr, vocab)
     return enc.select("patient_id", "scope", "labels", F.array_join("input_ids", ",").alias("input_ids"),
                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
 
 
+def q_encode_repeated_keys(spark, d):
+    """Rows whose key repeats or is null, each encoded by itself; ``row`` tells them apart."""
+    tr = _fx(spark, d).training.select(
+        F.when(F.col("patient_id") % 7 != 0, F.floor(F.col("patient_id") / 4)).alias("patient_id"), "scope", "text", "labels",
+        F.col("patient_id").alias("row"))
+    rows = text.with_row_id(tr)
+    enc = text.encode_fixed_length(rows, text.build_vocabulary(rows.where(F.col("scope") == "cv")), max_length=64)
+    return enc.select("row", "patient_id", "labels", F.array_join("input_ids", ",").alias("input_ids"))
+
+
 def q_fold_datasets(spark, d):
     """The encoded training and validation set of every fold. Rows are encoded once, with the
     vocabulary of the pool; a fold's sets are the same rows under another role."""
     f = _fx(spark, d)
-    pool = f.training.where(F.col("scope") == "cv").join(f.folds, "patient_id").checkpoint(eager=True)
+    pool = text.with_row_id(f.training.where(F.col("scope") == "cv").join(f.folds, "patient_id"))
     enc = text.encode_fixed_length(pool, text.build_vocabulary(pool))
     runs = enc.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(f.cfg.k_folds - 1))))
     role = F.when(F.col("fold") == F.col("run"), F.lit("val")).otherwise(F.lit("train"))

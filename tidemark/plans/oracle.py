@@ -211,6 +211,13 @@ SELECT b AS by_version, hadm_id, icd_code, icd_version, long_title FROM (
     "csv_titles": """
 SELECT CAST(p_partkey AS VARCHAR) AS icd_code, 9 AS icd_version,
        concat(p_name, ' "', p_type, '",', chr(10), p_brand) AS long_title FROM part""",
+    "csv_lab_events": """
+SELECT l_orderkey AS hadm_id, l_partkey AS itemid, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS charttime,
+       CASE WHEN l_linenumber % 3 = 0 THEN concat(l_returnflag, chr(10), '"', l_linestatus, '",', chr(10)) ELSE l_returnflag END AS flag
+FROM lineitem""",
+    "reduced_visit_lists": """
+SELECT hadm_id, CAST(len(diagnoses) AS INTEGER) AS n_diagnoses, array_to_string(diagnoses, '|') AS diagnoses,
+       array_to_string(abnormal_labs, '|') AS abnormal_labs FROM hist""",
     "visit_diagnoses": """
 SELECT hadm_id, CAST(len(diagnoses) AS INTEGER) AS n_diagnoses, array_to_string(diagnoses, '|') AS diagnoses FROM vdx""",
     "visit_abnormal_labs": "SELECT hadm_id, array_to_string(abnormal_labs, '|') AS abnormal_labs FROM vlab",
@@ -323,6 +330,11 @@ SELECT t.patient_id, t.scope, t.labels,
        CAST(len(coalesce(p.ids, CAST([] AS INTEGER[]))) AS INTEGER) AS n_tokens
 FROM tr t LEFT JOIN per p USING (patient_id)"""
 
+Q["encode_repeated_keys"] = Q["encode_fixed_length"].replace("512", "64").replace(
+    "SELECT t.patient_id, t.scope, t.labels,", "SELECT t.patient_id AS row, CASE WHEN t.patient_id % 7 <> 0 THEN t.patient_id // 4 END AS patient_id, t.labels,"
+).replace(""" AS input_ids,
+       CAST(len(coalesce(p.ids, CAST([] AS INTEGER[]))) AS INTEGER) AS n_tokens""", " AS input_ids")
+
 Q["dx_titles_versions"] = """
 vd AS (SELECT l_orderkey AS hadm_id, CAST(l_partkey AS VARCHAR) AS icd_code,
               CASE WHEN l_linenumber = 1 THEN 8 WHEN l_linenumber = 2 THEN NULL
