@@ -38,11 +38,12 @@ def test_language_held_out(spark):
 def test_language_back_off():
     model = language.Model(["de", "en"], {"haus": {"de": 9}, "house": {"en": 9}},
                            {1: {"h": {"de": 5, "en": 1}}, 2: {"th": {"en": 5}}, 3: {"sch": {"de": 5}}})
-    assert np.allclose(model.word("house"), model.matrix[model.words["house"]])  # words first
-    assert np.allclose(model.word("schth"), model.matrix[model.grams[3]["sch"]])  # then the longest known length
-    assert np.allclose(model.word("thx"), model.matrix[model.grams[2]["th"]])
-    assert np.allclose(model.word("xh"), model.matrix[model.grams[1]["h"]])
-    assert np.allclose(model.word("zz"), 0)
+    score = lambda word: model.scores([word])[0, :-1]
+    assert np.allclose(score("house"), model.matrix[model.words["house"]])  # words first
+    assert np.allclose(score("schth"), model.matrix[model.grams[3]["sch"]])  # then the longest known length
+    assert np.allclose(score("thx"), model.matrix[model.grams[2]["th"]])
+    assert np.allclose(score("xh"), model.matrix[model.grams[1]["h"]])
+    assert np.allclose(score("zz"), 0)
     assert model.predict("house, house!")[0] == "en" and model.predict("Haus 1 haus")[0] == "de"
 
 

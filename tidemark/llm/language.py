@@ -96,22 +96,39 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"memory": {}, "rows": np.zeros((0, len(self.languages) + 1))}
 
-    def word(self, word: str) -> np.ndarray:
+    def _entries(self, word: str) -> list[int]:
+        """The rows of the matrix whose mean is the word's score: its own, or its n-grams' of the
+        longest size at which any is known, or none."""
         known = self.words.get(word)
         if known is not None:
-            return self.matrix[known]
+            return [known]
         marked = f"^{word}$"
-        for size in sorted(self.grams, reverse=True):
-            table = self.grams[size]
-            found = [table[g] for i in range(len(marked) - size + 1) if (g := marked[i:i + size]) in table]
+        for size in range(MAX_GRAM, 0, -1):
+            table = self.grams.get(size, {})
+            found = [k for i in range(len(marked) - size + 1) if (k := table.get(marked[i:i + size])) is not None]
             if found:
-                return self.matrix[found].sum(0) / len(found)
-        return np.zeros(len(self.languages))
-
-    def _token(self, token: str) -> np.ndarray:
-        """Of a white-space token: the summed scores of its words, and their number."""
-        words = LETTERS.findall(token)
-        return np.append(sum(map(self.word, words), np.zeros(len(self.languages))), len(words))
+                return found
+        return []
+
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        """A row for each white-space token: the summed scores of its words, and their number."""
+        entries, shares, owners, words = [], [], [], []
+        for t, token in enumerate(tokens):
+            found = LETTERS.findall(token)
+            words.append(len(found))
+            for w in found:
+                own = self._entries(w)
+                if own:
+                    entries += own
+                    shares += [1 / len(own)] * len(own)
+                    owners += [t] * len(own)
+        out = np.zeros((len(tokens), len(self.languages) + 1))
+        out[:, -1] = words
+        if entries:
+            each = self.matrix[entries] * np.array(shares)[:, None]
+            for j in range(len(self.languages)):
+                out[:, j] = np.bincount(owners, each[:, j], len(tokens))
+        return out
 
     def total(self, text: str) -> np.ndarray:
         """Summed log scores for each language, and the number of words."""
@@ -124,15 +141,13 @@ class Model:
                 self.memory.clear()
             rows = list(map(self.memory.get, part))
             if None in rows:
-                for i, token in enumerate(part):
-                    if rows[i] is not None:
-                        continue
-                    if len(token) > TOKEN:
-                        total += self._token(token)
-                    elif token not in self.memory:
-                        self.rows[len(self.memory)] = self._token(token)
-                        self.memory[token] = len(self.memory)
-                rows = [row for token in part if (row := self.memory.get(token)) is not None]
+                missing = [t for t, row in zip(part, rows, strict=True) if row is None]
+                total += self.scores([t for t in missing if len(t) > TOKEN]).sum(0)
+                new = list(dict.fromkeys(t for t in missing if len(t) <= TOKEN))
+                first = len(self.memory)
+                self.rows[first:first + len(new)] = self.scores(new)
+                self.memory.update(zip(new, range(first, first + len(new)), strict=True))
+                rows = [row for t in part if (row := self.memory.get(t)) is not None]
             total += self.rows[rows].sum(0)
         return total
 
