@@ -2,8 +2,8 @@
 
 The model is a Spark ML pipeline (whitespace tokens -> hashed term frequencies -> IDF ->
 logistic regression with an L2 penalty standing in for weight decay). Every fit and every
-scoring pass is distributed; the only driver loop is over the k folds, as in any k-fold
-procedure. When a fold's training table is too small to fill the cluster, the k fits are
+scoring pass is distributed. Cross-validation of a table that fills the cluster fits all folds
+at once (``fold_fit``). When a fold's training table is too small for that, the k fits are
 submitted concurrently from driver threads (``fold_parallelism``). Scores are the raw margins (the class-1 entry of ``rawPrediction``), which is
 what the metrics rank; the predicted class is their argmax.
 """
@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -22,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import metrics
+from tidemark.operators import fold_fit, metrics
 from tidemark.operators.metrics import best_fold, class_weights, cv_summary
 from tidemark.session import ensure_checkpoint_dir
 
@@ -32,6 +34,7 @@ class ClassifierParams:
     num_features: int = 1 << 16
     reg_param: float = 0.01       # L2 strength (the reference's weight decay is 0.01)
     max_iter: int = 50
+    tol: float = 1e-6
     use_class_weights: bool = False  # weights are computed, but off by default, as in the reference
     seed: int = 42
 
@@ -71,7 +74,7 @@ def pipeline(params: ClassifierParams = ClassifierParams(), text: str = "text",
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=params.num_features)
     idf = IDF(inputCol="_tf", outputCol="_features")
     lr = LogisticRegression(featuresCol="_features", labelCol=label, regParam=params.reg_param,
-                            elasticNetParam=0.0, maxIter=params.max_iter, standardization=False)
+                            elasticNetParam=0.0, maxIter=params.max_iter, tol=params.tol, standardization=False)
     if weight_col:
         lr.setWeightCol(weight_col)
     return Pipeline(stages=[tok, tf, idf, lr])
@@ -85,9 +88,18 @@ def _with_weights(df: DataFrame, label: str) -> DataFrame:
 
 def fit(train: DataFrame, params: ClassifierParams = ClassifierParams(), text: str = "text",
         label: str = "labels") -> PipelineModel:
-    if params.use_class_weights:
-        return pipeline(params, text, label, "_weight").fit(_with_weights(train, label))
-    return pipeline(params, text, label).fit(train)
+    """The fitted pipeline. The optimiser reads its features once a step, so they are made once
+    and kept in memory or on disk for the fit; a lost part is made anew from ``train``."""
+    weight = "_weight" if params.use_class_weights else None
+    rows = _with_weights(train, label) if weight else train
+    *features, lr = pipeline(params, text, label, weight).getStages()
+    prepared = Pipeline(stages=features).fit(rows)
+    ready = prepared.transform(rows).select("_features", label, *([weight] if weight else [])).persist()
+    try:
+        model = lr.fit(ready)
+    finally:
+        ready.unpersist()
+    return PipelineModel([*prepared.stages, model])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -97,17 +109,40 @@ def score(model: PipelineModel, df: DataFrame, keep: tuple[str, ...] = ()) -> Da
                       F.col("prediction").cast("int").alias("prediction"))
 
 
+class FoldModels(Mapping):
+    """fold -> the model of its complement, fitted when it is asked for."""
+
+    def __init__(self, k: int, fit_fold, known: dict[int, PipelineModel] | None = None):
+        self.k, self.fit_fold, self.known = k, fit_fold, dict(known or {})
+
+    def __getitem__(self, fold: int) -> PipelineModel:
+        if fold not in range(self.k):
+            raise KeyError(fold)
+        if fold not in self.known:
+            self.known[fold] = self.fit_fold(fold)
+        return self.known[fold]
+
+    def __iter__(self):
+        return iter(range(self.k))
+
+    def __len__(self) -> int:
+        return self.k
+
+
 def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
-                   params: ClassifierParams = ClassifierParams(), text: str = "text", label: str = "labels"):
+                   params: ClassifierParams = ClassifierParams(), text: str = "text", label: str = "labels",
+                   jointly: bool | None = None):
     """Fit on each fold's complement, score the fold. ``folds`` (key, fold) is joined to
     the pool; pass None when the pool already has a ``fold`` column.
 
-    Returns (fold_metrics (fold, metric, value), models {fold: PipelineModel}). All folds'
-    scores are evaluated in one grouped metric pass.
+    Returns (fold_metrics (fold, metric, value), models: fold -> PipelineModel). All folds'
+    scores are evaluated in one grouped metric pass. ``jointly`` fits all folds at once; a
+    fold's own pipeline is then fitted when it is taken from ``models``. By default that is done
+    when a single fold's passes fill the cluster: below that, fits of their own run side by side
+    and none waits for another's steps. The results are the same.
     """
-    # Every fold fits three stages (IDF, LR and scoring) over this table: checkpoint it once
-    # to the shared folder, so no fit recomputes the upstream plan and a lost executor
-    # does not either.
+    # The passes of the fit read this table again and again: checkpoint it once to the shared
+    # folder, so no pass recomputes the upstream plan and a lost executor does not either.
     spark = pool.sparkSession
     ensure_checkpoint_dir(spark)
     data, partitions = _sized((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
@@ -116,17 +151,24 @@ def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
         raise ValueError("cross-validation needs at least one row with a fold")
     k = last + 1
 
-    def fit_fold(f: int) -> tuple[int, PipelineModel]:
-        return f, fit(data.where(F.col("fold") != f), params, text, label)
-
-    with ThreadPoolExecutor(max_workers=fold_parallelism(spark, k, partitions)) as workers:
-        models = dict(workers.map(fit_fold, range(k)))
-    scored = None
-    for f in range(k):
-        s = score(models[f], data.where(F.col("fold") == f), keep=("fold", label))
-        scored = s if scored is None else scored.unionByName(s)
-    fm = metrics.metric_bundle(scored, "scores", label, by="fold")
-    return fm, models
+    def fit_fold(f: int) -> PipelineModel:
+        return fit(data.where(F.col("fold") != f), params, text, label)
+
+    if jointly is None:
+        jointly = fold_parallelism(spark, k, partitions) == 1
+    if jointly and k > 1 and fold_fit.fits(k, params.num_features):
+        weights = None
+        if params.use_class_weights:
+            runs = data.select("fold", label, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("run")).where("run <> fold")
+            weights = class_weights(runs, label, by="run")
+        scored = fold_fit.scored_folds(data, k, params, text, label, weights)
+        models = FoldModels(k, fit_fold)
+    else:
+        with ThreadPoolExecutor(max_workers=fold_parallelism(spark, k, partitions)) as workers:
+            models = FoldModels(k, fit_fold, dict(zip(range(k), workers.map(fit_fold, range(k)), strict=True)))
+        scored = reduce(DataFrame.unionByName, [
+            score(models[f], data.where(F.col("fold") == f), keep=("fold", label)) for f in range(k)])
+    return metrics.metric_bundle(scored, "scores", label, by="fold"), models
 
 
 def save_model(model: PipelineModel, path: str) -> str:
