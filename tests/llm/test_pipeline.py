@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "exact_dedup", "near_dedup", "packing"]
 
