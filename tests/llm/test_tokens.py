@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, token_store
+from tidemark.llm import bpe, chunks, token_store
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "  ", "a  b", " \n x", "\t a\xa0b  c", "\x1c\x1d a", "éba\n\xa0\xa0!<", "a\n\n\nb  \n c ", "\r\n\r\n a",
@@ -43,6 +43,28 @@ def test_any_text_equals_tiktoken(text):
     assert np.frombuffer(_mine.encode([text])[0], "<u4").tolist() == _theirs.encode_ordinary(text)
 
 
+def test_memory_is_bounded_by_bytes_and_keeps_what_is_used():
+    memory = chunks.Memory(most_bytes=100_000)
+    for i in range(5000):
+        memory.put(f"word{i}", b"x" * (1 + i % 50))
+        assert memory.new.get("word0") or memory.older("word0") is not None  # in use: never lost
+        for kept in (memory.new, memory.old):
+            assert sum(chunks.ENTRY + len(k) + len(v) for k, v in kept.items()) <= 100_000
+    assert memory.new.get("word1") is None and memory.older("word1") is None
+    memory.put("long", b"x" * 200_000)  # one entry beyond the bound stands alone
+    assert list(memory.new) == ["long"]
+
+
+def test_small_memories_change_no_result(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 2_000)
+    monkeypatch.setattr(bpe, "PAIRS", 5)
+    small = bpe.Encoder(_rank, public_tokenizers.PATTERN)
+    texts = ODD + random_texts(300, 3) + ["many different words " + " ".join(f"w{i}x{i * 7}" for i in range(400))]
+    for text, ids in zip(texts, small.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == _theirs.encode_ordinary(text)
+    assert len(small.pairs) <= 5
+
+
 def test_piece_equals_merging_by_definition():
     rng = random.Random(1)
     for _ in range(500):

@@ -35,8 +35,13 @@ from tidemark.llm.chunks import ChunkEncoder, Memory, blocks
 from tidemark.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Token pairs whose compatibility a worker keeps; the memory starts anew beyond it.
-PAIRS = 2_000_000
+#: Token pairs whose compatibility a worker keeps (about 25 MB); the memory starts anew beyond it.
+PAIRS = 200_000
+#: Bytes of one generation of each of a worker's three memories (pieces, chunks, spaced words), two
+#: generations each: 6 x 24 MB at most.
+MEMORY_BYTES = 24 << 20
+#: Characters of texts encoded in one step.
+BLOCK = 1 << 22
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,7 +56,7 @@ class Encoder:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # key: left << 32 | right
         self.automaton = ahocorasick.Automaton()
         usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merge(token) == [rank]}
         for token, rank in usable.items():  # the tokens that merging can reach
@@ -61,8 +66,8 @@ class Encoder:
         self.shorter = {rank: next((usable[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in usable), None)
                         for token, rank in usable.items()}
         self.length = {rank: len(token) for token, rank in usable.items()}
-        self.pieces = Memory()
-        self.chunks = ChunkEncoder(self._chunks)
+        self.pieces = Memory(most_bytes=MEMORY_BYTES)
+        self.chunks = ChunkEncoder(self._chunks, MEMORY_BYTES)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids by the definition: join the adjacent pair of least rank until none is left."""
@@ -75,10 +80,10 @@ class Encoder:
         return [self.ranks[p] for p in parts]
 
     def compatible(self, left: int, right: int) -> bool:
-        if len(self.pairs) > PAIRS:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         known = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        self.pairs[left, right] = known
+        self.pairs[left << 32 | right] = known
         return known
 
     def piece(self, piece: bytes) -> list[int]:
@@ -97,7 +102,7 @@ class Encoder:
                 if end not in dead:
                     if not taken:
                         break
-                    fits = pairs.get((taken[-1], token))
+                    fits = pairs.get(taken[-1] << 32 | token)
                     if fits is None:
                         fits = self.compatible(taken[-1], token)
                     if fits:
@@ -157,7 +162,7 @@ def encoded(path: str, pattern: str, keep_ids: bool = False):
         bpe = encoder(path, pattern)
         for texts in batches:
             rows = []
-            for ids in (ids for block in blocks(texts) for ids in bpe.encode(block)):
+            for ids in (ids for block in blocks(texts, BLOCK) for ids in bpe.encode(block)):
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest())
                 rows.append((*row, ids) if keep_ids else row)
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])

@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 
 #: Entries of one generation of a memory; a full one becomes the older generation.
 REMEMBERED = 800_000
+#: Bytes of an entry besides its characters: two objects' heads and a dictionary's place.
+ENTRY = 180
 RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A letter or digit, then only punctuation to the end of the chunk: the patterns cut between.
 TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.S)
@@ -31,32 +33,42 @@ UNUSUAL = [FIRST, "  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if
 
 class Memory:
     """string -> encoded bytes in two generations: a full one replaces the older one, so what is
-    in use stays and the size is bounded."""
+    in use stays and the size is bounded: by entries at each step, and by ``most_bytes`` of one
+    generation (keys, values and ``ENTRY`` for each) at each entry, if given."""
 
-    def __init__(self, limit: int = REMEMBERED):
-        self.limit, self.new, self.old = limit, {}, {}
+    def __init__(self, limit: int = REMEMBERED, most_bytes: int | None = None):
+        self.limit, self.most_bytes, self.held = limit, most_bytes, 0
+        self.new, self.old = {}, {}
 
     def turn(self) -> None:
         """Between two steps: start a new generation if this one is full."""
         if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
+            self._next()
+
+    def _next(self) -> None:
+        self.old, self.new, self.held = self.new, {}, 0
 
     def older(self, key):
         value = self.old.get(key)
         if value is not None:
-            self.new[key] = value
+            self.put(key, value)
         return value
 
     def put(self, key, value) -> None:
+        if self.most_bytes is not None:
+            self.held += ENTRY + len(key) + len(value)
+            if self.held > self.most_bytes:
+                self._next()
+                self.held = ENTRY + len(key) + len(value)
         self.new[key] = value
 
 
 class ChunkEncoder:
     """Encodes texts chunk by chunk; ``encode_many`` encodes a list of distinct chunks."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most_bytes: int | None = None):
         self.encode_many = encode_many
-        self.bare, self.spaced = Memory(), Memory()  # chunks as they are; words after a space or line feed
+        self.bare, self.spaced = Memory(most_bytes=most_bytes), Memory(most_bytes=most_bytes)  # chunks as they are; words after a space or line feed
         self.line_feed = encode_many(["\n"])[0]
 
     def _known(self, memory: Memory, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
