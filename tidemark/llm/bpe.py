@@ -35,11 +35,11 @@ from tidemark.llm.chunks import ChunkEncoder, Memory, blocks
 from tidemark.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Token pairs whose compatibility a worker keeps (about 25 MB); the memory starts anew beyond it.
-PAIRS = 200_000
+#: Token pairs whose compatibility a worker keeps (about 80 MB); the memory starts anew beyond it.
+PAIRS = 1_000_000
 #: Bytes of one generation of each of a worker's three memories (pieces, chunks, spaced words), two
-#: generations each: 6 x 24 MB at most.
-MEMORY_BYTES = 24 << 20
+#: generations each: 6 x 56 MB at most.
+MEMORY_BYTES = 56 << 20
 #: Characters of texts encoded in one step.
 BLOCK = 1 << 22
 
