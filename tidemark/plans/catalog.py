@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FIXTURE_CONFIG, CohortConfig
 from tidemark.functions.exprs import argmax_class, class_score, upper_in, whole_days
-from tidemark.operators import aggregate, codes, labs, membership, metrics, samples, splits, text, visits
+from tidemark.operators import aggregate, codes, item_sets, labs, membership, metrics, samples, splits, text, visits
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.tables import read_table
 from tidemark.sources.views import event_inputs, read_driver, star_schema_inputs
@@ -372,6 +372,25 @@ def q_patient_aggregate(spark, d):
                     _join("abnormal_labs").alias("abnormal_labs"))
 
 
+def q_patient_item_sets(spark, d):
+    """The patient roll-up with its unions taken on bitmaps over an item dictionary."""
+    r = item_sets.patient_rows_by_sets(_fx(spark, d).history.checkpoint(eager=True))
+    return r.select("patient_id", "age", "gender", "is_ckd", "num_visits", "num_samples",
+                    "num_distinct_visits", _join("diagnoses").alias("diagnoses"),
+                    _join("abnormal_labs").alias("abnormal_labs"))
+
+
+def q_split_item_coverage(spark, d):
+    """Distinct items of each kind by split and label: patients' bitmaps merged, bits counted."""
+    f = _fx(spark, d)
+    held = f.history.withColumnRenamed("subject_id", "patient_id").checkpoint(eager=True)
+    words = item_sets.dictionary(item_sets.items_of_history(held))
+    sets = item_sets.sets_of(item_sets.items_of_history(held, "patient_id"), words, ["patient_id"])
+    by = ["split", "is_ckd"]
+    groups = item_sets.merged(sets.join(f.labels_split.select("patient_id", *by), "patient_id"), by)
+    return item_sets.sizes(groups, words, by)
+
+
 def q_patient_text(spark, d):
     r = aggregate.with_text(_fx(spark, d).rows)
     return r.select("patient_id", "diagnoses_str", "abnormal_labs_str", "patient_history")

@@ -265,6 +265,14 @@ SELECT subject_id AS patient_id, hadm_id, visit_index, round(length_of_stay, 6)
     "patient_aggregate": """
 SELECT patient_id, age, gender, is_ckd, num_visits, num_samples, num_distinct_visits,
        array_to_string(diagnoses, '|') AS diagnoses, array_to_string(abnormal_labs, '|') AS abnormal_labs FROM prow""",
+    "patient_item_sets": """
+SELECT patient_id, age, gender, is_ckd, num_visits, num_samples, num_distinct_visits,
+       array_to_string(diagnoses, '|') AS diagnoses, array_to_string(abnormal_labs, '|') AS abnormal_labs FROM prow""",
+    "split_item_coverage": """
+SELECT split, is_ckd, kind, count(DISTINCT item) AS n
+FROM (SELECT split, is_ckd, 'dx' AS kind, unnest(diagnoses) AS item FROM rows_split
+      UNION ALL SELECT split, is_ckd, 'lab' AS kind, unnest(abnormal_labs) AS item FROM rows_split)
+GROUP BY split, is_ckd, kind""",
     "patient_text": """
 SELECT patient_id, array_to_string(diagnoses, ' ') AS diagnoses_str, array_to_string(abnormal_labs, ' ') AS abnormal_labs_str,
        concat('diagnoses:', array_to_string(diagnoses, ' '), ' , ', array_to_string(abnormal_labs, ' '),
