@@ -7,7 +7,8 @@ train     patient rows -> sentences -> k-fold classifier -> best model -> test m
           metric tables and the text report
 
 Stages meet through parquet folders, so each job starts from a written table (no lineage
-crosses a job boundary) and a rerun after a failure repeats only that job.
+crosses a job boundary). Each folder has a manifest (``manifest.py``): a job refuses a folder that
+is half-written or changed, and a rerun goes on behind the last whole table.
 
     spark-submit -m tidemark.plans.jobs prepare  <src> <out> [--format csv|parquet]
     spark-submit -m tidemark.plans.jobs aggregate <out>/prepared <out>
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.config import CohortConfig
 from tidemark.operators import aggregate, classify, codes, labs, membership, samples, splits, text, visits
 from tidemark.operators.metrics import metrics_report
+from tidemark.plans import manifest
 from tidemark.sources import store
 from tidemark.sources.tables import SCHEMAS, read_clinical
 
@@ -41,7 +44,8 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     under ``out/prepared``: ``timeline`` (every visit of every cohort entity, narrow, with
     the sample and censoring columns), ``history`` (the visits inside a kept sample's
     history, with their lists), ``samples`` and, with ``nested``, ``nested_samples`` (one
-    history array per sample). Returns the logged statistics.
+    history array per sample). Returns the logged statistics. Tables of an earlier run on the
+    same files and settings are kept as far as they are whole; with ``tables`` all are written.
     """
     t = tables or read_clinical(spark, src, fmt)
     for name in SCHEMAS:
@@ -59,24 +63,29 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
         return splits.hash_split(df, col, cfg.seed, cfg.train_pct, cfg.train_val_pct)
 
     base = os.path.join(out, "prepared")
+    run = manifest.Run(spark, base, "prepare", {**asdict(cfg), "format": fmt},
+                       None if tables else manifest.source_digest(spark, src))
+    names = ["timeline", "history", "samples", *["nested_samples"] * nested]
+    if (known := run.result(names)) is not None:
+        return known
     # 1. the ordered timeline, written once; everything below reads the written table
-    tl = samples.timeline(flags, t["patients"]).drop("first_time", "next_time", "is_sample")
-    store.write_by_split(by_split(tl, "subject_id"), os.path.join(base, "timeline"))
-    tl = store.read_dataset(spark, os.path.join(base, "timeline"))
+    tl = run.table("timeline", lambda: by_split(
+        samples.timeline(flags, t["patients"]).drop("first_time", "next_time", "is_sample"), "subject_id"))
+
     # 2. history visits with their lists: facts of other visits leave before the lists' shuffles
-    wanted = membership.members(tl.where("in_history"), "hadm_id")
-    dx_lists, lab_lists = visits.lists_of(wanted, mapped, lab)
-    hist = samples.attach_details(tl.drop("split"), dx_lists, lab_lists).select(*HISTORY_COLS)
-    store.write_by_split(by_split(hist, "subject_id"), os.path.join(base, "history"))
+    def history() -> DataFrame:
+        wanted = membership.members(tl.where("in_history"), "hadm_id")
+        dx_lists, lab_lists = visits.lists_of(wanted, mapped, lab)
+        hist = samples.attach_details(tl.drop("split"), dx_lists, lab_lists).select(*HISTORY_COLS)
+        return by_split(hist, "subject_id")
+
+    written = run.table("history", history)
     # 3. samples
-    smp = tl.where("kept").select(F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
-                                  (F.col("visit_index") + 1).alias("history_len"), "age", "gender",
-                                  "next_hadm_id", "next_ckd", "split")
-    store.write_by_split(smp, os.path.join(base, "samples"))
+    run.table("samples", lambda: tl.where("kept").select(
+        F.col("subject_id").alias("patient_id"), "hadm_id", "visit_index",
+        (F.col("visit_index") + 1).alias("history_len"), "age", "gender", "next_hadm_id", "next_ckd", "split"))
     if nested:
-        written = store.read_dataset(spark, os.path.join(base, "history"))
-        ns = by_split(samples.nested_samples(written.drop("split")), "patient_id")
-        store.write_by_split(ns, os.path.join(base, "nested_samples"))
+        run.table("nested_samples", lambda: by_split(samples.nested_samples(written.drop("split")), "patient_id"))
 
     # A scan of their own: an Observation in the session would be free, but model fits that
     # follow in the same session then fail, as its manager cannot be shipped to tasks.
@@ -87,30 +96,37 @@ def prepare(spark: SparkSession, src: str, out: str, cfg: CohortConfig = CohortC
     split_rows = splits.split_stats(store.read_dataset(spark, os.path.join(base, "samples")))
     stats["splits"] = [r.asDict() for r in split_rows.collect()]  # four rows
     store.write_small_json(spark, split_rows, os.path.join(base, "split_stats"))
-    return stats
+    return run.finish(stats)
 
 
 def aggregate_job(spark: SparkSession, prepared: str, out: str) -> dict:
     """One row per patient and split, with text renderings; summary per split."""
-    hist = store.read_dataset(spark, os.path.join(prepared, "history"))
-    # the written split rides along: seed and shares are decided once, by ``prepare``
-    rows = aggregate.with_text(aggregate.patient_rows(hist))
+    source = manifest.require(spark, prepared, "prepare", ["history"])
     dest = os.path.join(out, "aggregated")
-    store.write_by_split(rows, os.path.join(dest, "patients"))
-    written = store.read_dataset(spark, os.path.join(dest, "patients"))
+    run = manifest.Run(spark, dest, "aggregate", {}, source)
+    if (known := run.result(["patients"])) is not None:
+        return known
+    # the written split rides along: seed and shares are decided once, by ``prepare``
+    written = run.table("patients", lambda: aggregate.with_text(
+        aggregate.patient_rows(store.read_dataset(spark, os.path.join(prepared, "history")))))
     summary = aggregate.aggregate_summary(written)
     store.write_small_json(spark, summary, os.path.join(dest, "summary"))
-    return {"summary": [r.asDict() for r in summary.collect()]}  # one row per split
+    return run.finish({"summary": [r.asDict() for r in summary.collect()]})  # one row per split
 
 
 def train_job(spark: SparkSession, aggregated: str, out: str, cfg: CohortConfig = CohortConfig(),
               params: classify.ClassifierParams = classify.ClassifierParams()) -> dict:
     """k-fold cross-validation on train+val, best fold saved, test evaluated, report written."""
+    source = manifest.require(spark, aggregated, "aggregate", ["patients"])
+    dest = os.path.join(out, "model")
+    run = manifest.Run(spark, dest, "train", {"cohort": asdict(cfg), "classifier": asdict(params)}, source)
+    if (known := run.result([])) is not None:
+        return known
+    run.begin()
     rows = aggregate.with_sentence(store.read_dataset(spark, os.path.join(aggregated, "patients")))
     tr = text.training_rows(rows)
     pool, test = tr.where(F.col("scope") == "cv"), tr.where(F.col("scope") == "test")
     folds = splits.kfold(pool.select("patient_id"), cfg.k_folds, "patient_id", cfg.seed)
-    dest = os.path.join(out, "model")
     model_dir = os.path.join(dest, "best_model")
     fm, summary, best, tm = classify.train_and_evaluate(pool, folds, test, "patient_id", model_dir, params)
     store.write_small_json(spark, fm, os.path.join(dest, "fold_metrics"))
@@ -125,7 +141,7 @@ def train_job(spark: SparkSession, aggregated: str, out: str, cfg: CohortConfig
               + ["", f"Best ROC AUC: {best['value']:.4f}", f"Best model path: {model_dir}", "",
                  "=== TEST RESULTS ==="] + test_text)
     store.write_text_report(spark, report, os.path.join(dest, "training_results"))
-    return {"best_fold": int(best["fold"]), "best_roc_auc": float(best["value"]), "report": report}
+    return run.finish({"best_fold": int(best["fold"]), "best_roc_auc": float(best["value"]), "report": report})
 
 
 def main(argv: list[str] | None = None) -> None:
