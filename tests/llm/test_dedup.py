@@ -208,6 +208,32 @@ def test_registers_and_estimate():
         assert max(errors) < 1 and np.mean(errors) < 0.35
 
 
+def test_components_with_a_node_of_a_third_of_all_edges(spark):
+    """A hub, repeated edges, a path through hubs, and random edges against a union-find."""
+    rng = random.Random(5)
+    edges = [(7, i) for i in range(1000, 3000)] + [(i, 7) for i in range(1000, 1500)]
+    edges += [(5, 2999), (6, 6)] + [(i, i + 1) for i in range(5000, 5040)]
+    edges += [(rng.randint(10_000, 14_000), rng.randint(10_000, 14_000)) for _ in range(3000)]
+    top = {}
+
+    def root(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((root(a), root(b)))
+            top[b] = a
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in near_dedup.components(df).collect()}
+    assert got == {x: root(x) for x in list(top)}
+    hub = df.where("a = 7").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    parts = hub.groupBy("u", F.pmod(F.xxhash64("v"), F.lit(near_dedup.SPREAD))).count().agg(F.max("count")).first()[0]
+    assert parts < 2000 / near_dedup.SPREAD * 2
+    assert {tuple(r) for r in near_dedup._to_least(hub).select("u", "v", "m").collect()} == {(7, i, 7) for i in range(1000, 3000)}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(200, 201)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -52,6 +52,8 @@ LEADERS, SIGMAS = 2, 5
 EMPTY = 0xFFFF
 #: Counted bound under which a list of ids and digests is broadcast (24 bytes each); longer ones are joined.
 BROADCAST_IDS = 500_000
+#: Parts that the edges of one node are dealt to while components are contracted.
+SPREAD = 32
 #: Word hashes that a worker keeps; the memory starts anew beyond it.
 REMEMBERED = 300_000
 
@@ -245,24 +247,33 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return seen.where("out > 1 or (out = 1 and least = 0)").isEmpty()
 
 
+def _to_least(edges: DataFrame) -> DataFrame:
+    """edges (u, v) with m: the least of u and all v of that u.
+
+    A node's edges are dealt to ``SPREAD`` parts by a hash of v. Each part finds its least, the
+    leasts of a node meet (``SPREAD`` rows at most), and the result goes back to the node's parts
+    one by one, so no task holds all edges of a node.
+    """
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SPREAD)))
+    least = dealt.groupBy("u", "part").agg(F.min("v").alias("m")).groupBy("u").agg(
+        F.least(F.col("u"), F.min("m")).alias("m"), F.collect_list("part").alias("parts"))
+    return dealt.join(least.select("u", "m", F.explode("parts").alias("part")), ["u", "part"]).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) of the nodes of ``edges`` (a, b).
 
-    Alternating large-star and small-star contractions; each is two partially aggregated
-    steps on the edge list, which is written after each round. It ends when every edge leads
-    straight to the smallest node of its component.
+    Alternating large-star and small-star contractions on the edge list, which is written after
+    each round; the edges of a node with many (a root late in the work) are dealt to parts. It
+    ends when every edge leads straight to the smallest node of its component.
     """
-    def least(df: DataFrame) -> DataFrame:
-        return df.groupBy("u").agg(F.min("v").alias("m"))
-
     now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "star")
     while not _is_star_forest(now):
         # large star: larger neighbours of u go to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = least(both).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: smaller neighbours of u, and u itself, go to the least of them
-        small = large.join(least(large), "u").select(F.explode(F.array(
+        small = _to_least(large).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         now = stored(small.select("e.*").where("u <> v").distinct(), "star")
     tops = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
