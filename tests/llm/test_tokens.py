@@ -148,6 +148,53 @@ def test_query_equals_the_library_with_its_defaults(spark):
     assert strings and got == want
 
 
+def latin_texts(n, seed):
+    rng = random.Random(seed)
+    letters = ["the", "aß", "Été", "ø", "ż", "Ą", "don't", "x.", "(no", "yes!)", "12", "a1", "_", "...", "日本", "µ", "×", "ʰ", "e\u0301", "'s", "\x01", "v\x01!", "ē", "ª"]
+    return [rng.choice(" \n").join(["start", *("".join(rng.choices(letters, k=rng.randint(1, 3))) + rng.choice(["", ",", "?!"])
+                                              for _ in range(rng.randint(1, 40)))]) for _ in range(n)]
+
+
+def test_words_by_the_model_equal_the_library():
+    mine = token_store.Encoder(public_tokenizers.path(token_store.VOCABULARY))
+    assert mine.by_model
+    texts = latin_texts(600, 4) + ["long words " + "abcdefgh" * 3000 + " end\n" + "z" * 200_000]
+    assert sum(map(chunks.is_usual, texts)) > 500
+    got = mine.encode(texts)
+    mine.by_model = False  # a file whose cuts are others: all words through the tokenizer
+    for text, ids, plain in zip(texts, got, mine.encode(texts), strict=True):
+        assert ids == plain == encoded(text)[:-1].astype("<u2").tobytes()
+
+
+def test_lookup_by_index(spark):
+    """Null ids, occurrences that go on across shards, ids far apart and absent ones, long lists."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, -(1 << 62), -5, 0, 7, 8, 900, 1 << 62]), f"text {i}") for i in range(300)]
+    path = tempfile.mkdtemp(prefix="tm-store-") + "/store"
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, shard_ids=40)
+    store = token_store.open_store(spark, path)
+    for asked in ([None], [7, None, 6, 5], [1 << 62, -(1 << 62)], [], list(range(0, 1000, 4)), [3]):
+        found = token_store.lookup(store, asked).collect()
+        assert sorted((str(r.doc_id), r.ids) for r in found) == sorted((str(i), encoded(t).tolist()) for i, t in rows if i in asked)
+
+
+def test_lookup_reads_few_shards(spark, monkeypatch):
+    """The scan gets the ids as conditions on a shard's range, and small row groups to skip."""
+    import glob
+
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(token_store, "ROW_GROUP", 20_000)
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=2000))) for i in range(400)]
+    path = tempfile.mkdtemp(prefix="tm-store-") + "/store"
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, shard_ids=10_000)
+    groups = [pq.ParquetFile(f).metadata.num_row_groups for f in glob.glob(path + "/*.parquet")]
+    assert max(groups) >= 5
+    found = token_store.lookup(spark.read.schema(token_store.SHARD).parquet(path), [17, 399])
+    assert "PushedFilters: [Or(And(" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, r.ids) for r in found.collect()) == [(i, encoded(rows[i][1]).tolist()) for i in (17, 399)]
+
+
 def test_lookup_returns_every_row_of_a_repeated_id(spark):
     rows = [(4, f"text {i} of four") for i in range(30)] + [(4, "text 1 of four"), (3, "three"), (5, "five"), (None, "null")]
     path = tempfile.mkdtemp(prefix="tm-store-") + "/store"

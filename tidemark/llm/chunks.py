@@ -115,7 +115,7 @@ class ChunkEncoder:
         """Each text's encoding; words that are new to the worker are encoded in one call."""
         self.bare.turn()
         self.spaced.turn()
-        usual = [bool(t) and t[0] not in " \n" and t[-1] not in " \n" and not any(map(t.__contains__, UNUSUAL)) for t in texts]
+        usual = [is_usual(t) for t in texts]
         split = iter(self._split([t for t, u in zip(texts, usual, strict=True) if u]))
         out = []
         for text, plain in zip(texts, usual, strict=True):
@@ -141,6 +141,11 @@ class ChunkEncoder:
         return [bytes(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
+def is_usual(text: str) -> bool:
+    """A text of words between single spaces and line feeds."""
+    return bool(text) and text[0] not in " \n" and text[-1] not in " \n" and not any(map(text.__contains__, UNUSUAL))
+
+
 def blocks(texts: list, most: int = 1 << 23) -> Iterator[list]:
     """Consecutive runs of texts of about ``most`` characters together; a text is never cut."""
     held, size = [], 0

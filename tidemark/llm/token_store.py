@@ -11,7 +11,14 @@ Parquet table (so that it can lie in any store that Spark reaches) and holds
   words in steps makes that a constant-time look-up;
 * ``slots``: for each slot the key's 32-bit fingerprint, which tells strangers apart, and
   the first position and length of its ids in the payload;
-* ``keys``: the document ids in order, to list a shard without knowing them.
+* ``keys``: the document ids in order, to list a shard without knowing them;
+* ``low``, ``high``, ``low_first``, ``nulls``, ``nulls_first``: its smallest and largest id, how many
+  null ids it holds, and the occurrence numbers at which ``low`` and the null ids begin here.
+
+A look-up reads ``low`` and ``high`` first: row groups hold few shards, so Parquet's statistics skip
+the others with their payloads. In a shard that may hold an id, (id, occurrence) is probed from
+the first occurrence on until a fingerprint says no; a probe is one place of the index, whatever
+the shard's size. A stranger passes a fingerprint with a chance of 2**-32 a probe.
 
 ``positions`` is the place of the shard in the whole: the ids of all documents before it.
 
@@ -26,15 +33,19 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Sequence, Split
 
-from tidemark.llm.chunks import ChunkEncoder, blocks
+from tidemark.llm.chunks import FIRST, ChunkEncoder, blocks, is_usual
 from tidemark.llm.common import ensure_checkpoint_dir, read, shuffle_partitions
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,10 +53,16 @@ END = 0
 #: Ids after which a shard is closed (one document is never cut).
 SHARD_IDS = 1 << 20
 SHARD = ("part int, shard int, first long, n_docs long, n_ids long, width int, "
-         "keys binary, levels binary, slots binary, payload binary")
+         "low long, high long, low_first long, nulls long, nulls_first long, keys binary, levels binary, slots binary, payload binary")
 SLOT = np.dtype([("fingerprint", "<u4"), ("first", "<u8"), ("length", "<u8")])
 KEY = np.dtype([("doc_id", "<i8"), ("null", "<u8"), ("occurrence", "<u8")])
 GAMMA, MAX_LEVELS = 2, 64
+#: Bytes of one generation of a worker's memory of chunks of unusual texts (two memories, two generations).
+MEMORY_BYTES = 16 << 20
+#: Bytes of a row group of a store, so that a look-up skips most payloads of a file.
+ROW_GROUP = 8 << 20
+#: Ids of a look-up that are told one by one to the scan; of more, only the smallest and largest.
+TOLD_IDS = 64
 
 
 # ---------------------------------------------------------------- keys and the hash index
@@ -146,8 +163,31 @@ class Shard:
 
 # ---------------------------------------------------------------------------- encoding
 
+#: A word of letters that are letters in every version of Unicode's tables, and punctuation behind it:
+#: the patterns cut between the two and nowhere else.
+REGULAR = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+[!-/:-@\[-`{-~]*$"
+BEFORE_TAIL = r"([!-/:-@\[-`{-~]+)$"
+#: Stands where a regular word is cut; no such word holds it.
+CUT = "\x01"
+#: Regular words that tell whether a tokenizer file cuts and spells as is supposed here.
+PROBE = ["\u00e9t\u00e9", " word,", "Stra\u00dfe", " \u0104\u017c(!)", " x'", "it"]
+
+
+def byte_letters() -> np.ndarray:
+    """The letter (code point) by which byte-level vocabularies spell each byte: printable
+    Latin-1 stands for itself, the others follow from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return np.array([b if b in own else next(rest) for b in range(256)], "<u4")
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file; equal chunks (``chunks.py``) are encoded once.
+    """Ids of texts by a tokenizer file; equal words of a block of texts are encoded once.
+
+    Texts of words between single spaces and line feeds are split and told apart by Arrow's
+    kernels. Regular words (``REGULAR``) go to the tokenizer's model without its pattern, all
+    other words through the tokenizer, in one call each; numpy lays the ids out again. Texts with
+    other white space are cut by ``chunks.py``.
 
     Strings of added tokens count as ordinary text, or, with ``added``, as the library's
     defaults have it: a text that holds one is encoded whole, by one call.
@@ -159,40 +199,103 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.break_id = self._ids("\n")
-        self.chunked = ChunkEncoder(self._chunks).encode
+        self.letters = byte_letters()
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = Sequence([Split(chr(self.letters[0x0A]), "isolated"),
+                                             Split(chr(self.letters[ord(CUT)]), "removed")])
+        probe = pa.array(PROBE, pa.large_string())
+        self.by_model = (len(self.break_id) == 1 and self.tokenizer.normalizer is None
+                         and self._model_ids(probe).tolist() == self._ids("\n" + "\n".join(PROBE)))
+        self.chunked = ChunkEncoder(self._chunks, MEMORY_BYTES).encode
         self.whole = Tokenizer.from_file(path) if added else None
         self.strings = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        held = [i for i, t in enumerate(texts) if any(s in t for s in self.strings)] if self.strings else []
-        if not held:
-            return self.chunked(texts)
-        rest = texts.copy()
-        for i in held:
-            rest[i] = ""
-        out = self.chunked(rest)
-        for i in held:
-            ids = self.whole.encode_batch_fast([texts[i]], add_special_tokens=False)[0].ids
-            out[i] = np.array(ids, f"<u{self.width}").tobytes()
+        out = [b""] * len(texts)
+        usual, unusual = [], []
+        for i, t in enumerate(texts):
+            if self.strings and any(map(t.__contains__, self.strings)):
+                ids = self.whole.encode_batch_fast([t], add_special_tokens=False)[0].ids
+                out[i] = np.array(ids, f"<u{self.width}").tobytes()
+            elif len(self.break_id) == 1 and is_usual(t):
+                usual.append(i)
+            else:
+                unusual.append(i)
+        for some, method in ((usual, self._split), (unusual, self.chunked)):
+            for i, ids in zip(some, method([texts[i] for i in some]), strict=True):
+                out[i] = ids
         return out
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _split(self, texts: list[str]) -> list[bytes]:
+        """Encodings of texts of words between single spaces and line feeds."""
+        if not texts:
+            return []
+        spaced = pc.replace_substring(pa.array([FIRST + t for t in texts], pa.large_string()), "\n", " \n")
+        lists = pc.split_pattern(spaced, " ")
+        words = lists.flatten().dictionary_encode()
+        ids, starts, lengths = self._of_words(words.dictionary)
+        at = words.indices.to_numpy()
+        ends = np.cumsum(lengths[at])
+        # place of every id of the block: its word's beginning and how far it stands behind that
+        total = int(ends[-1])
+        places = np.arange(total) + np.repeat(starts[at] - (ends - lengths[at]), lengths[at])
+        raw = memoryview(ids[places].tobytes())
+        bounds = (np.r_[0, ends][lists.offsets.to_numpy()] * self.width).tolist()
+        return [bytes(raw[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _of_words(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them each of the distinct words begins and how many it has. A word
+        beginning with a line feed or FIRST follows that, any other one a space."""
+        fed = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)
+        marked = pc.or_(pc.starts_with(words, "\n"), pc.starts_with(words, FIRST))
+        bare = pc.if_else(marked, pc.utf8_slice_codeunits(words, 1), words)
+        pieces = pc.if_else(marked, bare, after(" ", words))
+        regular = (pc.match_substring_regex(bare, REGULAR).to_numpy(zero_copy_only=False) if self.by_model
+                   else np.zeros(len(words), bool))
+        starts, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        made, before = [], 0
+        for chosen, encode in ((regular, self._model_ids), (~regular, self._pattern_ids)):
+            rows = np.flatnonzero(chosen)
+            if len(rows):
+                ids = encode(pieces.take(pa.array(rows)))
+                at = np.flatnonzero(ids == self.break_id[0])  # a line feed stands in front of each word
+                if len(at) != len(rows):
+                    raise ValueError("a line feed between two words is not a token of its own")
+                begin = at + ~fed[rows]  # a word that follows a line feed begins with it
+                starts[rows] = begin + before
+                lengths[rows] = np.r_[at[1:], len(ids)] - begin
+                made.append(ids)
+                before += len(ids)
+        return np.concatenate(made), starts, lengths
+
+    def _model_ids(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Ids of regular words, a line feed in front of each, by the model alone."""
+        cut = pc.replace_substring_regex(pieces, BEFORE_TAIL, CUT + r"\1")
+        raw = np.frombuffer(joined(cut), np.uint8)
+        text = self.letters[raw].tobytes().decode("utf-32-le")
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
+
+    def _pattern_ids(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Ids of words without white space in them, a line feed in front of each."""
+        return np.array(self._ids(joined(pieces).decode()), f"<u{self.width}")
+
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """One call for many chunks: a line feed between two chunks that hold none is always a
-        token of its own, so the ids fall apart there again."""
-        kind = f"<u{self.width}"
-        plain = [c for c in chunks if "\n" not in c and "  " not in c and c[-1] != " "]
-        done = {}
-        if len(self.break_id) == 1 and plain:
-            ids = np.array(self._ids("\n".join(plain)), kind)
-            at = np.flatnonzero(ids == self.break_id[0]).tolist()
-            if len(at) == len(plain) - 1:
-                raw, w = ids.tobytes(), self.width
-                done = {c: raw[a * w:b * w] for c, a, b in zip(
-                    plain, [0, *(i + 1 for i in at)], [*at, len(ids)], strict=True)}
-        return [done[c] if c in done else np.array(self._ids(c), kind).tobytes() for c in chunks]
+        return [np.array(e.ids, f"<u{self.width}").tobytes()
+                for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+
+def after(mark: str, words: pa.LargeStringArray) -> pa.LargeStringArray:
+    return pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words, pa.scalar(mark, pa.large_string()))
+
+
+def joined(pieces: pa.LargeStringArray) -> bytes:
+    """UTF-8 of the pieces, a line feed in front of each."""
+    fed = after("\n", pieces)
+    ends = np.frombuffer(fed.buffers()[1], np.int64)
+    return fed.buffers()[2].to_pybytes()[int(ends[fed.offset]):int(ends[fed.offset + len(fed)])]
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -216,9 +319,13 @@ def _shard_row(part: int, number: int, first: int, doc_ids: list, occurrences: l
     slots["fingerprint"][at] = fingerprints(keys)
     slots["first"][at] = ends - lengths
     slots["length"][at] = lengths
-    values = (part, number, first, len(keys), int(ends[-1]), width, keys.tobytes(), pack_levels(levels),
-              slots.tobytes(), b"".join(pieces))
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4)
+    nulls = int(keys["null"].sum())  # they come first
+    some = nulls < len(keys)
+    values = (part, number, first, len(keys), int(ends[-1]), width,
+              doc_ids[nulls] if some else None, doc_ids[-1] if some else None, occurrences[nulls] if some else None,
+              nulls, occurrences[0] if nulls else None,
+              keys.tobytes(), pack_levels(levels), slots.tobytes(), b"".join(pieces))
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 5, *[pa.binary()] * 4)
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
                                       names=[f.split()[0] for f in SHARD.split(", ")])
 
@@ -263,7 +370,8 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, shard
               .repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
               .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     shards = ranged.mapInArrow(_shards(vocabulary or public_tokenizers.path(VOCABULARY), shard_ids, added), SHARD)
-    shards.write.option("compression", "zstd").parquet(path)
+    (shards.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP)
+     .option("parquet.page.size.row.check.min", 1).parquet(path))
 
 
 def open_store(spark, path: str) -> DataFrame:
@@ -301,32 +409,59 @@ def listing(store: DataFrame) -> DataFrame:
     return needed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def lookup(store: DataFrame, doc_ids: list[int]) -> DataFrame:
+def occurrences_of(shard: Shard, doc_id: int | None, start: int) -> np.ndarray:
+    """Slots of (doc_id, start), (doc_id, start + 1), ... until the shard has no such key."""
+    found, width = [], 1
+    while True:
+        keys = np.zeros(width, KEY)
+        keys["doc_id"], keys["null"] = doc_id or 0, doc_id is None
+        keys["occurrence"] = np.arange(start, start + width)
+        at = shard.find(keys)
+        ends = np.flatnonzero(at < 0)
+        found.append(at[:ends[0]] if len(ends) else at)
+        if len(ends):
+            return np.concatenate(found)
+        start, width = start + width, min(2 * width, 1 << 16)
+
+
+def may_hold(doc_ids: list[int | None]) -> Column:
+    """Condition on ``low``, ``high`` and ``nulls``: the shard may hold one of the ids."""
+    known = sorted({i for i in doc_ids if i is not None})
+    spans = [(i, i) for i in known] if len(known) <= TOLD_IDS else [(known[0], known[-1])]
+    tests = [(F.col("low") <= last) & (F.col("high") >= first) for first, last in spans]
+    if None in doc_ids:
+        tests.append(F.col("nulls") > 0)
+    return reduce(or_, tests, F.lit(False))
+
+
+def lookup(store: DataFrame, doc_ids: list[int | None]) -> DataFrame:
     """doc_id, ids of the stated documents (a list that the caller bounds), one row for each of
-    the rows that repeat an id.
+    the rows that repeat an id; None asks for the rows without an id.
 
-    A shard that holds none of the ids is skipped; in the others each key costs one probe of
-    the index, one fingerprint comparison and one slice of the payload.
+    Only shards whose range holds one of the ids are read; there each row costs one probe of the
+    index, one fingerprint comparison and one slice of the payload, and each id one probe more.
     """
-    wanted = np.unique(np.array(doc_ids, np.int64))
+    wanted = np.array(sorted({i for i in doc_ids if i is not None}), np.int64)
+    with_null = None in doc_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                held = np.frombuffer(row["keys"], KEY)
-                held = held[held["null"] == 0]  # in order of their ids; occurrences go on across shards
-                keys = held[np.isin(held["doc_id"], wanted)]
-                if not len(keys):
-                    continue
                 shard = Shard(row["levels"], row["slots"], row["payload"], row["width"])
-                at = shard.find(keys)
-                if (at < 0).any():
-                    raise ValueError("a shard does not hold one of its keys")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys["doc_id"].astype(np.int64)),
-                     pa.array([shard.ids(i).astype("<i4") for i in at], pa.list_(pa.int32()))], names=["doc_id", "ids"])
-
-    return store.select("width", "keys", "levels", "slots", "payload").mapInArrow(run, "doc_id long, ids array<int>")
+                asked = [(None, row["nulls_first"])] if with_null and row["nulls"] else []
+                if row["low"] is not None:
+                    inside = wanted[np.searchsorted(wanted, row["low"]):np.searchsorted(wanted, row["high"], "right")]
+                    asked += [(i, row["low_first"] if i == row["low"] else 0) for i in inside.tolist()]
+                for doc_id, start in asked:
+                    at = occurrences_of(shard, doc_id, start)
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([doc_id] * len(at), pa.int64()),
+                             pa.array([shard.ids(i).astype("<i4") for i in at], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    return (store.where(may_hold(doc_ids))
+            .select("width", "low", "high", "low_first", "nulls", "nulls_first", "levels", "slots", "payload")
+            .mapInArrow(run, "doc_id long, ids array<int>"))
 
 
 def op8_token_store(spark, sf_dir: str) -> DataFrame:
