@@ -166,6 +166,18 @@ def test_words_by_the_model_equal_the_library():
         assert ids == plain == encoded(text)[:-1].astype("<u2").tobytes()
 
 
+def test_known_words_are_bounded_and_change_no_result(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_WORDS", 50)
+    mine = token_store.Encoder(public_tokenizers.path(token_store.VOCABULARY))
+    rng = random.Random(8)
+    for _ in range(60):
+        texts = [" ".join(["start", *rng.choices([f"wörd{'abc'[i % 3]}{'x' * i}" for i in range(90)], k=rng.randint(1, 30)), "y" * 70])]
+        assert mine.encode(texts) == [encoded(t)[:-1].astype("<u2").tobytes() for t in texts]
+        assert len(mine.known.words) == len(mine.known.starts) <= 50
+        assert len(mine.known.ids) == mine.known.lengths.sum()
+        assert max(map(len, mine.known.words.to_pylist())) <= token_store.KNOWN_LENGTH
+
+
 def test_lookup_by_index(spark):
     """Null ids, occurrences that go on across shards, ids far apart and absent ones, long lists."""
     rng = random.Random(6)

@@ -59,6 +59,8 @@ KEY = np.dtype([("doc_id", "<i8"), ("null", "<u8"), ("occurrence", "<u8")])
 GAMMA, MAX_LEVELS = 2, 64
 #: Bytes of one generation of a worker's memory of chunks of unusual texts (two memories, two generations).
 MEMORY_BYTES = 16 << 20
+#: Most words that a worker remembers between blocks, and characters of one: about 60 bytes a word.
+KNOWN_WORDS, KNOWN_LENGTH = 1_000_000, 64
 #: Bytes of a row group of a store, so that a look-up skips most payloads of a file.
 ROW_GROUP = 8 << 20
 #: Ids of a look-up that are told one by one to the scan; of more, only the smallest and largest.
@@ -182,7 +184,8 @@ def byte_letters() -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file; equal words of a block of texts are encoded once.
+    """Ids of texts by a tokenizer file; equal words of a block of texts are encoded once, and those
+    of earlier blocks are found among the ``KnownWords``.
 
     Texts of words between single spaces and line feeds are split and told apart by Arrow's
     kernels. Regular words (``REGULAR``) go to the tokenizer's model without its pattern, all
@@ -206,6 +209,7 @@ class Encoder:
         probe = pa.array(PROBE, pa.large_string())
         self.by_model = (len(self.break_id) == 1 and self.tokenizer.normalizer is None
                          and self._model_ids(probe).tolist() == self._ids("\n" + "\n".join(PROBE)))
+        self.known = KnownWords(self.width)
         self.chunked = ChunkEncoder(self._chunks, MEMORY_BYTES).encode
         self.whole = Tokenizer.from_file(path) if added else None
         self.strings = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
@@ -236,7 +240,7 @@ class Encoder:
         spaced = pc.replace_substring(pa.array([FIRST + t for t in texts], pa.large_string()), "\n", " \n")
         lists = pc.split_pattern(spaced, " ")
         words = lists.flatten().dictionary_encode()
-        ids, starts, lengths = self._of_words(words.dictionary)
+        ids, starts, lengths = self.known.look_up(words.dictionary, self._of_words)
         at = words.indices.to_numpy()
         ends = np.cumsum(lengths[at])
         # place of every id of the block: its word's beginning and how far it stands behind that
@@ -287,6 +291,46 @@ class Encoder:
                 for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
+class KnownWords:
+    """What was encoded, as arrays: words, their ids end to end, and where each word's ids are.
+
+    A look-up is one hash join of a block's distinct words with the known ones by Arrow. Of
+    more than ``KNOWN_WORDS`` words only those of the current block stay, so what is in use
+    stays and the size is bounded.
+    """
+
+    def __init__(self, width: int):
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.starts, self.lengths = np.zeros(0, f"<u{width}"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def look_up(self, words: pa.LargeStringArray, encode) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and each word's beginning and number of ids in them; ``encode`` does so for new words."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        new = np.flatnonzero(at < 0)
+        ids, starts, lengths = self.ids, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[at >= 0], lengths[at >= 0] = self.starts[at[at >= 0]], self.lengths[at[at >= 0]]
+        if len(new):
+            made, starts_new, lengths[new] = encode(words.take(pa.array(new)))
+            starts[new] = starts_new + len(ids)
+            ids = np.concatenate([ids, made])
+            self._remember(words, new, ids, starts, lengths)
+        return ids, starts, lengths
+
+    def _remember(self, words: pa.LargeStringArray, new: np.ndarray, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        short = pc.less_equal(pc.utf8_length(words), KNOWN_LENGTH).to_numpy(zero_copy_only=False)
+        added = new[short[new]]
+        if len(self.words) + len(added) <= KNOWN_WORDS:
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(added))])
+            self.starts, self.lengths = np.r_[self.starts, starts[added]], np.r_[self.lengths, lengths[added]]
+        else:
+            kept = np.flatnonzero(short)[:KNOWN_WORDS]
+            self.words, self.starts, self.lengths = words.take(pa.array(kept)), starts[kept], lengths[kept]
+        # their ids alone: those of words that are not kept go
+        ends = np.cumsum(self.lengths)
+        self.ids = ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts - (ends - self.lengths), self.lengths)]
+        self.starts = ends - self.lengths
+
+
 def after(mark: str, words: pa.LargeStringArray) -> pa.LargeStringArray:
     return pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words, pa.scalar(mark, pa.large_string()))
 
