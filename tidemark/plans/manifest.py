@@ -55,7 +55,7 @@ def files_of(spark: SparkSession, path: str, with_times: bool = False) -> dict:
                      digest.alias("digest")).first().asDict()
 
 
-def _read(spark: SparkSession, folder: str, name: str) -> dict | None:
+def read_record(spark: SparkSession, folder: str, name: str) -> dict | None:
     try:
         return json.loads(store.read_text_report(spark, os.path.join(folder, FOLDER, name)))
     except AnalysisException as e:
@@ -66,7 +66,7 @@ def _read(spark: SparkSession, folder: str, name: str) -> dict | None:
     return None
 
 
-def _write(spark: SparkSession, folder: str, name: str, record: dict) -> None:
+def write_record(spark: SparkSession, folder: str, name: str, record: dict) -> None:
     store.write_text_report(spark, [store.to_json_line(record)], os.path.join(folder, FOLDER, name))
 
 
@@ -83,7 +83,7 @@ def source_digest(spark: SparkSession, path: str) -> str:
 
 def require(spark: SparkSession, folder: str, job: str, tables: list[str]) -> str:
     """Digest of the record of the finished ``job`` in ``folder``, whose ``tables`` are as it left them."""
-    record = _read(spark, folder, JOB)
+    record = read_record(spark, folder, JOB)
     if record is None or record.get("job") != job:
         raise IncompleteFolder(f"{folder} has no manifest of a {job!r} job: run it first")
     if record["state"] != "complete":
@@ -107,14 +107,14 @@ class Run:
         self._begun = False
 
     def _whole(self, name: str) -> dict | None:
-        record = _read(self.spark, self.folder, name)
+        record = read_record(self.spark, self.folder, name)
         if self.identity is None or record is None or record.get("identity") != self.identity:
             return None
         return record if files_of(self.spark, os.path.join(self.folder, name)) == record["held"] else None
 
     def result(self, tables: list[str]) -> dict | None:
         """The recorded result, if this run was finished before and left ``tables``, still whole."""
-        record = _read(self.spark, self.folder, JOB)
+        record = read_record(self.spark, self.folder, JOB)
         if self.identity is None or record is None or record.get("identity") != self.identity or record["state"] != "complete":
             return None
         return record["result"] if all(self._whole(name) for name in tables) else None
@@ -122,7 +122,7 @@ class Run:
     def begin(self) -> None:
         """From here on the folder counts as unfinished."""
         if not self._begun:
-            _write(self.spark, self.folder, JOB, {"job": self.job, "state": "started", "identity": self.identity})
+            write_record(self.spark, self.folder, JOB, {"job": self.job, "state": "started", "identity": self.identity})
             self._begun = True
 
     def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -132,12 +132,12 @@ class Run:
         record = None if self.written else self._whole(name)
         path = os.path.join(self.folder, name)
         if record is None:
-            _write(self.spark, self.folder, name, {"state": "writing"})
+            write_record(self.spark, self.folder, name, {"state": "writing"})
             store.write_by_split(make(), path)
             self.written.append(name)
             record = {"identity": self.identity, "held": files_of(self.spark, path),
                       "rows": store.read_dataset(self.spark, path).count()}
-            _write(self.spark, self.folder, name, record)
+            write_record(self.spark, self.folder, name, record)
         self.tables[name] = record
         return store.read_dataset(self.spark, path)
 
@@ -145,6 +145,6 @@ class Run:
         """Record the job as complete; returns ``result`` as a later ``result()`` will."""
         result = json.loads(store.to_json_line(result))
         self.begin()
-        _write(self.spark, self.folder, JOB, {"job": self.job, "state": "complete", "identity": self.identity,
+        write_record(self.spark, self.folder, JOB, {"job": self.job, "state": "complete", "identity": self.identity,
                                               "tables": self.tables, "result": result})
         return result
