@@ -79,3 +79,9 @@ def test_roll_up_independent_of_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1] and len(seen[0]) == 122
+
+
+def test_distinct_items_are_hashed_not_sorted(spark):
+    """Demographics are texts too: in an aggregation buffer they would make every item row part of a sort."""
+    plan = aggregate.patient_rows(_history(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -80,11 +80,12 @@ def patient_rows(tl: DataFrame) -> DataFrame:
         F.col("subject_id").alias("patient_id"), "age", "gender", "kept", "next_ckd", *split,
         F.explode(elements).alias("_e"))
     is_marker = F.col("_e.kind") == _VISIT
-    pairs = long.groupBy("patient_id", F.col("_e.kind").alias("kind"), F.col("_e.item").alias("item")).agg(
-        F.min("age").alias("age"), F.min("gender").alias("gender"),
+    facts = ["age", "gender", *split]  # on the markers alone, as keys: a text in a buffer would make it a sort
+    pairs = long.groupBy("patient_id", F.col("_e.kind").alias("kind"), F.col("_e.item").alias("item"),
+                         *[F.when(is_marker, F.col(c)).alias(c) for c in facts]).agg(
         F.count_if(is_marker & F.col("kept")).alias("_k"),
         F.max(F.when(is_marker & F.col("kept"), F.col("next_ckd"))).alias("_y"),
-        F.count_if(is_marker).alias("_v"), *[F.min(c).alias(c) for c in split])
+        F.count_if(is_marker).alias("_v"))
     marker_only = F.col("kind") == _VISIT
     per = pairs.groupBy("patient_id").agg(
         F.min("age").alias("age"), F.min("gender").alias("gender"),

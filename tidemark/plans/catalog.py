@@ -128,15 +128,23 @@ class Fixture:
         return text.training_rows(aggregate.with_sentence(self.rows_split))
 
     @cached_property
-    def cv_rows(self) -> DataFrame:
-        """train + val patient rows with labels (the cross-validation pool)."""
-        return (aggregate.with_sentence(self.rows_split.where(F.col("split").isin("train", "val")))
-                .withColumn("labels", F.col("is_ckd").cast("int")))
+    def stored_training(self) -> DataFrame:
+        """``training``, written once for queries that read it more than once."""
+        ensure_checkpoint_dir(self.spark)
+        return self.training.checkpoint(eager=True)
+
+    @cached_property
+    def training_folded(self) -> DataFrame:
+        """The cross-validation pool (train + val) of ``stored_training`` with its fold: the written
+        rows' ids are ranked, so the timeline is not made a second time for them."""
+        pool = self.stored_training.where(F.col("scope") == "cv")
+        folds = splits.kfold(pool.select("patient_id"), self.cfg.k_folds, "patient_id", self.cfg.seed)
+        return pool.join(folds, "patient_id")
 
     @cached_property
     def cv_rows_folded(self) -> DataFrame:
-        """The pool with its fold: only the narrow ids are ranked, the rows meet them after."""
-        return self.cv_rows.join(self.folds, "patient_id")
+        """``training_folded`` under the name of its text in the patient rows."""
+        return self.training_folded.withColumnRenamed("text", "formatted_history")
 
     @cached_property
     def folds(self) -> DataFrame:
@@ -549,12 +557,13 @@ def q_fold_datasets(spark, d):
     """The encoded training and validation set of every fold. Rows are encoded once, with the
     vocabulary of the pool; a fold's sets are the same rows under another role."""
     f = _fx(spark, d)
-    pool = text.with_row_id(f.training.where(F.col("scope") == "cv").join(f.folds, "patient_id"))
-    enc = text.encode_fixed_length(pool, text.build_vocabulary(pool))
+    pool = text.with_row_id(f.training_folded)
+    enc = text.encode_fixed_length(pool, text.build_vocabulary(pool)).select(
+        "patient_id", "labels", "fold", F.array_join("input_ids", ",").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
     runs = enc.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(f.cfg.k_folds - 1))))
     role = F.when(F.col("fold") == F.col("run"), F.lit("val")).otherwise(F.lit("train"))
-    return runs.select("run", role.alias("role"), "patient_id", "labels", F.array_join("input_ids", ",").alias("input_ids"),
-                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"))
+    return runs.select("run", role.alias("role"), "patient_id", "labels", "input_ids", "n_tokens")
 
 
 def q_event_samples(spark, d):

@@ -10,17 +10,11 @@ from tidemark.plans.catalog import Fixture
 from tidemark.sources.views import read_driver
 
 
-def _patient_pool(spark: SparkSession, sf_dir: str):
-    fx = Fixture(spark, sf_dir)
-    tr = fx.training
-    return fx, tr.where(F.col("scope") == "cv"), tr.where(F.col("scope") == "test")
-
-
 def q_train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on the whole cross-validation pool, score the test patients."""
-    _, pool, test = _patient_pool(spark, sf_dir)
-    model = classify.fit(classify.sized_for_passes(pool.checkpoint(eager=True)))
-    return classify.score(model, test, keep=("patient_id", "labels")).select(
+    rows = Fixture(spark, sf_dir).stored_training
+    model = classify.fit(classify.sized_for_passes(rows.where(F.col("scope") == "cv")))
+    return classify.score(model, rows.where(F.col("scope") == "test"), keep=("patient_id", "labels")).select(
         "patient_id", "labels", "prediction", F.element_at("scores", 2).alias("score"))
 
 
@@ -35,7 +29,7 @@ def q_evaluate_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best fold's model saved, reloaded and scored on the test split: six metrics, plus the
     cross-validation averages and spreads, as report lines."""
     fx = Fixture(spark, sf_dir)
-    test = fx.training.where(F.col("scope") == "test").withColumnRenamed("text", "formatted_history")
+    test = fx.stored_training.where(F.col("scope") == "test").withColumnRenamed("text", "formatted_history")
     path = classify.model_path(spark)
     fm, summary, best, tm = classify.train_and_evaluate(fx.cv_rows_folded, None, test, "patient_id", path,
                                                         text="formatted_history")
