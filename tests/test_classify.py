@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from tidemark.operators import classify, fold_fit
+from tidemark.operators import aggregate, classify, fold_fit
+from tidemark.plans import ml_queries
 from tidemark.plans.catalog import Fixture
 
 TIGHT = classify.ClassifierParams(num_features=1 << 10, max_iter=500, tol=1e-12)
@@ -91,3 +92,27 @@ def test_fold_parallelism_rule(spark):
     slots = spark.sparkContext.defaultParallelism
     assert classify.fold_parallelism(spark, 3, 1) == (3 if slots >= 3 else 1)
     assert classify.fold_parallelism(spark, 3, slots) == 1
+
+
+def test_free_slots_are_used_for_tables_below_one_full_task(spark):
+    assert [classify.tasks_for(n, 12) for n in (0, 9_000, 35_000, 150_000, 5_000_000)] == [1, 1, 4, 12, 25]
+    rows = spark.range(60_000, numPartitions=6).checkpoint(eager=True)
+    sized, filled = classify._sized(rows)
+    assert sized.rdd.getNumPartitions() == min(6, spark.sparkContext.defaultParallelism) and filled == 1
+
+
+def test_patient_rows_are_made_once_for_pool_and_test(spark, monkeypatch):
+    made = []
+    real = aggregate.patient_rows
+    monkeypatch.setattr(aggregate, "patient_rows", lambda tl: made.append(1) or real(tl))
+    scored = ml_queries.q_train_classifier(spark, SF0001)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert made == [1] and "parquet" not in plan  # the test rows come from the written table
+    assert scored.count() == Fixture(spark, SF0001).training.where("scope = 'test'").count()
+
+
+def test_folds_of_the_written_rows_are_those_of_the_timeline(spark):
+    fx = Fixture(spark, SF0001)
+    got = sorted((r.patient_id, r.fold) for r in fx.training_folded.select("patient_id", "fold").collect())
+    assert got == sorted((r.patient_id, r.fold) for r in fx.folds.collect())
+    assert "parquet" not in fx.training_folded._jdf.queryExecution().optimizedPlan().toString()

@@ -40,26 +40,35 @@ class ClassifierParams:
 
 
 # Logistic regression makes dozens of passes over its input, so each pass should run few,
-# well-filled tasks: training tables are cut to about this many rows per partition.
+# well-filled tasks: training tables are cut to about ``ROWS_PER_TASK`` rows per partition. Making
+# the features costs far more than a pass, so as long as the cluster has free slots a partition
+# need not hold more than ``LEAST_ROWS``.
 ROWS_PER_TASK = 200_000
+LEAST_ROWS = 10_000
+
+
+def tasks_for(n_rows: int, slots: int) -> int:
+    """Into how many tasks a pass over so many rows is cut on a cluster of ``slots``."""
+    return max(1, -(-n_rows // ROWS_PER_TASK), min(slots, -(-n_rows // LEAST_ROWS)))
 
 
 def sized_for_passes(df: DataFrame) -> DataFrame:
-    """Coalesce a materialised table (no shuffle) so that its partitions hold about
-    ``ROWS_PER_TASK`` rows; a large table keeps all its partitions."""
+    """Coalesce a materialised table (no shuffle) to ``tasks_for`` its rows; a table with fewer
+    partitions keeps them."""
     return _sized(df)[0]
 
 
 def _sized(df: DataFrame) -> tuple[DataFrame, int]:
-    """(the coalesced table, its number of partitions)."""
+    """(the coalesced table, the number of partitions of ``ROWS_PER_TASK`` rows that it fills)."""
     n_rows = df.count()
-    target = max(1, -(-n_rows // ROWS_PER_TASK))
+    target = tasks_for(n_rows, df.sparkSession.sparkContext.defaultParallelism)
     current = df.rdd.getNumPartitions()
-    return (df.coalesce(target), target) if target < current else (df, current)
+    filled = min(current, max(1, -(-n_rows // ROWS_PER_TASK)))
+    return (df.coalesce(target) if target < current else df), filled
 
 
 def fold_parallelism(spark, k: int, partitions: int) -> int:
-    """How many folds to fit at once. Each fit's passes run one task per partition; when
+    """How many folds to fit at once. Each fit's passes need one task per filled partition; when
     k fits together still need no more tasks than the cluster runs at once, they are
     submitted concurrently (as Spark ML's CrossValidator does with ``parallelism``).
     A table that fills the cluster is fitted one fold at a time, so only one fold's
@@ -145,7 +154,8 @@ def cross_validate(pool: DataFrame, folds: DataFrame | None, key: str,
     # folder, so no pass recomputes the upstream plan and a lost executor does not either.
     spark = pool.sparkSession
     ensure_checkpoint_dir(spark)
-    data, partitions = _sized((pool if folds is None else pool.join(folds, key)).checkpoint(eager=True))
+    rows = (pool if folds is None else pool.join(folds, key)).select("fold", label, text)
+    data, partitions = _sized(rows.checkpoint(eager=True))
     last = data.agg(F.max("fold")).first()[0]
     if last is None:
         raise ValueError("cross-validation needs at least one row with a fold")
