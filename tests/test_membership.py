@@ -56,3 +56,28 @@ def test_no_python_in_the_filter(spark):
     held = membership.members(spark.range(10), "id")
     plan = held.keep(spark.range(100), "id").groupBy("id").agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("max_keys", [membership.MAX_KEYS, 0])
+def test_without_is_an_exact_anti_join(spark, monkeypatch, max_keys):
+    real = membership.members
+    monkeypatch.setattr(membership, "members", lambda ids, key: real(ids, key, max_keys))
+    facts = spark.createDataFrame([(x, f"t{x}") for x in [*range(3000), 5, 6, None, None]], "id long, text string")
+    gone = spark.createDataFrame([(x,) for x in [*range(0, 3000, 7), 5, None]], "id long")
+    left = membership.without(facts, gone, "id")
+    want = sorted((x or -1, f"t{x}") for x in [*range(3000), 6, None, None] if x is None or (x % 7 and x != 5))
+    assert left.columns == facts.columns and sorted((r.id if r.id is not None else -1, r.text) for r in left.collect()) == want
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    facts = spark.range(20_000).selectExpr("id", "repeat('x', 500) as text").checkpoint(eager=True)
+    gone = spark.range(0, 20_000, 100).checkpoint(eager=True)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = membership.without(facts, gone, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    staying, rest = plan.split("Union")[-1].split("SortMergeJoin")
+    assert "LeftAnti, BuildRight" in staying and "Exchange hashpartitioning(id" not in staying
+    assert "LeftSemi, BuildRight" in rest  # only rows that may leave reach the exchange

@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read, shuffle_partitions, stored
+from tidemark.operators.membership import without
 
 #: Fingerprints that one merged block holds on average.
 BLOCK_FINGERPRINTS = 1 << 18
@@ -126,10 +127,16 @@ def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return classes(read(spark, sf_dir, "documents"))
 
 
+def _row_key(doc_id: str, sha: Column) -> Column:
+    """The id and text digest of a row as one value, for joins; the id may be null."""
+    return F.concat_ws(":", sha, F.col(doc_id).cast("string")).alias("_tm_key")
+
+
 def keep_latest(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Dropped rows leave by an anti-join on (id, text digest). Rows that repeat an id *and*
+    Dropped rows leave by an anti-join on (id, text digest), for which only rows that may be
+    dropped are moved. Rows that repeat an id *and*
     its text share that key, so only if such rows exist they are reduced to one as well.
     """
     decided = classes(docs.select("doc_id", "text"))
@@ -138,8 +145,8 @@ def keep_latest(docs: DataFrame) -> DataFrame:
         "dedup-dropped")
     twins = dropped.where(F.col("_tm_id").eqNullSafe(F.col("_tm_keep")))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    gone = dropped.where(~F.col("_tm_id").eqNullSafe(F.col("_tm_keep")))
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_tm_id")) & (digest == F.col("_tm_sha")), "left_anti")
+    gone = dropped.where(~F.col("_tm_id").eqNullSafe(F.col("_tm_keep"))).select(_row_key("_tm_id", F.col("_tm_sha")))
+    kept = without(docs.select("*", _row_key("doc_id", digest)), gone, "_tm_key").drop("_tm_key")
     if twins.isEmpty():
         return kept
     marked = kept.withColumn("_tm_sha", digest)

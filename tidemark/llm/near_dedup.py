@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read, stored
+from tidemark.operators.membership import without
 
 SHINGLE = 5
 PERCENT = 75  # link: 100 * |A and B| >= PERCENT * |A or B|
@@ -426,7 +427,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     gone = stored(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_tm_id")).distinct(), "near-dropped")
-    return docs.join(gone, docs["doc_id"] == gone["_tm_id"], "left_anti")
+    return without(docs.withColumn("_tm_id", F.col("doc_id").cast("long")), gone, "_tm_id").drop("_tm_id")
 
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:

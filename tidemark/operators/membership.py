@@ -46,15 +46,35 @@ class Members:
     words: int
     n_keys: int
 
+    def _may_hold(self, held: DataFrame, key: str) -> Column:
+        bits = _bits(key)
+        return (_word(key, self.words) == held["_word"]) & (held["_bits"].bitwiseAND(bits) == bits)
+
     def keep(self, facts: DataFrame, key: str) -> DataFrame:
         """The rows of ``facts`` whose ``key`` may be in the set (all that are, few others). A
         null key is in no set."""
         if self.table is None:
             return facts.where(F.col(key).isNotNull())
         held = F.broadcast(self.table)
-        bits = _bits(key)
-        return facts.where(F.col(key).isNotNull()).join(
-            held, (_word(key, self.words) == held["_word"]) & (held["_bits"].bitwiseAND(bits) == bits), "left_semi")
+        return facts.where(F.col(key).isNotNull()).join(held, self._may_hold(held, key), "left_semi")
+
+    def drop(self, facts: DataFrame, key: str) -> DataFrame | None:
+        """The rows of ``facts`` that ``keep`` leaves out: their ``key`` is in no case in the set.
+        None if there is no filter to tell."""
+        if self.table is None:
+            return None
+        held = F.broadcast(self.table)
+        return facts.join(held, F.col(key).isNotNull() & self._may_hold(held, key), "left_anti")
+
+
+def without(facts: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``facts`` whose ``key`` is not in ``gone`` (a written table), an anti-join that
+    shuffles only the rows that may be in it: wide rows that surely stay are not moved."""
+    held = members(gone, key)
+    staying = held.drop(facts, key)
+    if staying is None:
+        return facts.join(gone.select(key), key, "left_anti")
+    return staying.unionByName(held.keep(facts, key).join(gone.select(key), key, "left_anti"))
 
 
 def members(ids: DataFrame, key: str, max_keys: int = MAX_KEYS) -> Members:
