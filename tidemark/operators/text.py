@@ -8,9 +8,6 @@ Every row is cut or padded to ``max_length`` ids with an attention mask of 1s th
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,60 +70,6 @@ def lookup_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     return resolved.unionByName(rest)
 
 
-def hot_tokens(vocab: DataFrame) -> tuple[pa.Array, pa.Array] | None:
-    """The ``HOT_TOKENS`` most frequent tokens and their ids (a bounded parameter, sent to the
-    tasks); None if they are more than ``HOT_BYTES``."""
-    hot = vocab.where(F.col("id") < FIRST_ID + HOT_TOKENS)
-    if (hot.agg(F.sum(F.octet_length("token") + F.lit(16))).first()[0] or 0) > HOT_BYTES:
-        return None
-    rows = hot.select("token", "id").collect()
-    return pa.array([r["token"] for r in rows], pa.string()), pa.array([r["id"] for r in rows], pa.int32())
-
-
-def _hot_ids(hot: pa.Array, numbers: pa.Array):
-    """Arrow function: lists of tokens -> lists of their ids, null for tokens that are not hot."""
-
-    @F.arrow_udf("array<int>")
-    def ids(pieces: pa.Array) -> pa.Array:
-        found = pc.index_in(pieces.flatten().cast(pa.string()), value_set=hot)
-        lengths = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
-        ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        return pa.ListArray.from_arrays(ends, pc.take(numbers, found))
-
-    return ids
-
-
-def _encoded(rows: DataFrame, vocab: DataFrame, pieces: F.Column) -> DataFrame:
-    """``rows`` with ``_ids``, the ids of their ``pieces`` in order.
-
-    Hot tokens are looked up where the row is, in Arrow. Only what they leave is exploded and
-    joined; without colder tokens in the vocabulary the rest is unknown and nothing is joined.
-    If the hot tokens are too large, every token goes through ``lookup_ids``.
-    """
-    none = F.array().cast("array<struct<pos:int,id:int>>")
-    in_order = lambda pairs: F.transform(F.array_sort(pairs), lambda x: x["id"])
-    gathered = lambda looked: looked.groupBy(ROW).agg(F.collect_list(
-        F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))).alias("_pi"))
-    hot = hot_tokens(vocab)
-    if hot is None:
-        looked = lookup_ids(rows.select(ROW, F.posexplode(pieces).alias("pos", "token")), vocab)
-        return rows.join(gathered(looked), ROW, "left").withColumn("_ids", in_order(F.coalesce("_pi", none))).drop("_pi")
-    coded = rows.withColumn("_pieces", F.coalesce(pieces, F.array().cast("array<string>"))).withColumn("_hot", _hot_ids(*hot)("_pieces"))
-    cold = vocab.where(F.col("id") >= FIRST_ID + HOT_TOKENS).select("token", "id")
-    if cold.isEmpty():
-        known = F.transform("_hot", lambda x: F.coalesce(x, F.lit(UNKNOWN_ID)))
-        return coded.withColumn("_ids", known).drop("_pieces", "_hot")
-    # two branches read the coded rows: written once, not evaluated twice
-    tagged = F.transform("_hot", lambda x, i: F.struct(i.alias("pos"), x.alias("id")))
-    left = F.filter(F.transform("_pieces", lambda t, i: F.struct(
-        i.alias("pos"), F.when(F.get("_hot", i).isNull(), t).alias("token"))), lambda s: s["token"].isNotNull())
-    coded = (coded.withColumns({"_known": F.filter(tagged, lambda s: s["id"].isNotNull()), "_left": left})
-             .drop("_pieces", "_hot").checkpoint(eager=True))
-    looked = coded.select(ROW, F.inline("_left")).join(cold, "token", "left")
-    return (coded.drop("_left").join(gathered(looked), ROW, "left")
-            .withColumn("_ids", in_order(F.concat("_known", F.coalesce("_pi", none)))).drop("_known", "_pi"))
-
-
 def with_row_id(rows: DataFrame) -> DataFrame:
     """``rows`` written once, each with a number of its own (``ROW``): whatever its key holds,
     tokens find the way back to their row, and a recomputed task cannot change the numbers."""
@@ -139,15 +82,20 @@ def encode_fixed_length(rows: DataFrame, vocab: DataFrame, text_col: str = "text
 
     Rows are told apart by ``ROW`` (added and written here unless ``with_row_id`` has done so),
     not by a key of theirs: keys may repeat or be null. Only token positions below
-    ``max_length`` can reach the output, so the token array is cut before its look-up; the
+    ``max_length`` can reach the output, so the token array is cut before it is exploded; the
     vocabulary itself comes from whole texts. Other columns (a fold, a scope) stay. A null text
     has no tokens.
     """
     rows = rows if ROW in rows.columns else with_row_id(rows)
-    n = F.size("_ids")
+    pieces = rows.select(ROW, F.posexplode(F.slice(tokens(text_col), 1, max_length)).alias("pos", "token"))
+    looked = lookup_ids(pieces, vocab).withColumn("id", F.coalesce("id", F.lit(UNKNOWN_ID)))
+    per_row = looked.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_pi"))
+    ids = F.transform(F.coalesce(F.col("_pi"), F.array().cast("array<struct<pos:int,id:int>>")),
+                      lambda x: x["id"])
+    n = F.size(ids)
     pad = F.array_repeat(F.lit(PAD_ID), F.lit(max_length) - n)
-    return (_encoded(rows, vocab, F.slice(tokens(text_col), 1, max_length))
-            .withColumn("input_ids", F.concat("_ids", pad))
+    return (rows.join(per_row, ROW, "left")
+            .withColumn("input_ids", F.concat(ids, pad))
             .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n),
                                                    F.array_repeat(F.lit(0), F.lit(max_length) - n)))
-            .drop("_ids", ROW))
+            .drop("_pi", ROW))
